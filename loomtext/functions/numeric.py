@@ -34,11 +34,12 @@ def loss_or_missing(loss: Column) -> Column:
 
 
 def learning_rate(step: Column, base: float = 3e-4, warmup: int = 2000, total: int = 11838) -> Column:
-    """Linear warmup to ``base``, then a half cosine down to zero at ``total``."""
+    """Linear warmup to ``base``, then a half cosine down to zero at ``total``. The factor is formed
+    first and then multiplied with ``base``: another order gives other last digits."""
     s = step.cast("double")
     progress = (s - F.lit(float(warmup))) / F.lit(float(max(1, total - warmup)))
     decay = F.greatest(F.lit(0.0), F.lit(0.5) * (F.lit(1.0) + F.cos(F.lit(math.pi) * progress)))
-    return F.when(s < warmup, F.lit(base) * s / F.lit(float(max(1, warmup)))).otherwise(F.lit(base) * decay)
+    return F.when(s < warmup, F.lit(base) * (s / F.lit(float(max(1, warmup))))).otherwise(F.lit(base) * decay)
 
 
 def epoch(step: Column, steps_per_epoch: int = 5919, digits: int = 4) -> Column:

@@ -19,14 +19,11 @@ WHITESPACE = (
 # Fixed value: the mark that stands for a space in subword pieces.
 METASPACE = "▁"
 
+# The same set as a Java pattern; a class of single characters would be three times slower.
+WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
+
 # One alternative per script class; together they tile every text that has no whitespace left.
-SCRIPT_TOKEN = (
-    METASPACE + r"?\p{IsHan}+"
-    "|" + METASPACE + r"?[^\P{L}\p{IsHan}]+"
-    "|" + METASPACE + r"?\p{N}+"
-    "|" + METASPACE + r"?[^\s\p{L}\p{N}" + METASPACE + r"]"
-    "|" + METASPACE
-)
+SCRIPT_TOKEN = METASPACE + r"?(?:[\p{L}&&\P{IsHan}]+|\p{IsHan}+|\p{N}+|[^\s\p{L}\p{N}" + METASPACE + "])|" + METASPACE
 
 
 def strip_text(text: Column) -> Column:
@@ -64,7 +61,7 @@ def lines_of(text: Column) -> Column:
 
 def collapse_whitespace(text: Column) -> Column:
     """Strip, then turn each inner run of whitespace into one space."""
-    return F.regexp_replace(strip_text(text), f"[{WHITESPACE}]+", " ")
+    return F.regexp_replace(strip_text(text), WHITESPACE_RUN, " ")
 
 
 @F.pandas_udf(T.StringType())
@@ -98,15 +95,12 @@ def normalize(text: Column, mode: str = "nfkc_cf") -> Column:
 
 def metaspace(text: Column) -> Column:
     """Mark the text start and every space; empty text stays empty."""
-    marked = F.concat(F.lit(METASPACE), F.replace(text, F.lit(" "), F.lit(METASPACE)))
-    return F.when(F.length(text) > 0, marked).otherwise(F.lit(""))
+    return F.regexp_replace(F.replace(text, F.lit(" "), F.lit(METASPACE)), "(?s)^(?=.)", METASPACE)
 
 
 def metaspace_words(text: Column) -> Column:
     """Words of collapsed text, each with its leading mark. They concatenate to ``metaspace``."""
-    words = F.split(F.substring(metaspace(text), 2, 2147483647), METASPACE)
-    marked = F.transform(words, lambda w: F.concat(F.lit(METASPACE), w))
-    return F.when(F.length(text) > 0, marked).otherwise(F.array().cast("array<string>"))
+    return F.filter(F.split(metaspace(text), f"(?={METASPACE})"), lambda w: w != "")
 
 
 def script_tokens(text: Column) -> Column:

@@ -41,11 +41,11 @@ def _with_eos(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def word_ids(words: Column, vocab: DataFrame, append_eos: bool = True) -> Column:
     """Array of words to array of ids; unknown words become 1, the end mark 3 is optional."""
-    pieces = vocab.sparkSession.sparkContext.broadcast(pieces_of(vocab)[len(SPECIAL_PIECES):])
+    pieces = vocab.sparkSession.sparkContext.broadcast(pa.array(pieces_of(vocab)[len(SPECIAL_PIECES):], pa.string()))
 
     @F.arrow_udf(IDS)
     def lookup(lists: pa.Array) -> pa.Array:
-        found = pc.index_in(lists.flatten(), value_set=pa.array(pieces.value, pa.string()))
+        found = pc.index_in(lists.flatten(), value_set=pieces.value)
         ids = pc.fill_null(pc.add(found, len(SPECIAL_PIECES)), UNK_ID).to_numpy(zero_copy_only=False).astype(np.int32)
         lengths = _lengths(lists)
         ids, borders = _with_eos(ids, lengths) if append_eos else (ids, _offsets(lengths))
@@ -62,12 +62,12 @@ def encode_words(docs: DataFrame, vocab: DataFrame, append_eos: bool = True, mod
 
 def id_pieces(ids: Column, vocab: DataFrame, keep_special: bool = False) -> Column:
     """Array of ids to array of pieces. Special ids, and ids outside the vocabulary, are skipped."""
-    pieces = vocab.sparkSession.sparkContext.broadcast(pieces_of(vocab))
+    pieces = vocab.sparkSession.sparkContext.broadcast(pa.array(pieces_of(vocab), pa.string()))
     lowest = 0 if keep_special else len(SPECIAL_PIECES)
 
     @F.arrow_udf(STRINGS)
     def lookup(lists: pa.Array) -> pa.Array:
-        values = pa.array(pieces.value, pa.string())
+        values = pieces.value
         ids = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
         known = (ids >= lowest) & (ids < len(values))
         lengths = _lengths(lists)

@@ -15,14 +15,14 @@ def pairs_of(ids: Column) -> Column:
     )
 
 
-def pair_counts(rows: DataFrame, *keep: str) -> DataFrame:
-    """``(keep..., prev, next, n)``; pairs never cross a row."""
-    return (
-        rows.where(F.size("input_ids") > 1)
-        .select(*keep, F.explode_outer(pairs_of(F.col("input_ids"))).alias("p"))
-        .groupBy(*keep, F.col("p.prev").alias("prev"), F.col("p.next").alias("next"))
-        .agg(F.count("*").alias("n"))
-    )
+def _pairs(rows: DataFrame, *keep: str) -> DataFrame:
+    pairs = rows.select(*keep, F.explode_outer(pairs_of(F.col("input_ids"))).alias("p")).where(F.col("p").isNotNull())
+    return pairs.select(*keep, "p.prev", "p.next")
+
+
+def pair_counts(rows: DataFrame) -> DataFrame:
+    """``(prev, next, n)``; pairs never cross a row."""
+    return _pairs(rows).groupBy("prev", "next").agg(F.count("*").alias("n"))
 
 
 def sampling_candidates(
@@ -49,16 +49,12 @@ def sampling_candidates(
 def heldout_cross_entropy(blocks: DataFrame, vocab_size: int, alpha: float = 1.0) -> DataFrame:
     """Loss of a smoothed pair model counted on ``train`` rows and read on ``test`` rows of ``split``.
 
-    Both sides are counted before they meet, so a frequent pair is one row, and one grouping by
-    (prev, next) replaces the join of test to train.
+    One grouping by (prev, next) counts both sides and replaces the join of test to train; a
+    frequent pair is one row per task before the shuffle. A window holds the successors of one token,
+    at most the vocabulary size.
     """
-    counts = (
-        pair_counts(blocks, "split")
-        .groupBy("prev", "next")
-        .agg(
-            F.coalesce(F.sum(F.when(F.col("split") == "train", F.col("n"))), F.lit(0)).alias("seen"),
-            F.coalesce(F.sum(F.when(F.col("split") == "test", F.col("n"))), F.lit(0)).alias("asked"),
-        )
+    counts = _pairs(blocks, "split").groupBy("prev", "next").agg(
+        F.count_if(F.col("split") == "train").alias("seen"), F.count_if(F.col("split") == "test").alias("asked")
     )
     context = counts.withColumn("context", F.sum("seen").over(Window.partitionBy("prev")))
     nll = -F.log((F.col("seen") + alpha) / (F.col("context") + alpha * vocab_size))

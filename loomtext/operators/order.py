@@ -41,8 +41,9 @@ def offsets(sizes: DataFrame, bucket: str, size: str) -> DataFrame:
 def with_position(df: DataFrame, order: list[str], bucket: Column, out: str = "pos") -> DataFrame:
     """Add the 0-based position in ``order``.
 
-    ``bucket`` must not decrease along ``order`` and must have a bounded number of values; the
-    table of bucket sizes, and nothing else, is broadcast.
+    ``bucket`` must not decrease along ``order`` and should have a bounded number of values. The join
+    with the bucket starts has the key of the window, so it costs no second shuffle of the rows;
+    whether the starts are broadcast is left to Spark, which knows their size by then.
     """
     tagged = df.withColumn("_bucket", bucket)
     sizes = tagged.groupBy("_bucket").agg(F.count("*").alias("_n"))
@@ -50,7 +51,7 @@ def with_position(df: DataFrame, order: list[str], bucket: Column, out: str = "p
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
     return (
         tagged.withColumn("_rank", rank)
-        .join(F.broadcast(starts), "_bucket")
+        .join(starts, "_bucket")
         .withColumn(out, (F.col("before") + F.col("_rank") - 1).cast("bigint"))
         .drop("_bucket", "_rank", "before")
     )
@@ -106,7 +107,7 @@ def cut_key(df: DataFrame, key: Column, take: Callable[[Column], Column], digits
 def value_at_rank(df: DataFrame, column: str, rank: int, bins: int = 4096) -> int | None:
     """The ``rank``-th smallest value (1-based) of a whole-number column.
 
-    A histogram of at most ``bins`` + 1 counts narrows the value range, again and again, until one
+    A histogram of at most ``bins`` + 2 counts narrows the value range, again and again, until one
     value is left: about three passes over one column for 10**10 rows, of which the later ones skip
     most row groups. No sort, no group larger than a counter.
     """
@@ -115,11 +116,12 @@ def value_at_rank(df: DataFrame, column: str, rank: int, bins: int = 4096) -> in
         return None
     while low < high:
         width = (high - low) // bins + 1
-        slot = F.expr(f"(`{column}` - {low}L) div {width}L")
+        # Division rounded down, also for negative values.
+        slot = F.expr(f"(`{column}` - pmod(`{column}`, {width}L)) div {width}L")
         counts = df.where(F.col(column).between(low, high)).groupBy(slot.alias("slot")).count()
         for slot_no, n in sorted((r["slot"], r["count"]) for r in counts.collect()):
             if rank <= n:
-                low, high = low + slot_no * width, min(high, low + (slot_no + 1) * width - 1)
+                low, high = max(low, slot_no * width), min(high, (slot_no + 1) * width - 1)
                 break
             rank -= n
         else:

@@ -61,9 +61,10 @@ def packing_loss(docs: DataFrame, block_size: int = 1024, batch_rows: int = 2000
     )
 
 
-def number_blocks(blocks: DataFrame, batches_per_bucket: int = 1024) -> DataFrame:
-    """Add the dense ``block_id`` of saved blocks. Reads them twice, so call it on a written table."""
-    return with_position(blocks, ["batch", "block"], F.expr(f"batch div {batches_per_bucket}L"), "block_id")
+def number_blocks(blocks: DataFrame, buckets: int = 4096) -> DataFrame:
+    """Add the dense ``block_id`` of saved blocks. Reads them repeatedly, so call it on a written table."""
+    highest = blocks.agg(F.max("batch")).first()[0] or 0
+    return with_position(blocks, ["batch", "block"], F.expr(f"batch div {highest // buckets + 1}L"), "block_id")
 
 
 def block_totals(blocks: DataFrame) -> DataFrame:

@@ -32,9 +32,9 @@ def last_known(
     partition = partition or []
     tagged = df.withColumn("_value", value).withColumn("_span", F.expr(f"`{order[0]}` div {span}L"))
     groups = [*partition, "_span"]
-    tails = tagged.groupBy(*groups).agg(
-        F.max_by("_value", F.when(F.col("_value").isNotNull(), F.struct(*order))).alias("_tail")
-    )
+    # A plain number as the ordering keeps the grouping hash-based; a struct would make it sort.
+    place = F.struct(*order) if len(order) > 1 else F.col(order[0])
+    tails = tagged.groupBy(*groups).agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), place)).alias("_tail"))
     earlier = Window.partitionBy(*partition).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     carried = tails.withColumn("_carry", F.last("_tail", ignorenulls=True).over(earlier)).drop("_tail")
     end = Window.currentRow if inclusive else -1

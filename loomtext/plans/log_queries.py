@@ -18,7 +18,7 @@ from loomtext.sources import logs
 from loomtext.sources.corpus import append_generations
 from loomtext.streaming.metrics import read_log_stream, stream_evaluations, stream_report_lines
 
-RATE = """CASE WHEN step < 2000 THEN 3e-4::DOUBLE * step / 2000
+RATE = """CASE WHEN step < 2000 THEN 3e-4::DOUBLE * (step / 2000)
   ELSE 3e-4::DOUBLE * greatest(0, 0.5::DOUBLE * (1 + cos(pi() * (step - 2000) / 9838))) END"""
 # One bucket of 1,000 steps per window, so that the carry from bucket to bucket is in use.
 SPAN = 1000

@@ -9,7 +9,7 @@ from loomtext.operators.encode import encode_words
 from loomtext.operators.filters import keep_length_band
 from loomtext.operators.order import shuffled_positions, source_positions
 from loomtext.operators.pack import pack_blocks
-from loomtext.operators.sample import exact_sample, prefix_slice, sample_then_filter
+from loomtext.operators.sample import head_holdout, prefix_slice, random_holdout, sample_then_filter, train_test_split
 from loomtext.operators.vocab import frequency_vocab, token_counts
 from loomtext.plans.settings import Preparation
 from loomtext.sources.corpus import unify_articles, unify_qa, union_sources
@@ -49,3 +49,19 @@ def corpus_to_blocks(articles: DataFrame, qa: DataFrame | None, cfg: Preparation
     corpus = corpus_of(articles, qa, cfg)
     docs = encoded_corpus(corpus, vocabulary_of(corpus, cfg), cfg)
     return pack_blocks(docs, cfg.block_size, cfg.batch_rows, cfg.keep_short)
+
+
+def split_blocks(blocks: DataFrame, cfg: Preparation) -> tuple[DataFrame, DataFrame | None]:
+    """(train, evaluation) of saved blocks. Only ``share`` takes the evaluation rows out of train."""
+    named = blocks.withColumn("row_id", F.concat_ws(":", "batch", "block"))
+    if cfg.holdout == "none":
+        return blocks, None
+    if cfg.holdout == "head":
+        return blocks, head_holdout(blocks, ["batch", "block"], cfg.holdout_rows)
+    if cfg.holdout == "random":
+        train, held = random_holdout(named, cfg.holdout_rows, cfg.seed, exclude_from_train=False)
+        return train.drop("row_id"), held.drop("row_id")
+    if cfg.holdout == "share":
+        parts = train_test_split(named, cfg.holdout_share, cfg.seed).drop("row_id")
+        return parts.where("split = 'train'").drop("split"), parts.where("split = 'test'").drop("split")
+    raise ValueError(f"unknown holdout {cfg.holdout!r}")

@@ -238,7 +238,7 @@ def run_size_plan(spark, sf_dir):
 SELECT batch, block, row_number() OVER (ORDER BY batch, block) - 1 AS block_id FROM blocks""")
 def block_positions(spark, sf_dir):
     saved = frozen(blocks_of(spark, sf_dir, SMALL).select("batch", "block"))
-    return pack.number_blocks(saved, batches_per_bucket=4)
+    return pack.number_blocks(saved, buckets=4)
 
 
 @query(f"""WITH {prepared(SMALL)}
@@ -290,6 +290,19 @@ for _name, _cfg in VARIANTS.items():
         _variant(f"corpus_to_blocks_{_name}", _cfg)
 
 
+TWO_SOURCE = replace(SMALL, length_high=None, holdout="share")
+
+
+@query(f"""WITH {prepared(TWO_SOURCE)},
+p AS (SELECT *, {shuffled('blocks', BLOCK_NAME)} AS pos, count(*) OVER () AS n_blocks FROM blocks)
+SELECT batch, block, md5(ids) AS ids_md5,
+  CASE WHEN pos < ceil(n_blocks * 0.02::DOUBLE) THEN 'test' ELSE 'train' END AS split FROM p""")
+def disjoint_block_split(spark, sf_dir):
+    train, test = prepare.split_blocks(frozen(blocks_of(spark, sf_dir, TWO_SOURCE)), TWO_SOURCE)
+    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    return both.select("batch", "block", ids_md5().alias("ids_md5"), "split")
+
+
 @query(f"WITH {ENCODED_4K}, {PAIRS} SELECT prev, next, n FROM pc")
 def next_token_pairs(spark, sf_dir):
     counts = ngrams.pair_counts(encoded(spark, sf_dir, 4000))

@@ -64,10 +64,10 @@ def parse_results_table(lines: DataFrame, line: str = "value") -> DataFrame:
     cells = F.transform(F.split(F.trim(F.col(line)), "\\|"), lambda c: F.trim(c))
     row = lines.select(cells.alias("c")).where(F.size("c") == 6)
     return row.select(
-        F.col("c")[3].try_cast("bigint").alias("step"),
-        F.col("c")[2].try_cast("double").alias("epoch"),
-        F.col("c")[1].try_cast("double").alias("loss"),
-        F.col("c")[4].try_cast("double").alias("eval_loss"),
+        F.get("c", F.lit(3)).try_cast("bigint").alias("step"),
+        F.get("c", F.lit(2)).try_cast("double").alias("epoch"),
+        F.get("c", F.lit(1)).try_cast("double").alias("loss"),
+        F.get("c", F.lit(4)).try_cast("double").alias("eval_loss"),
     ).where(F.col("loss").isNotNull() & F.col("step").isNotNull())
 
 
