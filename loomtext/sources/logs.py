@@ -22,7 +22,7 @@ SAMPLE_LINE = r"^\s*\[(.*?)\] → (.*)$"
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(file, line_no, line)``. Line numbers need the file whole: one row per log file, as logs are small."""
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     return files.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
 
 

@@ -15,7 +15,7 @@ def read_vocab_tsv(spark: SparkSession, path: str) -> DataFrame:
     The order of lines is known only within a file read whole, so this is for one small file; our
     own vocabularies are saved with their ids.
     """
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     lines = files.select(F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
     fields = F.split(F.trim(F.col("line")), "\t")
     kept = lines.where(F.size(fields) >= 2).select("line_no", F.get(fields, F.lit(0)).alias("piece"), F.get(fields, F.lit(1)).alias("raw")).limit(MAX_PIECES)

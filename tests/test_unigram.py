@@ -1,0 +1,118 @@
+import itertools
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from loomtext.functions.text import normalize
+from loomtext.operators import encode, unigram, vocab
+
+SCORES = {"a": -2.0, "b": -2.5, "ab": -3.1, "ba": -2.2, "aba": -4.0, "bb": -6.0}
+
+
+def cuts(word):
+    for bars in itertools.product([0, 1], repeat=max(0, len(word) - 1)):
+        at = [0, *[i + 1 for i, b in enumerate(bars) if b], len(word)]
+        yield [word[i:j] for i, j in zip(at, at[1:])]
+
+
+def scored(word, unknown):
+    for cut in cuts(word):
+        if all(p in SCORES or len(p) == 1 for p in cut):
+            yield sum(SCORES.get(p, unknown) for p in cut), cut
+
+
+@pytest.mark.parametrize("word", ["a", "ab", "abab", "babba", "xab", "axxb", "aabbaabb"])
+def test_lattice_against_all_cuts(word):
+    every = list(scored(word, -9.0))
+    best = unigram.best_path(word, SCORES, -9.0)
+    assert "".join(p for p, _ in best) == word
+    assert math.isclose(sum(SCORES.get(p, -9.0) for p, _ in best), max(s for s, _ in every))
+    total, used = unigram.expected_counts(word, SCORES, -9.0)
+    mass = sum(math.exp(s) for s, _ in every)
+    assert math.isclose(total, math.log(mass))
+    for piece in SCORES:
+        want = sum(math.exp(s) * cut.count(piece) for s, cut in every) / mass
+        assert math.isclose(sum(c for p, c in used if p == piece), want, abs_tol=1e-12)
+
+
+def test_barred_piece():
+    assert unigram.best_path("aba", SCORES, -9.0, without="aba") == [("a", True), ("ba", True)]
+
+
+def test_digamma():
+    assert math.isclose(unigram._digamma(1.0), -0.5772156649015329, rel_tol=1e-8)
+    assert math.isclose(unigram._digamma(10.0), 2.251752589066721, rel_tol=1e-9)
+
+
+TEXTS = ["the cat sat on the mat", "the dog and the cat", "人工智能正在改变世界", "人工智能 人工智能 世界", "that is the cat"] * 5
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame([(str(i), t) for i, t in enumerate(TEXTS)], "row_id string, text string").repartition(3)
+
+
+@pytest.fixture(scope="module")
+def trained(docs):
+    return unigram.unigram_vocab(docs, size=60, coverage=1.0, seed_factor=10)
+
+
+def test_vocabulary(trained):
+    rows = trained.orderBy("id").collect()
+    assert [r["id"] for r in rows] == list(range(len(rows))) and len(rows) <= 60
+    assert [r["piece"] for r in rows[:4]] == vocab.SPECIAL_PIECES
+    pieces = {r["piece"] for r in rows}
+    assert set("".join(TEXTS).replace(" ", "▁")) <= pieces
+    assert any(len(p) > 2 for p in pieces - set(vocab.SPECIAL_PIECES))
+    scores = [r["score"] for r in rows[4:]]
+    assert scores == sorted(scores, reverse=True)
+
+
+def test_round_trip_and_compression(docs, trained):
+    coded = unigram.encode_unigram(docs.withColumn("raw", F.col("text")), trained)
+    back = encode.decode(coded, trained)
+    assert back.where(F.col("decoded") != normalize(F.col("raw"))).count() == 0
+    sizes = back.agg(F.sum(F.size("input_ids") - 1), F.sum(F.length("raw"))).first()
+    assert sizes[0] < sizes[1] / 1.5
+
+
+def test_result_does_not_depend_on_partitions(docs, trained):
+    again = unigram.unigram_vocab(docs.repartition(7), size=60, coverage=1.0, seed_factor=10)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, trained.collect()))
+
+
+def test_likelihood_rises(docs):
+    words = unigram.training_words(docs)
+    letters = set("".join(TEXTS).replace(" ", "▁"))
+    alphabet = docs.sparkSession.createDataFrame([(c,) for c in letters], "ch string")
+    seeds = unigram.seed_pieces(words, alphabet, 500).collect()
+    total = math.log(sum(r["weight"] for r in seeds))
+    scores = {r["piece"]: math.log(r["weight"]) - total for r in seeds}
+    seen = []
+    for _ in range(4):
+        scores, likelihood = unigram.em_round(words, scores, letters)
+        seen.append(likelihood)
+    assert seen[0] < seen[1] and seen[0] < seen[-1]
+
+
+def test_unknown_runs_become_one_id(spark, trained):
+    rows = spark.createDataFrame([("1", "qqq the qq"), ("2", None), ("3", "")], "row_id string, text string")
+    got = {r["row_id"]: r["input_ids"] for r in unigram.encode_unigram(rows, trained).collect()}
+    the = trained.where("piece = '▁the'").first()["id"]
+    mark = trained.where("piece = '▁'").first()["id"]
+    assert got == {"1": [mark, 1, the, mark, 1, 3], "2": None, "3": [3]}
+
+
+def test_long_words_are_cut_without_loss(spark):
+    df = spark.createDataFrame([("1", "长" * 1000)], "row_id string, text string")
+    rows = unigram.training_words(df).collect()
+    assert sum(len(r["word"]) * r["n"] for r in rows) == 1001
+    assert max(len(r["word"]) for r in rows) == unigram.MAX_WORD
+
+
+def test_bounds(docs):
+    with pytest.raises(ValueError, match="coverage"):
+        unigram.unigram_vocab(docs, size=10, coverage=1.0)
+    with pytest.raises(ValueError, match="beyond"):
+        unigram.unigram_vocab(docs, size=10**6)
