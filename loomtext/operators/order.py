@@ -63,6 +63,42 @@ def shuffled_positions(df: DataFrame, seed: int = 42, row_id: str = "row_id", di
     return with_position(keyed, ["_key"], hash_bucket(F.col("_key"), digits)).drop("_key")
 
 
+def shuffle_groups(df: DataFrame, rows: int, seed: int = 42, row_id: str = "row_id", groups: int = 65536) -> DataFrame:
+    """Add ``_key``, ``_group`` and ``_step``: the seeded shuffle cut into at most about ``groups`` runs of ``_step`` rows.
+
+    ``_step`` is a multiple of ``rows``, so a batch of ``rows`` consecutive rows never spans two groups,
+    and whoever partitions by ``_group`` needs no second shuffle for batches. The borders come from
+    a pass over the keys alone: the key of every ``_step``-th row, found per hash bucket. The table
+    that is broadcast has one row per bucket and one key per group, whatever the size of ``df``.
+    """
+    keyed = df.withColumn("_key", shuffle_key(F.col(row_id), seed)).withColumn("_bucket", hash_bucket(F.col("_key")))
+    keys = keyed.select("_key", "_bucket")
+    sizes = offsets(keys.groupBy("_bucket").agg(F.count("*").alias("_n")), "_bucket", "_n")
+    total = F.sum("_n").over(Window.partitionBy())
+    table = sizes.select("_bucket", "before", (F.ceil(total / (rows * groups)) * rows).alias("_step"))
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_key"))
+    firsts = (
+        keys.withColumn("_rank", rank)
+        .join(F.broadcast(table), "_bucket")
+        .where((F.col("before") + F.col("_rank") - 1) % F.col("_step") == 0)
+        .groupBy("_bucket")
+        .agg(F.collect_list("_key").alias("_firsts"))
+    )
+    borders = table.join(firsts, "_bucket", "left").select(
+        "_bucket",
+        "_step",
+        # Groups that began in earlier buckets, less one: the number of the group the bucket starts in.
+        (F.ceil(F.col("before") / F.col("_step")) - 1).alias("_base"),
+        F.coalesce("_firsts", F.array().cast("array<string>")).alias("_firsts"),
+    )
+    begun = F.size(F.filter("_firsts", lambda k: k <= F.col("_key")))
+    return (
+        keyed.join(F.broadcast(borders), "_bucket")
+        .withColumn("_group", F.col("_base") + begun)
+        .drop("_bucket", "_base", "_firsts")
+    )
+
+
 def seeded_shuffle(df: DataFrame, seed: int = 42, row_id: str = "row_id") -> DataFrame:
     """Rows physically in shuffled order (a range-partitioned sort)."""
     return df.orderBy(shuffle_key(F.col(row_id), seed))

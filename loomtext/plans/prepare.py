@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from loomtext.operators.encode import encode_words
 from loomtext.operators.filters import keep_length_band
-from loomtext.operators.order import shuffled_positions, source_positions
-from loomtext.operators.pack import pack_blocks
+from loomtext.operators.order import source_positions
+from loomtext.operators.pack import pack_blocks, pack_shuffled
 from loomtext.operators.sample import head_holdout, prefix_slice, random_holdout, sample_then_filter, train_test_split
 from loomtext.operators.vocab import frequency_vocab, token_counts
 from loomtext.plans.settings import Preparation
@@ -34,21 +34,17 @@ def vocabulary_of(corpus: DataFrame, cfg: Preparation) -> DataFrame:
     return frequency_vocab(token_counts(chosen, cfg.normalization), cfg.vocab_size)
 
 
-def encoded_corpus(corpus: DataFrame, vocab: DataFrame, cfg: Preparation) -> DataFrame:
-    """``(row_id, source_ds, pos, input_ids)``. Texts are encoded where they are scanned, so the
-    shuffle that orders the corpus moves ids, not text."""
-    encoded = encode_words(corpus, vocab, cfg.append_eos, cfg.normalization)
-    if cfg.shuffle:
-        return shuffled_positions(encoded, cfg.seed)
-    numbered = encoded.withColumn("doc_id", F.substring_index("row_id", ":", -1).cast("bigint"))
-    return source_positions(numbered, "doc_id").drop("doc_id")
-
-
 def corpus_to_blocks(articles: DataFrame, qa: DataFrame | None, cfg: Preparation) -> DataFrame:
-    """The whole preparation: ``(batch, block, input_ids, labels)``."""
+    """The whole preparation: ``(batch, block, input_ids, labels)``.
+
+    Texts are encoded where they are scanned, so the shuffle that orders the corpus moves ids, not text.
+    """
     corpus = corpus_of(articles, qa, cfg)
-    docs = encoded_corpus(corpus, vocabulary_of(corpus, cfg), cfg)
-    return pack_blocks(docs, cfg.block_size, cfg.batch_rows, cfg.keep_short)
+    encoded = encode_words(corpus, vocabulary_of(corpus, cfg), cfg.append_eos, cfg.normalization)
+    if cfg.shuffle:
+        return pack_shuffled(encoded, cfg.block_size, cfg.batch_rows, cfg.keep_short, cfg.seed)
+    numbered = encoded.withColumn("doc_id", F.substring_index("row_id", ":", -1).cast("bigint"))
+    return pack_blocks(source_positions(numbered, "doc_id"), cfg.block_size, cfg.batch_rows, cfg.keep_short)
 
 
 def split_blocks(blocks: DataFrame, cfg: Preparation) -> tuple[DataFrame, DataFrame | None]:

@@ -175,7 +175,7 @@ PACKED = ",\n".join([ENCODED, f"positions AS (SELECT row_id, {shuffled('corpus')
 
 @query(f"WITH {PACKED}, {blocks('positions', 64, 100)} {BLOCK_ROWS}")
 def pack_blocks(spark, sf_dir):
-    packed = pack.pack_blocks(shuffled_positions(encoded(spark, sf_dir)), 64, 100)
+    packed = pack.pack_shuffled(encoded(spark, sf_dir), 64, 100)
     return block_rows(packed)
 
 

@@ -1,10 +1,13 @@
+import hashlib
 import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from loomtext.operators import checks, pack
+from pyspark.sql import functions as F
+
+from loomtext.operators import checks, order, pack
 
 
 def frame(spark, docs, parts=3):
@@ -107,3 +110,35 @@ def test_run_size(spark):
     assert tuple(checks.run_size(totals, 48, 2, 1).first()) == (568218, 96, 98304, 5918, 11836, 500)
     small = spark.createDataFrame([(10, 0)], "blocks long, tokens long")
     assert tuple(checks.run_size(small, 2, 1, 1, 8).first()) == (10, 2, 16, 5, 10, 1)
+
+
+@pytest.mark.parametrize("groups", [1, 3, 65536])
+@pytest.mark.parametrize("keep_short", [False, True])
+def test_packing_in_shuffled_order(spark, monkeypatch, groups, keep_short):
+    rng = random.Random(4)
+    docs = numbered([rng.choice([0, 1, 5, 40, 130]) for _ in range(150)])
+    rows = [(f"a:{i}", ids if i % 11 else None) for i, ids in enumerate(docs)]
+    df = spark.createDataFrame(rows, "row_id string, input_ids array<int>").repartition(5)
+    real = order.shuffle_groups
+    monkeypatch.setattr(pack, "shuffle_groups", lambda d, n, s, r: real(d, n, s, r, groups))
+    in_order = [ids or [] for _, ids in sorted(rows, key=lambda r: (hashlib.md5(f"42:{r[0]}".encode()).hexdigest(), r[0]))]
+    for size, batch in ((16, 25), (64, 7), (1000, 2)):
+        found = pack.pack_shuffled(df, size, batch, keep_short).collect()
+        assert {(r["batch"], r["block"]): r["input_ids"] for r in found} == brute(in_order, size, batch, keep_short)
+
+
+def test_groups_hold_whole_batches(spark):
+    df = spark.range(1000).select(F.concat(F.lit("a:"), "id").alias("row_id")).repartition(7)
+    rows = order.shuffle_groups(df, 30, groups=10).collect()
+    assert {r["_step"] for r in rows} == {120}
+    by_key = sorted(rows, key=lambda r: r["_key"])
+    assert [r["_group"] for r in by_key] == [i // 120 for i in range(1000)]
+
+
+def test_shuffled_packing_moves_the_ids_once(spark):
+    df = spark.createDataFrame([(f"a:{i}", [1, 2]) for i in range(9)], "row_id string, input_ids array<int>")
+    blocks = pack.pack_shuffled(df, 4, 2)
+    blocks.collect()
+    plan = blocks._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    moved = [line for line in plan.split("\n") if "Exchange hashpartitioning(_group" in line]
+    assert len(moved) == 1 and "hashpartitioning(batch" not in plan

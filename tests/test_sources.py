@@ -1,4 +1,7 @@
 import json
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,3 +132,19 @@ def test_block_splits(spark):
 def test_variants():
     assert set(VARIANTS) == {"single_source", "two_source", "dual_gpu", "consumer_gpu", "published"}
     assert {v.batch_rows for v in VARIANTS.values()} == {1000, 2000, 5000}
+
+
+def test_executors_do_not_need_the_package(tmp_path):
+    """A driver in another folder: its Python workers cannot import the package by themselves."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+import __spark_entry__ as entry
+from loomtext.session import local_session
+spark = local_session(cpus=2)
+for name in ("corpus_to_blocks", "normalize_text", "decode_words"):
+    print(name, len(entry.queries()[name](spark, "/root/testdata/sf0.001").collect()) > 0)
+"""
+    found = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert found.stdout.count("True") == 3, found.stderr[-2000:]
