@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from loomtext.functions.text import byte_length, lines_of, stripped_length
 
 
-def corpus_size(docs: DataFrame) -> DataFrame:
-    """Bytes and lines of the newline-separated export, without writing it."""
+def corpus_size(docs: DataFrame, last_newline: bool = True) -> DataFrame:
+    """Bytes and lines of the newline-separated export, without writing it; the newline after the
+    last text may be left out."""
+    size = F.coalesce(F.sum(byte_length(F.col("text")) + 1), F.lit(0))
     return docs.agg(
-        F.coalesce(F.sum(byte_length(F.col("text")) + 1), F.lit(0)).cast("bigint").alias("bytes"),
+        (size if last_newline else F.greatest(size - 1, F.lit(0))).cast("bigint").alias("bytes"),
         F.coalesce(F.sum(F.size(lines_of(F.col("text")))), F.lit(0)).cast("bigint").alias("lines"),
         F.count("text").alias("texts"),
     )

@@ -84,6 +84,12 @@ def decode(df: DataFrame, vocab: DataFrame) -> DataFrame:
     return df.withColumn("decoded", unmark(F.array_join(id_pieces(F.col("input_ids"), vocab), "")))
 
 
+def preview_blocks(blocks: DataFrame, vocab: DataFrame, first: int = 50) -> DataFrame:
+    """Add ``preview``: the text of the first ids of each block."""
+    head = blocks.withColumn("_ids", F.slice("input_ids", 1, first))
+    return head.withColumn("preview", unmark(F.array_join(id_pieces(F.col("_ids"), vocab), ""))).drop("_ids")
+
+
 def show_pieces(docs: DataFrame, vocab: DataFrame, mode: str = "whitespace") -> DataFrame:
     """Add ``pieces``: how a text is cut, with ``<unk>`` where a word is unknown."""
     ids = word_ids(tokens_of(F.col("text"), mode), vocab, append_eos=False)

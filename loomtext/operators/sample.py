@@ -49,8 +49,14 @@ def random_holdout(
 
 
 def head_holdout(df: DataFrame, order: list[str], size: int = 1000) -> DataFrame:
-    """The first rows in a given order. ``size`` stays small: they pass through one task."""
-    return df.orderBy(*order).limit(size)
+    """The first ``size`` rows in a unique order, of a saved table.
+
+    Only the order columns are sorted, to find the last row to keep; the rows themselves stay where
+    they are.
+    """
+    place = F.struct(*order)
+    first = df.select(place.alias("place")).orderBy("place").limit(size)
+    return df.where(place <= first.agg(F.max("place")).scalar())
 
 
 def systematic_sample(df: DataFrame, column: str, target: int = 100) -> DataFrame:

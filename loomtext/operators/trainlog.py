@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomtext.functions.numeric import epoch, metric_line
+from loomtext.functions.numeric import epoch, fixed, metric_line
 from loomtext.operators.filters import is_reported_step
 from loomtext.operators.series import SPAN, last_known
 
@@ -31,6 +31,15 @@ def report_lines(log: DataFrame, label: str = "loss") -> DataFrame:
     )
 
 
+def detailed_lines(log: DataFrame) -> DataFrame:
+    """The lines of the detailed log: train losses of reported steps with their rate, and every
+    evaluation loss. A row with both gives two lines."""
+    train = F.when(is_reported_step(F.col("step")), metric_line(F.col("step"), F.col("loss"), F.col("lr"), "train_loss"))
+    evaluated = F.concat(F.lit("Step "), F.col("step").cast("string"), F.lit(": eval_loss="), fixed(F.col("eval_loss"), 4))
+    lines = F.filter(F.array(train, evaluated), lambda line: line.isNotNull())
+    return log.select("*", F.explode(lines).alias("line"))
+
+
 def prompt_grid(steps: DataFrame, prompts: list[str] | None = None) -> DataFrame:
     """Work list of generations: each step with each prompt of a literal list."""
     listed = F.array(*[F.lit(p) for p in prompts or PROMPTS])

@@ -52,12 +52,26 @@ def number_pieces(scored: DataFrame) -> DataFrame:
     return special_rows(scored.sparkSession).unionByName(pieces)
 
 
+def least_kept_count(counts: DataFrame, keep: int) -> Column:
+    """Scalar subquery: a count ``c`` such that the ``keep`` most frequent tokens all have ``n >= c``.
+
+    It reads the table of how many tokens have each count, which is small: the distinct counts of
+    a text of T tokens number at most the square root of 2 T.
+    """
+    levels = counts.groupBy("n").agg(F.count("*").alias("tokens"))
+    above = F.sum("tokens").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1))
+    return levels.withColumn("above", F.coalesce(above, F.lit(0))).where(F.col("above") < keep).agg(F.min("n")).scalar()
+
+
 def frequency_vocab(counts: DataFrame, size: int = 32000) -> DataFrame:
     """The most frequent tokens with log shares as scores.
 
-    The top-k runs in every task first, so the numbering window sees at most ``size`` rows.
+    Tokens too rare to be among them are dropped before the top-k; without that, every task would
+    send its own ``size`` best to the last one. The numbering window sees at most ``size`` rows.
     """
-    top = counts.orderBy(F.desc("n"), "tok").limit(size - len(SPECIAL_PIECES))
+    keep = size - len(SPECIAL_PIECES)
+    frequent = counts.where(F.col("n") >= least_kept_count(counts, keep))
+    top = frequent.orderBy(F.desc("n"), "tok").limit(keep)
     share = F.col("n") / F.sum("n").over(Window.partitionBy())
     rank = F.row_number().over(Window.orderBy(F.desc("n"), "tok"))
     pieces = top.select(

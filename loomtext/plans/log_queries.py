@@ -43,6 +43,14 @@ def milestone_rows(spark, sf_dir):
     return metric_log(spark, sf_dir).where(is_milestone(F.col("step"))).select("run", "step", "loss", "eval_loss")
 
 
+@query("""SELECT event_id AS step, printf('Step %d: train_loss=%.4f, lr=%.2e', event_id, value, value * 1e-7::DOUBLE) AS line
+FROM events WHERE event_type = 'click' AND (event_id <= 10 OR event_id % 100 = 0)
+UNION ALL SELECT event_id, printf('Step %d: eval_loss=%.4f', event_id, value) FROM events WHERE event_type = 'view'""")
+def detailed_metric_lines(spark, sf_dir):
+    log = metric_log(spark, sf_dir).withColumn("lr", F.col("loss") * F.lit(1e-7))
+    return trainlog.detailed_lines(log).select("step", "line")
+
+
 PROMPT_VALUES = ", ".join(f"({i}, '{p}')" for i, p in enumerate(trainlog.PROMPTS))
 
 

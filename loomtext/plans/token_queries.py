@@ -244,10 +244,22 @@ def block_positions(spark, sf_dir):
 @query(f"""WITH {prepared(SMALL)}
 SELECT batch, block, md5(ids) AS ids_md5 FROM blocks ORDER BY batch, block LIMIT 1000""")
 def head_holdout(spark, sf_dir):
-    held = sample.head_holdout(blocks_of(spark, sf_dir, SMALL), ["batch", "block"], 1000)
+    held = sample.head_holdout(frozen(blocks_of(spark, sf_dir, SMALL)), ["batch", "block"], 1000)
     return held.select("batch", "block", ids_md5().alias("ids_md5"))
 
 
+@query(f"""WITH {prepared(SMALL)}, head AS (
+  SELECT batch, block, unnest(string_split(ids, ' ')[1:50])::BIGINT AS id, generate_subscripts(string_split(ids, ' ')[1:50], 1) AS i
+  FROM blocks),
+t AS (SELECT batch, block, string_agg(coalesce(tok, ''), '' ORDER BY i) AS joined FROM head LEFT JOIN vocab USING (id) GROUP BY ALL)
+SELECT batch, block, regexp_replace(replace(joined, '{M}', ' '), '^ ', '') AS preview FROM t""")
+def block_preview(spark, sf_dir):
+    docs = prepare.corpus_of(articles(spark, sf_dir), qa_pairs(spark, sf_dir), SMALL)
+    found = prepare.vocabulary_of(docs, SMALL)
+    packed = pack.pack_shuffled(encode.encode_words(docs, found), SMALL.block_size, SMALL.batch_rows)
+    return encode.preview_blocks(packed, found, 50).select("batch", "block", "preview")
+
+
 BLOCK_NAME = "(batch || ':' || block)"
 
 

@@ -144,6 +144,12 @@ def test_report_lines(spark):
     assert got == ["Step 10: loss=8.5000, lr=1.35e-06", "Step 100: loss=7.0000, lr=0.00e+00"]
 
 
+def test_detailed_lines(spark):
+    log = log_frame(spark, [(1, 10, 8.5, 7.5, 1.35e-6), (1, 11, 8.0, None, 1e-6), (1, 13, None, 7.0, None), (1, 200, None, None, 1.0)])
+    got = sorted(r["line"] for r in trainlog.detailed_lines(log).collect())
+    assert got == ["Step 10: eval_loss=7.5000", "Step 10: train_loss=8.5000, lr=1.35e-06", "Step 13: eval_loss=7.0000"]
+
+
 def test_prompt_grid(spark):
     rows = trainlog.prompt_grid(spark.createDataFrame([(1,), (2,)], "step long"), ["x", "y"]).collect()
     assert sorted((r["step"], r["prompt_id"], r["prompt"]) for r in rows) == [(1, 0, "x"), (1, 1, "y"), (2, 0, "x"), (2, 1, "y")]

@@ -108,6 +108,8 @@ def test_guards(spark):
         vocab.pieces_of(v.where("id <> 2"))
     df = docs(spark, ["x" * 10, "a\nb"])
     assert tuple(checks.corpus_size(df).first()) == (15, 3, 2)
+    assert checks.corpus_size(df, last_newline=False).first()["bytes"] == 14
+    assert checks.corpus_size(docs(spark, []), last_newline=False).first()["bytes"] == 0
     assert checks.require_corpus_bytes(df, 15) == 15
     with pytest.raises(RuntimeError, match="15 bytes"):
         checks.require_corpus_bytes(df)
