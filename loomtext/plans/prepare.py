@@ -9,7 +9,10 @@ from loomtext.operators.encode import encode_words
 from loomtext.operators.filters import keep_length_band
 from loomtext.operators.order import source_positions
 from loomtext.operators.pack import pack_blocks, pack_shuffled
-from loomtext.operators.sample import head_holdout, prefix_slice, random_holdout, sample_then_filter, train_test_split
+from loomtext.operators.sample import (
+    head_holdout, prefix_slice, random_holdout, sample_sentences, sample_then_filter, sentences, train_test_split,
+)
+from loomtext.operators.unigram import encode_unigram, unigram_vocab
 from loomtext.operators.vocab import frequency_vocab, token_counts
 from loomtext.plans.settings import Preparation
 from loomtext.sources.corpus import unify_articles, unify_qa, union_sources
@@ -26,12 +29,27 @@ def corpus_of(articles: DataFrame, qa: DataFrame | None, cfg: Preparation) -> Da
 
 
 def vocabulary_of(corpus: DataFrame, cfg: Preparation) -> DataFrame:
-    """Frequency vocabulary of the sampled texts that pass the length filter."""
+    """Vocabulary of the sampled texts that pass the length filter."""
     if cfg.vocab_sample is None:
         chosen = keep_length_band(corpus, cfg.length_low, cfg.length_high)
     else:
         chosen = sample_then_filter(corpus, cfg.vocab_sample, cfg.length_low, cfg.length_high, cfg.seed)
-    return frequency_vocab(token_counts(chosen, cfg.normalization), cfg.vocab_size)
+    if cfg.vocab_kind == "frequency":
+        return frequency_vocab(token_counts(chosen, cfg.normalization), cfg.vocab_size)
+    if cfg.vocab_kind != "unigram":
+        raise ValueError(f"unknown vocabulary {cfg.vocab_kind!r}")
+    if cfg.sentence_cap is None:
+        lines = sentences(chosen, cfg.sentence_bytes)
+    else:
+        lines = sample_sentences(chosen, cfg.sentence_cap, cfg.sentence_bytes, cfg.seed)
+    texts = lines.select(F.col("sentence").alias("text"))
+    return unigram_vocab(texts, cfg.vocab_size, cfg.coverage, cfg.normalization)
+
+
+def encode(corpus: DataFrame, vocab: DataFrame, cfg: Preparation) -> DataFrame:
+    """Replace ``text`` by ``input_ids`` with the vocabulary's own method."""
+    method = encode_unigram if cfg.vocab_kind == "unigram" else encode_words
+    return method(corpus, vocab, cfg.append_eos, cfg.normalization)
 
 
 def corpus_to_blocks(articles: DataFrame, qa: DataFrame | None, cfg: Preparation) -> DataFrame:
@@ -40,7 +58,7 @@ def corpus_to_blocks(articles: DataFrame, qa: DataFrame | None, cfg: Preparation
     Texts are encoded where they are scanned, so the shuffle that orders the corpus moves ids, not text.
     """
     corpus = corpus_of(articles, qa, cfg)
-    encoded = encode_words(corpus, vocabulary_of(corpus, cfg), cfg.append_eos, cfg.normalization)
+    encoded = encode(corpus, vocabulary_of(corpus, cfg), cfg)
     if cfg.shuffle:
         return pack_shuffled(encoded, cfg.block_size, cfg.batch_rows, cfg.keep_short, cfg.seed)
     numbered = encoded.withColumn("doc_id", F.substring_index("row_id", ":", -1).cast("bigint"))

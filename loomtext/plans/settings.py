@@ -10,7 +10,8 @@ class Preparation:
     """How a corpus becomes blocks.
 
     ``length_low`` and ``length_high`` select the texts the vocabulary is trained on; all texts are
-    encoded. ``holdout`` names the evaluation split: ``none``, ``share`` (disjoint), ``random`` and
+    encoded. A ``unigram`` vocabulary is trained on the lines of those texts, without lines beyond
+    ``sentence_bytes`` and on at most ``sentence_cap`` of them. ``holdout`` names the evaluation split: ``none``, ``share`` (disjoint), ``random`` and
     ``head`` (both taken from rows that also stay in train).
     """
 
@@ -21,7 +22,11 @@ class Preparation:
     vocab_sample: int | None = 500_000
     length_low: int = 50
     length_high: int | None = 5000
+    vocab_kind: str = "frequency"
     vocab_size: int = 32_000
+    sentence_bytes: int = 4192
+    sentence_cap: int | None = None
+    coverage: float = 0.9995
     normalization: str = "whitespace"
     append_eos: bool = True
     block_size: int = 1024
@@ -38,8 +43,12 @@ VARIANTS = {
         use_qa=False, prefix_percent=10, shuffle=False, vocab_sample=None, length_high=None,
         block_size=512, batch_rows=1000, holdout="none",
     ),
-    "two_source": Preparation(length_high=None, batch_rows=1000, holdout="share"),
-    "dual_gpu": Preparation(batch_rows=5000, keep_short=True, holdout="head"),
+    "two_source": Preparation(
+        length_high=None, sentence_bytes=2048, sentence_cap=500_000, batch_rows=1000, holdout="share",
+    ),
+    "dual_gpu": Preparation(
+        sentence_bytes=1024, sentence_cap=500_000, batch_rows=5000, keep_short=True, holdout="head",
+    ),
     "consumer_gpu": Preparation(batch_rows=5000, holdout="head"),
-    "published": Preparation(batch_rows=2000, holdout="random"),
+    "published": Preparation(sentence_cap=200_000, batch_rows=2000, holdout="random"),
 }

@@ -147,7 +147,9 @@ def show_pieces(spark, sf_dir):
     return shown.select("row_id", F.md5(F.array_join("pieces", "|")).alias("shown_md5"))
 
 
-@query()
+# The texts hold ASCII and composed Latin letters only; on these, NFKC with case folding is lower() with ß as ss.
+@query(f"""WITH {CORPUS} SELECT row_id,
+  md5(regexp_replace({stripped("replace(lower(text), 'ß', 'ss')")}, '[{WS}]+', ' ', 'g')) AS text_md5 FROM corpus""")
 def normalize_text(spark, sf_dir):
     rows = corpus(spark, sf_dir)
     return rows.select("row_id", F.md5(normalize(F.col("text"), "nfkc_cf")).alias("text_md5"))
@@ -315,6 +317,13 @@ def disjoint_block_split(spark, sf_dir):
     return both.select("batch", "block", ids_md5().alias("ids_md5"), "split")
 
 
+@query()
+def corpus_to_blocks_unigram(spark, sf_dir):
+    """The whole preparation with a subword vocabulary trained on the corpus' own lines."""
+    cfg = replace(VARIANTS["published"], vocab_kind="unigram", vocab_size=1000, normalization="nfkc_cf")
+    return block_rows(blocks_of(spark, sf_dir, cfg))
+
+
 @query(f"WITH {ENCODED_4K}, {PAIRS} SELECT prev, next, n FROM pc")
 def next_token_pairs(spark, sf_dir):
     counts = ngrams.pair_counts(encoded(spark, sf_dir, 4000))

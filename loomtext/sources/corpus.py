@@ -6,6 +6,7 @@ import hashlib
 import json
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,12 +96,16 @@ def append_generations(samples: DataFrame, path: str) -> None:
 def materialize(spark: SparkSession, root: str, stage: str, params: dict, build: Callable[[], DataFrame]) -> DataFrame:
     """Compute a stage once per parameter set and read it back afterwards.
 
-    The parameters are part of the path, so a changed parameter never reuses old rows, and only a
-    finished write (``_SUCCESS``) counts.
+    The parameters are part of the path, so a changed parameter never reuses old rows. They are also
+    noted in a second folder once the rows are written; without that note the stage is built again.
     """
-    digest = hashlib.sha256(json.dumps(params, sort_keys=True, ensure_ascii=False).encode()).hexdigest()[:16]
-    path = f"{root}/{stage}-{digest}"
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    if not marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker):
+    settings = json.dumps(params, sort_keys=True, ensure_ascii=False)
+    path = f"{root}/{stage}-{hashlib.sha256(settings.encode()).hexdigest()[:16]}"
+    try:
+        spark.read.text(f"{path}.done")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         build().write.mode("overwrite").parquet(path)
+        spark.createDataFrame([(settings,)], "value string").write.mode("overwrite").text(f"{path}.done")
     return spark.read.parquet(path)
