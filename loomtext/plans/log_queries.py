@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomtext.functions.numeric import clamp_length, clamp_temperature, learning_rate, loss_or_missing, metric_line
-from loomtext.functions.text import preview
 from loomtext.operators import trainlog
 from loomtext.operators.filters import is_milestone, is_reported_step
 from loomtext.operators.series import last_known
@@ -196,15 +195,15 @@ def fill_forward_header(spark, sf_dir):
     return known.where(F.col("event_type") != "signup")
 
 
-@query("""SELECT conv_id AS prompt, max(substring(text, 1, 40)) FILTER (turn = 0) AS step_0,
-  max(substring(text, 1, 40)) FILTER (turn = 1) AS step_1, max(substring(text, 1, 40)) FILTER (turn = 2) AS step_2,
-  max(substring(text, 1, 40)) FILTER (turn = 3) AS step_3, max(substring(text, 1, 40)) FILTER (turn = 4) AS step_4,
-  max(substring(text, 1, 40)) FILTER (turn = 5) AS step_5, max(substring(text, 1, 40)) FILTER (turn = 6) AS step_6,
-  max(substring(text, 1, 40)) FILTER (turn = 7) AS step_7 FROM conversations GROUP BY conv_id""")
+@query("""SELECT conv_id AS prompt, max(text) FILTER (turn = 0) AS step_0,
+  max(text) FILTER (turn = 1) AS step_1, max(text) FILTER (turn = 2) AS step_2,
+  max(text) FILTER (turn = 3) AS step_3, max(text) FILTER (turn = 4) AS step_4,
+  max(text) FILTER (turn = 5) AS step_5, max(text) FILTER (turn = 6) AS step_6,
+  max(text) FILTER (turn = 7) AS step_7 FROM conversations GROUP BY conv_id""")
 def pivot_by_step(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
     samples = turns.select(
-        F.col("conv_id").alias("prompt"), F.col("turn").alias("step"), preview(F.col("text"), 40).alias("generated")
+        F.col("conv_id").alias("prompt"), F.col("turn").alias("step"), F.col("text").alias("generated")
     )
     wide = trainlog.samples_by_step(samples, list(range(8)))
     return wide.withColumnsRenamed({str(i): f"step_{i}" for i in range(8)})
@@ -230,7 +229,7 @@ def results_table_roundtrip(spark, sf_dir):
     return logs.read_results_table(spark, path).select("step", "epoch", "loss")
 
 
-@query("""WITH t AS (SELECT conv_id, turn, role, regexp_replace(substring(text, 1, 60), '[\\n\\r\\]]', ' ', 'g') AS head FROM conversations),
+@query("""WITH t AS (SELECT conv_id, turn, role, regexp_replace(text, '[\\n\\r]', ' ', 'g') AS head FROM conversations),
 h AS (SELECT conv_id, turn, head, last_value(CASE WHEN role = 'user' THEN conv_id * 100 + turn END IGNORE NULLS)
         OVER (ORDER BY conv_id, turn) AS step, role FROM t)
 SELECT step, round(step / 8::DOUBLE, 4) AS loss, 'conv ' || conv_id AS prompt, head AS generated FROM h
@@ -239,7 +238,7 @@ def generation_log_parse(spark, sf_dir):
     """Conversations as a generation log: user turns become headers, the other turns sample lines."""
     turns = table(spark, sf_dir, "conversations")
     step = F.col("conv_id") * 100 + F.col("turn")
-    head = F.regexp_replace(preview(F.col("text"), 60), "[\\n\\r\\]]", " ")
+    head = F.regexp_replace("text", "[\\n\\r]", " ")
     line = F.when(
         F.col("role") == "user", F.concat(F.lit("📝 Step "), step.cast("string"), F.lit(" | Loss: "), (step / 8).cast("string"))
     ).otherwise(F.concat(F.lit("   [conv "), F.col("conv_id").cast("string"), F.lit("] → "), head))
