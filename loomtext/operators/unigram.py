@@ -226,7 +226,9 @@ def unigram_vocab(
 
 def unigram_ids(words: Column, vocab: DataFrame, append_eos: bool = True) -> Column:
     """Array of words to piece ids by best path; a run of unknown characters becomes one id 1."""
-    rows = vocab.where(~F.col("is_special")).select("piece", "score", "id").limit(MAX_PIECES).collect()
+    rows = vocab.where(~F.col("is_special")).select("piece", "score", "id").limit(MAX_PIECES + 1).collect()
+    if len(rows) > MAX_PIECES:
+        raise ValueError(f"vocabulary has more than {MAX_PIECES} pieces")
     table = ({r["piece"]: r["score"] for r in rows}, {r["piece"]: r["id"] for r in rows})
     shared = vocab.sparkSession.sparkContext.broadcast(table)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomtext.operators.vocab import EOS_ID, MAX_PIECES
+from loomtext.operators.vocab import EOS_ID
 
 
 def read_vocab_tsv(spark: SparkSession, path: str) -> DataFrame:
@@ -18,7 +18,7 @@ def read_vocab_tsv(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.text(path, wholetext=True)
     lines = files.select(F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
     fields = F.split(F.trim(F.col("line")), "\t")
-    kept = lines.where(F.size(fields) >= 2).select("line_no", F.get(fields, F.lit(0)).alias("piece"), F.get(fields, F.lit(1)).alias("raw")).limit(MAX_PIECES)
+    kept = lines.where(F.size(fields) >= 2).select("line_no", F.get(fields, F.lit(0)).alias("piece"), F.get(fields, F.lit(1)).alias("raw"))
     numbered = kept.withColumn("id", (F.row_number().over(Window.orderBy("line_no")) - 1).cast("int"))
     return numbered.select(
         "id", "piece", F.col("raw").cast("double").alias("score"), (F.col("id") <= EOS_ID).alias("is_special")
