@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomtext.llm import exact, simhash
+from loomtext.llm import exact, mixing, packing, quality, simhash
 from loomtext.llm.common import saved
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -19,6 +20,12 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 ORACLE_SQL = None
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression classifier scores at least 0.7 stay."""
+    scored = quality.score_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.where("predicted = 1").select(*docs.columns)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays."""
     return exact.drop_duplicates(docs)
@@ -29,9 +36,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.drop_near_duplicates(docs)
 
 
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The training order: each document as often as the mix takes it."""
+    return mixing.training_order(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in windows of 2,048 tokens."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("good_quality", good_quality),
     ("exact_dedup", exact_dedup),
     ("near_dedup", near_dedup),
+    ("mixed_sources", mixed_sources),
+    ("packed", packed),
 ]
 
 

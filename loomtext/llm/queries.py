@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import exact, sharding, simhash
+from loomtext.llm import exact, mixing, packing, quality, sharding, simhash
 from loomtext.plans.registry import query
 
 
@@ -36,6 +37,75 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), words=3, radius=2)
 
 
+@query()
+def op3_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), window=2048)
+
+
+@query()
+def op5_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+MIX_SQL = r"""
+    WITH sized AS (
+        SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5(doc_id::VARCHAR) AS h
+        FROM documents
+    ),
+    ranked AS (
+        SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+        FROM sized GROUP BY source
+    ),
+    weighed AS (
+        SELECT *, place % 3 AS class, [5.0, 2.0, 1.0][place % 3 + 1]::DOUBLE AS weight, source_size * 2.0::DOUBLE AS most,
+               (sum(source_size) OVER ())::BIGINT * 1.5::DOUBLE AS total
+        FROM ranked
+    ),
+    levels AS (
+        SELECT *, most / weight AS ratio,
+               (total - coalesce(sum(most) OVER (ORDER BY most / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+               / sum(weight) OVER (ORDER BY most / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+        FROM weighed
+    ),
+    goals AS (
+        SELECT source, source_size, class, CASE WHEN ratio <= level THEN most ELSE weight * water END AS target
+        FROM (SELECT *, (SELECT level FROM levels WHERE ratio > level ORDER BY ratio, place LIMIT 1) AS water FROM levels)
+    ),
+    placed AS (
+        SELECT s.doc_id, s.size, g.source_size, g.class, g.target,
+               (sum(s.size) OVER (PARTITION BY s.source ORDER BY s.h, s.doc_id))::BIGINT - s.size AS before,
+               CASE WHEN g.source_size > 0 THEN floor(g.target / g.source_size)::BIGINT ELSE 0 END AS rounds
+        FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
+    ),
+    counted AS (
+        SELECT *, CASE WHEN size > 0 THEN rounds + (before * 2 + size < (target - rounds * source_size) * 2 AND rounds < 2)::BIGINT ELSE 0 END AS copies,
+               least((before + size / 2.0::DOUBLE) / target, 1) AS u
+        FROM placed
+    )
+    SELECT doc_id, size, source_size, target, size * copies AS taken, copies,
+           CASE WHEN copies = 0 THEN NULL WHEN u <= 0 THEN 0.0
+                WHEN class = 0 THEN least(2 * u / (1.5::DOUBLE + sqrt(greatest(2.25::DOUBLE - 2 * u, 0))), 1)
+                WHEN class = 1 THEN least(2 * u / (1 + sqrt(1)), 1)
+                ELSE least(2 * u / (0.5::DOUBLE + sqrt(0.25::DOUBLE + 2 * u)), 1) END AS first_position
+    FROM counted
+"""
+
+
+@query(MIX_SQL)
+def op9_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mix(documents(spark, sf_dir)).select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        "taken",
+        F.size("positions").cast("bigint").alias("copies"),
+        F.get("positions", F.lit(0)).alias("first_position"),
+    )
+    return rows.repartitionByRange("first_position").sortWithinPartitions("first_position", "doc_id")
+
+
 @query(
     """
     WITH t AS (
