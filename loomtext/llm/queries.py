@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import exact, mixing, packing, quality, sharding, simhash
+from loomtext.llm import exact, merkle, mixing, packing, quality, sharding, simhash
 from loomtext.plans.registry import query
 
 
@@ -42,6 +42,11 @@ def op3_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), window=2048)
 
 
+@query()
+def op4_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edited_likeness(documents(spark, sf_dir))
+
+
 @query()
 def op5_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
