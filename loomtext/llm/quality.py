@@ -56,19 +56,25 @@ def features(texts: list[bytes], good: bytes, bad: bytes, level: int = LEVEL) ->
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, usable: Column, examples: int = EXAMPLES, max_bytes: int = MAX_BYTES) -> Model:
-    """Fit on at most ``examples`` labelled texts per class: half for the dictionaries, half for the calibration.
+    """Fit on at most ``examples`` labelled texts per class.
+
+    Each half is measured with the dictionaries of the other half to calibrate the score; then both halves make the final dictionaries.
 
     Without labels of both classes the score is the share of class 1, smoothed (0.5 without any).
     """
     rows = labelled.sample(docs, labels, label, usable, examples, max_bytes)
-    build, hold = labelled.split_half([(i, t.encode(), c) for i, t, c in rows])
-    if any(sum(r[2] == c for r in part) == 0 for c in (0, 1) for part in (build, hold)):
+    halves = [[(t.encode(), c) for _, t, c in half] for half in labelled.split_half(rows)]
+    if any(sum(r[1] == c for r in half) == 0 for c in (0, 1) for half in halves):
         ones = sum(c for _, _, c in rows)
         return Model(b"", b"", (), float(np.log((ones + 1) / (len(rows) - ones + 1))))
-    good, bad = (_dictionary([t for _, t, c in build if c == one], DICTIONARY_BYTES) for one in (1, 0))
-    classes = np.array([c for _, _, c in hold], dtype=float)
-    weights, offset = logistic.fit(features([t for _, t, _ in hold], good, bad), classes)
-    return Model(good, bad, tuple(weights), offset)
+
+    def dictionaries(some: list[tuple[bytes, int]]) -> list[bytes]:
+        return [_dictionary([t for t, c in some if c == one], DICTIONARY_BYTES) for one in (1, 0)]
+
+    seen = [features([t for t, _ in halves[1 - i]], *dictionaries(halves[i])) for i in (0, 1)]
+    classes = np.array([c for half in reversed(halves) for _, c in half], dtype=float)
+    weights, offset = logistic.fit(np.vstack(seen), classes)
+    return Model(*dictionaries(halves[0] + halves[1]), tuple(weights), offset)
 
 
 def score(text: Column, model: Model) -> Column:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import exact, merkle, mixing, packing, quality, sharding, simhash
+from loomtext.llm import exact, merkle, mixing, packing, quality, sharding, simhash, toxicity
 from loomtext.plans.registry import query
 
 
@@ -53,6 +53,12 @@ def op5_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+@query()
+def op6_tfidf_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", "evidence")
+
+
 MIX_SQL = r"""
     WITH sized AS (
         SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5(doc_id::VARCHAR) AS h
