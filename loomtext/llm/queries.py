@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import exact, merkle, mixing, packing, quality, sharding, simhash, toxicity
+from loomtext.llm import exact, langid, merkle, mixing, packing, quality, sharding, simhash, toxicity
 from loomtext.plans.registry import query
 
 
@@ -59,6 +59,11 @@ def op6_tfidf_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted", "evidence")
 
 
+@query()
+def op8_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score")
+
+
 MIX_SQL = r"""
     WITH sized AS (
         SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5(doc_id::VARCHAR) AS h
