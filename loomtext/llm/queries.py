@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import exact, langid, merkle, mixing, packing, quality, sharding, simhash, toxicity
+from loomtext.llm import exact, langid, merkle, mixing, packing, quality, sharding, simhash, toxicity, warc
 from loomtext.plans.registry import query
+from loomtext.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +60,49 @@ def op6_tfidf_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted", "evidence")
 
 
+WARC_SQL = r"""
+    WITH numbered AS (
+        SELECT page_id, coalesce(html, '') AS payload, coalesce(url, '') AS url,
+               row_number() OVER (ORDER BY page_id) - 1 AS place, greatest(2048, ceil(count(*) OVER () / 8192.0)::BIGINT) AS each
+        FROM pages
+    ),
+    records AS (
+        SELECT page_id, place // each AS file, place % each AS record_no,
+               'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id
+               || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10)
+               || 'Content-Length: ' || strlen(payload) || chr(13) || chr(10) || chr(13) || chr(10) || payload AS record
+        FROM numbered
+    ),
+    placed AS (
+        SELECT *, strlen(record) AS length, sha256(record) AS expected_sha256,
+               (sum(strlen(record) + 4) OVER (PARTITION BY file ORDER BY record_no))::BIGINT - strlen(record) - 4 AS "offset",
+               file % 3 = 1 AND record_no = max(record_no) OVER (PARTITION BY file) AS missing
+        FROM records
+    ),
+    found AS (
+        SELECT *, CASE WHEN missing AND record_no > 0 THEN NULL
+                       WHEN md5(page_id::VARCHAR)[:2] < '06' THEN record[:-2] || '#'
+                       WHEN md5(page_id::VARCHAR)[:2] >= 'fd' THEN record[:-2] ELSE record END AS other
+        FROM placed
+    )
+    SELECT file::INTEGER AS file, record_no, page_id, "offset", length, strlen(other) AS found_length,
+           CASE WHEN other IS NULL THEN 'missing' WHEN strlen(other) <> length THEN 'resized' ELSE 'changed' END AS kind,
+           expected_sha256, sha256(other) AS found_sha256
+    FROM found WHERE other IS DISTINCT FROM record
+"""
+
+
+@query(WARC_SQL)
+def op7_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC files, an aged replica of them, and what the audit finds."""
+    original, replica = scratch_path(spark, "warc"), scratch_path(spark, "warc-replica")
+    warc.write_warc(warc.archive(table(spark, sf_dir, "pages")), original, exchange=False)
+    records = warc.read_warc(spark, original)
+    expected = warc.leaves(records)
+    warc.write_warc(warc.aged(records, expected), replica, order="at", exchange=False)
+    return warc.audit(expected, warc.leaves(warc.read_warc(spark, replica)))
+
+
 @query()
 def op8_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score")

@@ -95,6 +95,7 @@ def histogram_sort(
     shards: int,
     tolerance: float = 0.001,
     range_bytes: int = RANGE_BYTES,
+    shares: Sequence[float] | None = None,
 ) -> DataFrame:
     """Add ``shard`` (int) and ``slot`` (long): ``df`` sorted by (first, second) and cut into shards of equal bytes.
 
@@ -102,14 +103,14 @@ def histogram_sort(
     ``tolerance`` of the mean at either end, or by what the rows that share one key weigh. A shard is sorted as
     several ranges of about ``range_bytes``; ``slot`` counts the shard's rows from 0 without gaps.
 
-    Null keys sort first and null sizes count 0. Rows alike in both keys stay in one shard. An empty table
+    ``shares`` names other targets: the size below each of the inner borders. Null keys sort first and null sizes count 0. Rows alike in both keys stay in one shard. An empty table
     gives an empty result; an input column named ``shard`` or ``slot`` is replaced.
     """
     keyed = df.withColumn("__key", order_key(first, second)).withColumn("__size", F.coalesce(size.cast("bigint"), F.lit(0)))
     narrow = saved(keyed.select("__key", "__size"), "histogram")
     total = narrow.agg(F.sum("__size")).first()[0] or 0
     per_shard = max(1, math.ceil(total / shards / range_bytes))
-    shard_targets = [total * i / shards for i in range(1, shards)]
+    shard_targets = shares if shares is not None else [total * i / shards for i in range(1, shards)]
     borders = sorted(splitters(narrow, shard_targets, tolerance / 2 * total / shards))
     inner = [total * i / (shards * per_shard) for i in range(1, shards * per_shard) if i % per_shard]
     cuts = sorted({*borders, *splitters(narrow, inner, 0.1 * total / (shards * per_shard))})
