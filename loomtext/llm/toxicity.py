@@ -70,7 +70,8 @@ def choose_terms(texts: list[str], classes: np.ndarray, most: int = TERMS) -> li
     n1, n0 = float(classes.sum()), float(len(classes) - classes.sum())
     c, d, n = n1 - a, n0 - b, n1 + n0
     with np.errstate(divide="ignore", invalid="ignore"):
-        chi = np.where((a + b > 1) & (c + d > 0), n * (a * d - b * c) ** 2 / ((a + b) * (c + d) * n1 * n0), 0.0)
+        # Terms that are not mostly of class 1 are no evidence for it, however strongly they lean.
+        chi = np.where((a + b > 1) & (c + d > 0) & (a > 3 * b), n * (a * d - b * c) ** 2 / ((a + b) * (c + d) * n1 * n0), 0.0)
     strong = int((chi > 2 * np.log(max(len(names), 1) / ALPHA)).sum())
     order = np.lexsort((np.arange(len(names)), -chi))[: min(most, max(strong, LEAST_TERMS))]
     return [names[i] for i in order if chi[i] > 0]

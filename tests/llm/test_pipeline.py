@@ -1,0 +1,67 @@
+import duckdb
+import pytest
+
+import corpus_pipeline
+from __spark_entry__ import oracle_sql, queries
+from loomtext.llm import quality, simhash
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs, found = spark.read.parquet(f"{SF}/documents.parquet"), {}
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs
+        docs = corpus_pipeline.saved(stage(spark, docs, SF), name)
+        found[name] = (before.toPandas(), docs.toPandas())
+    return columns, found
+
+
+def test_all_but_the_last_stage_return_documents(stages):
+    columns, found = stages
+    assert all(list(after.columns) == columns for name, (_, after) in found.items() if name != "packed")
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["good_quality", "exact_dedup", "near_dedup", "mixed_sources", "packed"]
+
+
+def test_quality_stage_keeps_what_is_predicted_good(spark, stages):
+    before, after = stages[1]["good_quality"]
+    scored = quality.score_documents(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
+    assert set(after.doc_id) == {r["doc_id"] for r in scored.where("predicted = 1").select("doc_id").collect()}
+
+
+def test_exact_stage_keeps_the_largest_id_of_equal_texts(stages):
+    before, after = stages[1]["exact_dedup"]
+    best = before.assign(norm=before.text.map(lambda t: t.encode().lower())).groupby("norm").doc_id.max()
+    assert sorted(after.doc_id) == sorted(best)
+
+
+def test_near_stage_keeps_one_of_each_class(spark, stages):
+    before, after = stages[1]["near_dedup"]
+    classes = simhash.near_duplicates(spark.createDataFrame(before)).select("component_id").distinct().collect()
+    assert sorted(after.doc_id) == sorted(r["component_id"] for r in classes)
+
+
+def test_mix_and_packing_use_every_document_left(stages):
+    before, mixed = stages[1]["mixed_sources"]
+    assert mixed.doc_id.value_counts().max() <= 2 and set(mixed.doc_id) <= set(before.doc_id)
+    size = mixed.text.map(lambda t: len(t.encode().split())).sum()
+    assert abs(size - 1.5 * before.text.map(lambda t: len(t.encode().split())).sum()) < 0.1 * size
+    _, pieces = stages[1]["packed"]
+    assert set(pieces.doc_id) == set(mixed.doc_id)
+    assert pieces.length.sum() == (mixed.doc_id.map(pieces.groupby("doc_id").doc_tokens.first())).sum()
+
+
+def test_all_operators_are_registered():
+    names = queries()
+    assert "pipeline" in names
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
+
+
+@pytest.mark.parametrize("name", [n for n in sorted(oracle_sql()) if n.startswith("op")])
+def test_sql_is_valid(name):
+    con = duckdb.connect()
+    for t in ("documents", "pages", "labels"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    assert con.sql(oracle_sql()[name]).fetchall()
