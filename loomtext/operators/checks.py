@@ -51,6 +51,13 @@ def require_same_vocab_size(model_size: int, vocab: DataFrame) -> None:
         raise ValueError(f"vocabulary size mismatch: model {model_size}, tokenizer {size}")
 
 
+def model_fit(vocab: DataFrame, sizes: list[int]) -> DataFrame:
+    """(model_size, pieces, fits): the size of the vocabulary held against those of models."""
+    listed = F.array(*[F.lit(n).cast("bigint") for n in sizes])
+    counted = vocab.agg(F.count("*").alias("pieces")).select(F.explode(listed).alias("model_size"), "pieces")
+    return counted.withColumn("fits", F.col("model_size") == F.col("pieces"))
+
+
 def token_range(blocks: DataFrame, vocab_size: int) -> DataFrame:
     """Highest id and the number of blocks with an id outside the vocabulary, over all blocks."""
     top = F.array_max("input_ids")

@@ -10,6 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,13 +40,20 @@ def _with_eos(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out, borders
 
 
-def word_ids(words: Column, vocab: DataFrame, append_eos: bool = True) -> Column:
+def shared_pieces(vocab: DataFrame | Broadcast) -> Broadcast:
+    """The pieces in id order, collected once and sent to the tasks once; encoding and decoding take it in place of the table."""
+    if isinstance(vocab, Broadcast):
+        return vocab
+    return vocab.sparkSession.sparkContext.broadcast(pa.array(pieces_of(vocab), pa.string()))
+
+
+def word_ids(words: Column, vocab: DataFrame | Broadcast, append_eos: bool = True) -> Column:
     """Array of words to array of ids; unknown words become 1, the end mark 3 is optional."""
-    pieces = vocab.sparkSession.sparkContext.broadcast(pa.array(pieces_of(vocab)[len(SPECIAL_PIECES):], pa.string()))
+    pieces = shared_pieces(vocab)
 
     @F.arrow_udf(IDS)
     def lookup(lists: pa.Array) -> pa.Array:
-        found = pc.index_in(lists.flatten(), value_set=pieces.value)
+        found = pc.index_in(lists.flatten(), value_set=pieces.value[len(SPECIAL_PIECES):])
         ids = pc.fill_null(pc.add(found, len(SPECIAL_PIECES)), UNK_ID).to_numpy(zero_copy_only=False).astype(np.int32)
         lengths = _lengths(lists)
         ids, borders = _with_eos(ids, lengths) if append_eos else (ids, _offsets(lengths))
@@ -60,9 +68,9 @@ def encode_words(docs: DataFrame, vocab: DataFrame, append_eos: bool = True, mod
     return docs.withColumn("input_ids", ids).drop("text")
 
 
-def id_pieces(ids: Column, vocab: DataFrame, keep_special: bool = False) -> Column:
+def id_pieces(ids: Column, vocab: DataFrame | Broadcast, keep_special: bool = False) -> Column:
     """Array of ids to array of pieces. Special ids, and ids outside the vocabulary, are skipped."""
-    pieces = vocab.sparkSession.sparkContext.broadcast(pa.array(pieces_of(vocab), pa.string()))
+    pieces = shared_pieces(vocab)
     lowest = 0 if keep_special else len(SPECIAL_PIECES)
 
     @F.arrow_udf(STRINGS)
@@ -79,18 +87,19 @@ def id_pieces(ids: Column, vocab: DataFrame, keep_special: bool = False) -> Colu
     return lookup(ids)
 
 
-def decode(df: DataFrame, vocab: DataFrame) -> DataFrame:
+def decode(df: DataFrame, vocab: DataFrame | Broadcast) -> DataFrame:
     """Add ``decoded``: the pieces joined, marks turned into spaces, special ids left out."""
     return df.withColumn("decoded", unmark(F.array_join(id_pieces(F.col("input_ids"), vocab), "")))
 
 
-def preview_blocks(blocks: DataFrame, vocab: DataFrame, first: int = 50) -> DataFrame:
+def preview_blocks(blocks: DataFrame, vocab: DataFrame | Broadcast, first: int = 50) -> DataFrame:
     """Add ``preview``: the text of the first ids of each block."""
     head = blocks.withColumn("_ids", F.slice("input_ids", 1, first))
     return head.withColumn("preview", unmark(F.array_join(id_pieces(F.col("_ids"), vocab), ""))).drop("_ids")
 
 
-def show_pieces(docs: DataFrame, vocab: DataFrame, mode: str = "whitespace") -> DataFrame:
+def show_pieces(docs: DataFrame, vocab: DataFrame | Broadcast, mode: str = "whitespace") -> DataFrame:
     """Add ``pieces``: how a text is cut, with ``<unk>`` where a word is unknown."""
+    vocab = shared_pieces(vocab)
     ids = word_ids(tokens_of(F.col("text"), mode), vocab, append_eos=False)
     return docs.withColumn("pieces", id_pieces(ids, vocab, keep_special=True))

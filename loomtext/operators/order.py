@@ -104,12 +104,13 @@ def seeded_shuffle(df: DataFrame, seed: int = 42, row_id: str = "row_id") -> Dat
     return df.orderBy(shuffle_key(F.col(row_id), seed))
 
 
-def source_positions(df: DataFrame, column: str, out: str = "pos", buckets: int = 1024) -> DataFrame:
+def source_positions(df: DataFrame, column: str, out: str = "pos", bucket_rows: int = 200_000) -> DataFrame:
     """Positions in the order of a unique number column, however unevenly its values are spread.
 
-    The bucket borders are quantiles of the column (one pass over that column, at most ``buckets``
-    numbers come back), so all buckets hold about the same number of rows.
+    The bucket borders are quantiles of the column (one pass over that column), so all buckets hold about
+    ``bucket_rows`` rows, however many there are; at most 65,536 borders come back.
     """
+    buckets = min(65_536, max(16, df.count() // bucket_rows))
     borders = df.select(F.col(column).cast("double").alias(column)).approxQuantile(
         column, [i / buckets for i in range(1, buckets)], 0.25 / buckets
     )

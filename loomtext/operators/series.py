@@ -13,6 +13,29 @@ from pyspark.sql.window import Window
 
 # Order values per span; with one row per order value this is also the rows per window.
 SPAN = 100_000
+# Spans that are carried over together, and how often spans are put together: 100,000 x 1,000 x 1,000 order values
+# give one row to the last window.
+FAN, DEPTH = 1000, 2
+
+
+def _carried(tails: DataFrame, partition: list[str], fan: int, depth: int) -> DataFrame:
+    """Add ``_carry`` to (partition, _span, _tail): the last tail of all earlier spans of the partition.
+
+    A window holds ``fan`` spans; what came before them is carried in from the spans put together, in the same way.
+    """
+    if not depth:
+        earlier = Window.partitionBy(*partition).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+        return tails.withColumn("_carry", F.last("_tail", ignorenulls=True).over(earlier)).drop("_tail")
+    grouped = tails.withColumn("_group", F.expr(f"_span div {fan}L"))
+    last = F.max_by("_tail", F.when(F.col("_tail").isNotNull(), F.col("_span")))
+    above = grouped.groupBy(*partition, F.col("_group").alias("_span")).agg(last.alias("_tail"))
+    before = _carried(above, partition, fan, depth - 1).withColumnsRenamed({"_span": "_group", "_carry": "_before"})
+    earlier = Window.partitionBy(*partition, "_group").orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        grouped.join(before, [*partition, "_group"], "left")
+        .withColumn("_carry", F.coalesce(F.last("_tail", ignorenulls=True).over(earlier), F.col("_before")))
+        .drop("_tail", "_group", "_before")
+    )
 
 
 def last_known(
@@ -23,6 +46,7 @@ def last_known(
     partition: list[str] | None = None,
     inclusive: bool = True,
     span: int = SPAN,
+    fan: int = FAN,
 ) -> DataFrame:
     """Add ``out``: the latest non-null ``value`` at or before each row (before it, if not ``inclusive``).
 
@@ -35,8 +59,7 @@ def last_known(
     # A plain number as the ordering keeps the grouping hash-based; a struct would make it sort.
     place = F.struct(*order) if len(order) > 1 else F.col(order[0])
     tails = tagged.groupBy(*groups).agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), place)).alias("_tail"))
-    earlier = Window.partitionBy(*partition).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-    carried = tails.withColumn("_carry", F.last("_tail", ignorenulls=True).over(earlier)).drop("_tail")
+    carried = _carried(tails, partition, fan, DEPTH)
     end = Window.currentRow if inclusive else -1
     inside = Window.partitionBy(*groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
     # The join and the window have the same keys, so the rows are shuffled once.

@@ -46,9 +46,9 @@ def prompt_grid(steps: DataFrame, prompts: list[str] | None = None) -> DataFrame
     return steps.select("*", F.posexplode(listed).alias("prompt_id", "prompt"))
 
 
-def align_losses(log: DataFrame, steps_per_epoch: int = 5919) -> DataFrame:
-    """Steps with both losses, averaged per step, and their epoch: one grouping instead of a self-join."""
-    both = log.groupBy("step").agg(F.avg("loss").alias("loss"), F.avg("eval_loss").alias("eval_loss"))
+def align_losses(log: DataFrame, partition: list[str] | None = None, steps_per_epoch: int = 5919) -> DataFrame:
+    """Steps of a run with both losses, averaged per step, and their epoch: one grouping instead of a self-join."""
+    both = log.groupBy(*(partition or []), "step").agg(F.avg("loss").alias("loss"), F.avg("eval_loss").alias("eval_loss"))
     both = both.where(F.col("loss").isNotNull() & F.col("eval_loss").isNotNull())
     return both.withColumn("epoch", epoch(F.col("step"), steps_per_epoch)).withColumn(
         "gap", F.col("eval_loss") - F.col("loss")
@@ -85,11 +85,12 @@ def best_step(log: DataFrame, partition: list[str]) -> DataFrame:
     return best.select(*partition, F.col("best.step").alias("step"), F.col("best.eval_loss").alias("eval_loss"))
 
 
-def first_steps_below(log: DataFrame, thresholds: list[float]) -> DataFrame:
-    """Per threshold the first step with a train loss below it, all in one pass over the log."""
+def first_steps_below(log: DataFrame, thresholds: list[float], partition: list[str] | None = None) -> DataFrame:
+    """Per run and threshold the first step with a train loss below it, all in one pass over the log."""
+    keys = partition or []
     firsts = [F.min(F.when(F.col("loss") < t, F.col("step"))).alias(f"t{i}") for i, t in enumerate(thresholds)]
     rows = [F.struct(F.lit(t).alias("threshold"), F.col(f"t{i}").alias("first_step")) for i, t in enumerate(thresholds)]
-    return log.agg(*firsts).select(F.inline(F.array(*rows)))
+    return log.groupBy(*keys).agg(*firsts).select(*keys, F.inline(F.array(*rows)))
 
 
 def checkpoint_step(path: Column) -> Column:
@@ -114,5 +115,19 @@ def latest_artifact(artifacts: DataFrame, partition: list[str]) -> DataFrame:
 
 
 def samples_by_step(samples: DataFrame, steps: list[int]) -> DataFrame:
-    """One row per prompt, one column per step; the steps are given, so no extra job looks for them."""
-    return samples.groupBy("prompt").pivot("step", steps).agg(F.first("generated", ignorenulls=True))
+    """One row per prompt, one column per step, and ``elsewhere``: how many samples are of a step not asked for.
+
+    Of several samples of a prompt and step the greatest text stands, whatever the order of the rows.
+    """
+    wide = samples.groupBy("prompt").pivot("step", steps).agg(F.max("generated"))
+    listed = F.col("step").isin(steps)
+    other = samples.groupBy(F.col("prompt").alias("_prompt")).agg(F.count_if(~F.coalesce(listed, F.lit(False))).alias("elsewhere"))
+    return wide.join(other, F.col("prompt").eqNullSafe(F.col("_prompt"))).drop("_prompt")
+
+
+def steps_of(samples: DataFrame, limit: int = 10_000) -> list[int]:
+    """The steps that occur, for ``samples_by_step``; refuses more than ``limit``, which is more than a table has columns."""
+    steps = [r["step"] for r in samples.where("step IS NOT NULL").select("step").distinct().limit(limit + 1).collect()]
+    if len(steps) > limit:
+        raise ValueError(f"more than {limit} steps")
+    return sorted(steps)

@@ -27,6 +27,8 @@ VOCAB_SCHEMA = T.StructType(
 )
 
 MAX_PIECES = 1_000_000
+# Bytes of all pieces that may be sent to every task; a piece may be a word of any length.
+MAX_BYTES = 256 << 20
 
 
 def token_rows(docs: DataFrame, words: Column, *keep: str) -> DataFrame:
@@ -106,8 +108,16 @@ def covering_chars(counts: DataFrame, coverage: float = 0.9995) -> DataFrame:
 
 
 def pieces_of(vocab: DataFrame, limit: int = MAX_PIECES) -> list[str]:
-    """Pieces in id order, for a broadcast. Refuses tables beyond ``limit`` and ids that are not 0..V-1."""
-    rows = vocab.select("id", "piece").limit(limit + 1).collect()
+    """Pieces in id order, for a broadcast. Refuses tables beyond ``limit`` or ``MAX_BYTES`` and ids that are not 0..V-1.
+
+    One pass over ``vocab``: a row too many or the running size stops the collection.
+    """
+    rows, size = [], 0
+    for row in vocab.select("id", "piece").limit(limit + 1).toLocalIterator():
+        size += len(row["piece"].encode())
+        if size > MAX_BYTES:
+            raise ValueError(f"vocabulary pieces are longer than {MAX_BYTES} bytes together")
+        rows.append(row)
     if len(rows) > limit:
         raise ValueError(f"vocabulary has more than {limit} pieces")
     rows.sort()

@@ -15,7 +15,7 @@ from loomtext.plans.tables import metric_log, table
 from loomtext.session import scratch_path
 from loomtext.sources import logs
 from loomtext.sources.corpus import append_generations
-from loomtext.streaming.metrics import read_log_stream, stream_evaluations, stream_report_lines
+from loomtext.streaming.metrics import read_evaluations, read_log_stream, stream_evaluations, stream_report_lines
 
 RATE = """CASE WHEN step < 2000 THEN 3e-4::DOUBLE * (step / 2000)
   ELSE 3e-4::DOUBLE * greatest(0, 0.5::DOUBLE * (1 + cos(pi() * (step - 2000) / 9838))) END"""
@@ -60,14 +60,22 @@ def prompt_step_grid(spark, sf_dir):
     return trainlog.prompt_grid(steps).withColumn("prompt_id", F.col("prompt_id").cast("bigint"))
 
 
-@query("""WITH m AS (SELECT event_id // 10 AS step, avg(value) FILTER (event_type = 'click') AS loss,
-  avg(value) FILTER (event_type = 'view') AS eval_loss FROM events GROUP BY 1)
-SELECT step, round(step / 5919::DOUBLE, 4) AS epoch, round(loss, 6) AS loss, round(eval_loss, 6) AS eval_loss,
+ALIGNED = """m AS (SELECT user_id % 8 AS run, event_id // 10 AS step, avg(value) FILTER (event_type = 'click') AS loss,
+  avg(value) FILTER (event_type = 'view') AS eval_loss FROM events GROUP BY 1, 2)"""
+
+
+def aligned(spark, sf_dir):
+    """Eight runs with averages of ten steps."""
+    log = metric_log(spark, sf_dir).withColumns({"step": F.expr("step div 10"), "run": F.col("run") % 8})
+    return trainlog.align_losses(log, ["run"])
+
+
+@query(f"""WITH {ALIGNED}
+SELECT run, step, round(step / 5919::DOUBLE, 4) AS epoch, round(loss, 6) AS loss, round(eval_loss, 6) AS eval_loss,
   round(eval_loss - loss, 6) AS gap FROM m WHERE loss IS NOT NULL AND eval_loss IS NOT NULL""")
 def train_eval_join(spark, sf_dir):
-    log = metric_log(spark, sf_dir).withColumn("step", F.expr("step div 10"))
-    found = trainlog.align_losses(log)
-    return found.select("step", "epoch", *[F.round(c, 6).alias(c) for c in ("loss", "eval_loss", "gap")])
+    found = aligned(spark, sf_dir)
+    return found.select("run", "step", "epoch", *[F.round(c, 6).alias(c) for c in ("loss", "eval_loss", "gap")])
 
 
 @query(f"""WITH {LOG}, a AS (SELECT *, last_value(loss IGNORE NULLS) OVER (ORDER BY step) AS train_loss FROM log)
@@ -109,10 +117,10 @@ THRESHOLDS = [50.0, 20.0, 10.0, 5.0, 4.0, 1.0, 0.0]
 THRESHOLD_VALUES = ", ".join(f"({t}::DOUBLE)" for t in THRESHOLDS)
 
 
-@query(f"""WITH {LOG} SELECT t AS threshold, (SELECT min(step) FROM log WHERE loss < t) AS first_step
-FROM (VALUES {THRESHOLD_VALUES}) AS v(t)""")
+@query(f"""WITH {LOG} SELECT run, t AS threshold, min(step) FILTER (loss < t) AS first_step
+FROM log, (VALUES {THRESHOLD_VALUES}) AS v(t) GROUP BY run, t""")
 def first_step_below(spark, sf_dir):
-    return trainlog.first_steps_below(metric_log(spark, sf_dir), THRESHOLDS)
+    return trainlog.first_steps_below(metric_log(spark, sf_dir), THRESHOLDS, ["run"])
 
 
 @query(f"""WITH {LOG}, t AS (SELECT run, step, loss, lag(loss) OVER (PARTITION BY run ORDER BY step) AS previous
@@ -199,34 +207,36 @@ def fill_forward_header(spark, sf_dir):
   max(text) FILTER (turn = 1) AS step_1, max(text) FILTER (turn = 2) AS step_2,
   max(text) FILTER (turn = 3) AS step_3, max(text) FILTER (turn = 4) AS step_4,
   max(text) FILTER (turn = 5) AS step_5, max(text) FILTER (turn = 6) AS step_6,
-  max(text) FILTER (turn = 7) AS step_7 FROM conversations GROUP BY conv_id""")
+  max(text) FILTER (turn = 7) AS step_7, 0 AS elsewhere FROM conversations GROUP BY conv_id""")
 def pivot_by_step(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
     samples = turns.select(
         F.col("conv_id").alias("prompt"), F.col("turn").alias("step"), F.col("text").alias("generated")
     )
-    wide = trainlog.samples_by_step(samples, list(range(8)))
-    return wide.withColumnsRenamed({str(i): f"step_{i}" for i in range(8)})
+    steps = trainlog.steps_of(samples)
+    return trainlog.samples_by_step(samples, steps).withColumnsRenamed({str(i): f"step_{i}" for i in steps})
 
 
-@query(f"""WITH {LOG} SELECT step, loss, eval_loss FROM log WHERE loss IS NOT NULL OR eval_loss IS NOT NULL""")
+@query(f"""WITH {LOG} SELECT step, loss, eval_loss, printf('%.2e', {RATE})::DOUBLE AS lr
+FROM log WHERE loss IS NOT NULL OR eval_loss IS NOT NULL""")
 def metric_log_roundtrip(spark, sf_dir):
     """Write the log in its text layout, read the text back."""
     log = metric_log(spark, sf_dir).where(F.col("loss").isNotNull() | F.col("eval_loss").isNotNull())
     path = scratch_path(spark, "metric-log")
     logs.format_metric_rows(log).select("line").write.text(path)
-    return logs.read_metric_log(spark, path).select("step", "loss", "eval_loss")
+    return logs.read_metric_log(spark, path).select("step", "loss", "eval_loss", "lr")
 
 
-@query(f"""WITH {LOG} SELECT step, round(step / 5919::DOUBLE, 4) AS epoch, loss FROM log WHERE loss IS NOT NULL""")
+@query(f"""WITH {ALIGNED}
+SELECT step, round(step / 5919::DOUBLE, 4) AS epoch, round(loss, 6) AS loss, round(eval_loss, 6) AS eval_loss
+FROM m WHERE loss IS NOT NULL AND eval_loss IS NOT NULL""")
 def results_table_roundtrip(spark, sf_dir):
-    """Write the train rows as a Markdown table, read the table back."""
-    log = metric_log(spark, sf_dir).where(F.col("loss").isNotNull())
-    cells = ["loss", F.round(F.col("step") / 5919.0, 4), "step", F.coalesce("eval_loss", F.lit(0.0))]
-    line = F.concat(F.lit("| "), F.concat_ws(" | ", *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in cells]), F.lit(" |"))
+    """Write the aligned losses as a Markdown table, read the table back."""
+    cells = [F.round("loss", 6), F.col("epoch"), F.col("step"), F.round("eval_loss", 6)]
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", *[c.cast("string") for c in cells]), F.lit(" |"))
     path = scratch_path(spark, "results-table")
-    log.select(line).write.text(path)
-    return logs.read_results_table(spark, path).select("step", "epoch", "loss")
+    aligned(spark, sf_dir).select(line).write.text(path)
+    return logs.read_results_table(spark, path).select("step", "epoch", "loss", "eval_loss")
 
 
 @query("""WITH t AS (SELECT conv_id, turn, role, regexp_replace(text, '[\\n\\r]', ' ', 'g') AS head FROM conversations),
@@ -261,16 +271,9 @@ def generation_append(spark, sf_dir):
     return saved.select("step", F.col("prompt_id").cast("bigint").alias("prompt_id"), "prompt")
 
 
-@query()
-def artifact_manifest(spark, sf_dir):
-    """Sizes of the table files; their contents are not read."""
-    files = logs.list_artifacts(spark, sf_dir)
-    return files.select(F.substring_index("path", "/", -1).alias("file"), "length", "megabytes")
-
-
-def event_stream(spark, sf_dir):
-    schema = table(spark, sf_dir, "events").schema
-    events = read_log_stream(spark, sf_dir, schema, "parquet", name_glob="events.parquet")
+def event_stream(spark, sf_dir, name_glob="events.parquet", files=1000):
+    schema = table(spark, sf_dir, "events").schema if name_glob == "events.parquet" else spark.read.parquet(sf_dir).schema
+    events = read_log_stream(spark, sf_dir, schema, "parquet", files, name_glob)
     return events.select(
         F.col("user_id").alias("run"), F.col("event_id").alias("step"),
         F.when(F.col("event_type") == "click", F.col("value")).alias("loss"),
@@ -292,7 +295,9 @@ def stream_report(spark, sf_dir):
 SELECT run, step, eval_loss, train_loss, prompt_id, prompt FROM a, (VALUES {PROMPT_VALUES}) AS p(prompt_id, prompt)
 WHERE eval_loss IS NOT NULL""")
 def stream_evaluate(spark, sf_dir):
-    out, tails, state = (scratch_path(spark, f"evaluate-{n}") for n in ("out", "tails", "state"))
-    stream_evaluations(event_stream(spark, sf_dir), out, tails, state).awaitTermination()
-    found = spark.read.option("recursiveFileLookup", True).parquet(out)
+    """The events arrive in several files, each with steps from all over the runs: most records are late."""
+    arriving, out, history, state = (scratch_path(spark, f"evaluate-{n}") for n in ("in", "out", "history", "state"))
+    table(spark, sf_dir, "events").repartition(4, F.xxhash64("event_id")).write.parquet(arriving)
+    stream_evaluations(event_stream(spark, arriving, "*.parquet", files=1), out, history, state, span=SPAN).awaitTermination()
+    found = read_evaluations(spark, out)
     return found.withColumn("prompt_id", F.col("prompt_id").cast("bigint"))

@@ -31,9 +31,15 @@ def shuffled(table: str, row_id: str = "row_id", seed: int = 42) -> str:
     return f"row_number() OVER (ORDER BY md5('{seed}:' || {row_id}), {row_id}) - 1"
 
 
-def words(source: str, out: str = "words") -> str:
+def normalized(mode: str) -> str:
+    """The text in a normalisation. The tables hold ASCII and composed Latin letters only: NFKC leaves these alone, and
+    folding them is lower() with ß as ss."""
+    return "replace(lower(text), 'ß', 'ss')" if mode == "nfkc_cf" else "text"
+
+
+def words(source: str, out: str = "words", mode: str = "whitespace") -> str:
     """(row_id, w): the token array of each text of ``source``."""
-    return f"""{out}_c AS (SELECT row_id, regexp_replace({stripped()}, '[{WS}]+', ' ', 'g') AS t FROM {source}),
+    return f"""{out}_c AS (SELECT row_id, regexp_replace({stripped(normalized(mode))}, '[{WS}]+', ' ', 'g') AS t FROM {source}),
 {out} AS (SELECT row_id, regexp_extract_all(
   CASE WHEN t = '' THEN '' ELSE '{M}' || replace(t, ' ', '{M}') END, '{TOKEN}') AS w FROM {out}_c)"""
 
@@ -81,9 +87,9 @@ def prepared(cfg: Preparation) -> str:
     return ",\n".join([
         rows,
         f"chosen AS (SELECT * FROM {sample} WHERE {band})",
-        words("chosen", "train_words"),
+        words("chosen", "train_words", cfg.normalization),
         vocab("train_words", cfg.vocab_size),
-        words("corpus"),
+        words("corpus", mode=cfg.normalization),
         ids(eos=cfg.append_eos),
         f"positions AS (SELECT row_id, {pos} AS pos FROM corpus)",
         blocks("positions", cfg.block_size, cfg.batch_rows, cfg.keep_short),

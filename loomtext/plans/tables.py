@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtext.functions.numeric import learning_rate
-from loomtext.session import spread
 from loomtext.sources.corpus import qa_from_turns, read_source, unify_articles, unify_qa, union_sources
 
 
@@ -15,8 +14,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("completion"))
-    return spread(docs, "doc_id")
+    return table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("completion"))
 
 
 def qa_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

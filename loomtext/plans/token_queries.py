@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
+from dataclasses import asdict, replace
 
 from pyspark.sql import functions as F
 
@@ -11,16 +11,17 @@ from loomtext.operators import checks, encode, ngrams, pack, sample, unigram, vo
 from loomtext.operators.order import shuffled_positions
 from loomtext.plans import prepare
 from loomtext.plans.registry import query
-from loomtext.plans.settings import VARIANTS, Preparation
+from loomtext.plans.settings import VARIANTS, Preparation, by_words
 from loomtext.plans.sql_parts import CORPUS, M, WS, blocks, ids, prepared, shuffled, stripped, vocab as vocab_sql, words
 from loomtext.plans.tables import articles, corpus, qa_pairs, table
-from loomtext.session import frozen, scratch_path, spread
-from loomtext.sources.corpus import materialize
+from loomtext.session import frozen, scratch_path
+from loomtext.sources.corpus import materialize, unify_qa
 from loomtext.sources.vocab_file import read_vocab_tsv, write_vocab_tsv
 
 V = 32_000
+BLOCK_NAME = "(batch || ':' || block)"
 # Small blocks and a small vocabulary give the block queries many blocks and unknown words.
-SMALL = replace(VARIANTS["published"], vocab_size=4000, block_size=64, batch_rows=100)
+SMALL = replace(by_words(VARIANTS["published"]), append_eos=True, vocab_size=4000, block_size=64, batch_rows=100)
 
 
 def ids_md5(column: str = "input_ids"):
@@ -44,10 +45,12 @@ def encoded(spark, sf_dir, size: int = V, eos: bool = True):
 
 
 ENCODED = ",\n".join([CORPUS, words("corpus"), vocab_sql("words", V), ids()])
-ENCODED_4K = ",\n".join([CORPUS, words("corpus"), vocab_sql("words", 4000), ids()])
-ENCODED_4K_NO_EOS = ",\n".join([CORPUS, words("corpus"), vocab_sql("words", 4000), ids(eos=False)])
-PAIRS = """pairs AS (
-  SELECT row_id, id AS prev, lead(id) OVER (PARTITION BY row_id ORDER BY i) AS next FROM ids),
+ENCODED_NO_EOS = ",\n".join([CORPUS, words("corpus"), vocab_sql("words", V), ids(eos=False)])
+# Next-token pairs are those the model sees: inside a block, across the texts in it.
+PACKED_1024 = replace(by_words(VARIANTS["published"]), append_eos=True)
+PAIRS = f"""{prepared(PACKED_1024)},
+in_blocks AS (SELECT batch, block, unnest(string_split(ids, ' '))::BIGINT AS id, generate_subscripts(string_split(ids, ' '), 1) AS i FROM blocks),
+pairs AS (SELECT batch, block, id AS prev, lead(id) OVER (PARTITION BY batch, block ORDER BY i) AS next FROM in_blocks),
 pc AS (SELECT prev, next, count(*) AS n FROM pairs WHERE next IS NOT NULL GROUP BY prev, next)"""
 
 
@@ -102,6 +105,14 @@ def vocab_size_check(spark, sf_dir):
     return found.withColumn("max_id", F.col("max_id").cast("bigint"))
 
 
+@query(f"""WITH {CORPUS}, {words('corpus')}, {vocab_sql('words', V)}, p AS (SELECT count(*) + 4 AS pieces FROM vocab)
+SELECT model_size, pieces, model_size = pieces AS fits FROM p, (VALUES ({V}), ({V} - 10), ({V} + 64)) AS m(model_size)""")
+def model_vocab_check(spark, sf_dir):
+    """Models of three sizes held against the vocabulary."""
+    found = checks.model_fit(vocab.frequency_vocab(vocab.token_counts(corpus(spark, sf_dir)), V), [V, V - 10, V + 64])
+    return found.withColumn("model_size", F.col("model_size").cast("int"))
+
+
 @query(f"""WITH {ENCODED}
 SELECT row_id, count(*) AS n, md5(string_agg(id::VARCHAR, ' ' ORDER BY i)) AS ids_md5 FROM ids GROUP BY row_id""")
 def encode_words(spark, sf_dir):
@@ -116,7 +127,7 @@ SELECT row_id, md5(regexp_replace(replace(coalesce(joined, ''), '{M}', ' '), '^
 FROM words LEFT JOIN p USING (row_id)""")
 def decode_words(spark, sf_dir):
     docs = corpus(spark, sf_dir)
-    found = vocab.frequency_vocab(vocab.token_counts(docs), V)
+    found = encode.shared_pieces(vocab.frequency_vocab(vocab.token_counts(docs), V))
     return encode.decode(encode.encode_words(docs, found), found).select("row_id", F.md5("decoded").alias("decoded_md5"))
 
 
@@ -129,7 +140,7 @@ SELECT count(*) AS texts, count(*) FILTER (coalesce(has_unknown, false)) AS with
 FROM words_c LEFT JOIN p USING (row_id)""")
 def roundtrip_mismatches(spark, sf_dir):
     docs = corpus(spark, sf_dir)
-    found = vocab.frequency_vocab(vocab.token_counts(docs), V)
+    found = encode.shared_pieces(vocab.frequency_vocab(vocab.token_counts(docs), V))
     coded = docs.withColumn("input_ids", encode.word_ids(tokens_of(F.col("text")), found))
     unknown = F.array_contains("input_ids", vocab.UNK_ID)
     differs = F.col("decoded") != collapse_whitespace(F.col("text"))
@@ -200,7 +211,8 @@ def packing_loss(spark, sf_dir):
 def block_token_totals(spark, sf_dir):
     """Totals of the saved blocks: written once, read back."""
     root = scratch_path(spark, "blocks")
-    saved = materialize(spark, root, "blocks", {"block": 64, "batch": 100}, lambda: blocks_of(spark, sf_dir, SMALL))
+    inputs = [f"{sf_dir}/{name}.parquet" for name in ("documents", "conversations")]
+    saved = materialize(spark, root, "blocks", asdict(SMALL), lambda: blocks_of(spark, sf_dir, SMALL), inputs)
     return pack.block_totals(saved)
 
 
@@ -257,14 +269,11 @@ t AS (SELECT batch, block, string_agg(coalesce(tok, ''), '' ORDER BY i) AS joine
 SELECT batch, block, regexp_replace(replace(joined, '{M}', ' '), '^ ', '') AS preview FROM t""")
 def block_preview(spark, sf_dir):
     docs = prepare.corpus_of(articles(spark, sf_dir), qa_pairs(spark, sf_dir), SMALL)
-    found = prepare.vocabulary_of(docs, SMALL)
+    found = encode.shared_pieces(prepare.vocabulary_of(docs, SMALL))
     packed = pack.pack_shuffled(encode.encode_words(docs, found), SMALL.block_size, SMALL.batch_rows)
     return encode.preview_blocks(packed, found, 50).select("batch", "block", "preview")
 
 
-BLOCK_NAME = "(batch || ':' || block)"
-
-
 @query(f"""WITH {prepared(SMALL)},
 p AS (SELECT *, {shuffled('blocks', BLOCK_NAME)} AS pos FROM blocks)
 SELECT batch, block, md5(ids) AS ids_md5, pos < 1000 AS held_out FROM p""")
@@ -277,18 +286,19 @@ def random_holdout(spark, sf_dir):
 
 
 @query(f"""WITH {CORPUS}, d AS (SELECT 'a:' || doc_id AS row_id, lang FROM documents),
-c2 AS (SELECT row_id, coalesce(lang, 'qa') AS lang, text FROM corpus LEFT JOIN d USING (row_id)),
+c2 AS (SELECT row_id, source_ds, lang, text FROM corpus LEFT JOIN d USING (row_id)),
 {words('corpus')}
-SELECT lang, sum(length(t))::BIGINT AS chars, sum(len(w))::BIGINT AS tokens,
+SELECT source_ds, lang, sum(length(t))::BIGINT AS chars, sum(len(w))::BIGINT AS tokens,
        round(sum(length(t))::DOUBLE / sum(len(w))::DOUBLE, 6) AS chars_per_token
-FROM c2 JOIN words USING (row_id) JOIN words_c USING (row_id) WHERE lang <> 'qa' GROUP BY lang""")
+FROM c2 JOIN words USING (row_id) JOIN words_c USING (row_id) GROUP BY source_ds, lang""")
 def chars_per_token(spark, sf_dir):
-    """Per language of the articles: a split into characters would give 1.0."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
-    sized = docs.select(
-        "lang", F.length(collapse_whitespace(F.col("text"))).alias("c"), F.size(tokens_of(F.col("text"))).alias("t")
+    """Per source and language (null for the Q/A texts): a split into characters would give 1.0."""
+    docs = table(spark, sf_dir, "documents").select(F.lit("articles").alias("source_ds"), "lang", "text")
+    answers = unify_qa(qa_pairs(spark, sf_dir)).select("source_ds", F.lit(None).cast("string").alias("lang"), "text")
+    sized = docs.unionByName(answers).select(
+        "source_ds", "lang", F.length(collapse_whitespace(F.col("text"))).alias("c"), F.size(tokens_of(F.col("text"))).alias("t")
     )
-    sums = sized.groupBy("lang").agg(F.sum("c").alias("chars"), F.sum("t").alias("tokens"))
+    sums = sized.groupBy("source_ds", "lang").agg(F.sum("c").alias("chars"), F.sum("t").alias("tokens"))
     return sums.withColumn("chars_per_token", F.round(F.col("chars") / F.col("tokens"), 6))
 
 
@@ -298,10 +308,9 @@ def _variant(key: str, cfg: Preparation) -> None:
         return block_rows(blocks_of(spark, sf_dir, cfg))
 
 
-_variant("corpus_to_blocks", VARIANTS["published"])
+# The published variants train subword vocabularies; with whole words in their place SQL can state every block.
 for _name, _cfg in VARIANTS.items():
-    if _name != "published":
-        _variant(f"corpus_to_blocks_{_name}", _cfg)
+    _variant("corpus_to_blocks" if _name == "published" else f"corpus_to_blocks_{_name}", by_words(_cfg))
 
 
 TWO_SOURCE = replace(SMALL, length_high=None, holdout="share")
@@ -324,13 +333,13 @@ def corpus_to_blocks_unigram(spark, sf_dir):
     return block_rows(blocks_of(spark, sf_dir, cfg))
 
 
-@query(f"WITH {ENCODED_4K}, {PAIRS} SELECT prev, next, n FROM pc")
+@query(f"WITH {PAIRS} SELECT prev, next, n FROM pc")
 def next_token_pairs(spark, sf_dir):
-    counts = ngrams.pair_counts(encoded(spark, sf_dir, 4000))
+    counts = ngrams.pair_counts(blocks_of(spark, sf_dir, PACKED_1024))
     return counts.select(F.col("prev").cast("bigint").alias("prev"), F.col("next").cast("bigint").alias("next"), "n")
 
 
-@query(f"""WITH {ENCODED_4K}, {PAIRS},
+@query(f"""WITH {PAIRS},
 k AS (SELECT *, row_number() OVER (PARTITION BY prev ORDER BY n DESC, next) AS rank FROM pc
       QUALIFY row_number() OVER (PARTITION BY prev ORDER BY n DESC, next) <= 50),
 m AS (SELECT *, pow(n::DOUBLE, 1 / 0.8::DOUBLE) AS w FROM k),
@@ -338,35 +347,35 @@ c AS (SELECT *, sum(w) OVER (PARTITION BY prev) AS total, coalesce(sum(w) OVER (
         PARTITION BY prev ORDER BY n DESC, next ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM m)
 SELECT prev, next, n, rank, round(w / total, 6) AS share FROM c WHERE before < 0.95::DOUBLE * total""")
 def next_token_topk_topp(spark, sf_dir):
-    found = ngrams.sampling_candidates(ngrams.pair_counts(encoded(spark, sf_dir, 4000)), 0.8, 50, 0.95)
+    found = ngrams.sampling_candidates(ngrams.pair_counts(blocks_of(spark, sf_dir, PACKED_1024)), 0.8, 50, 0.95)
     return found.select(
         F.col("prev").cast("bigint").alias("prev"), F.col("next").cast("bigint").alias("next"), "n",
         F.col("rank").cast("bigint").alias("rank"), F.round("share", 6).alias("share"),
     )
 
 
-@query(f"""WITH {ENCODED_4K},
-p AS (SELECT row_id, {shuffled('corpus')} AS pos, count(*) OVER () AS n_rows FROM corpus),
-pairs AS (SELECT row_id, id AS prev, lead(id) OVER (PARTITION BY row_id ORDER BY i) AS next FROM ids),
-sided AS (SELECT prev, next, pos < ceil(n_rows * 0.02::DOUBLE) AS test FROM pairs JOIN p USING (row_id) WHERE next IS NOT NULL),
+@query(f"""WITH {PAIRS},
+p AS (SELECT batch, block, {shuffled('blocks', BLOCK_NAME)} AS pos, count(*) OVER () AS n_rows FROM blocks),
+sided AS (SELECT prev, next, pos < ceil(n_rows * 0.02::DOUBLE) AS test FROM pairs JOIN p USING (batch, block) WHERE next IS NOT NULL),
 c AS (SELECT prev, next, count(*) FILTER (NOT test) AS seen, count(*) FILTER (test) AS asked FROM sided GROUP BY prev, next),
 x AS (SELECT *, sum(seen) OVER (PARTITION BY prev) AS context FROM c),
 l AS (SELECT sum(asked)::BIGINT AS pairs,
-  sum(asked * -ln((seen + 1)::DOUBLE / (context + 4000)::DOUBLE)) / sum(asked) AS ce FROM x WHERE asked > 0)
+  sum(asked * -ln((seen + 1)::DOUBLE / (context + {V})::DOUBLE)) / sum(asked) AS ce FROM x WHERE asked > 0)
 SELECT pairs, round(ce, 6) AS cross_entropy, round(exp(ce), 3) AS perplexity FROM l""")
 def heldout_cross_entropy(spark, sf_dir):
-    rows = sample.train_test_split(encoded(spark, sf_dir, 4000))
-    found = ngrams.heldout_cross_entropy(rows, 4000)
+    """Blocks are held out, as the published runs hold them out."""
+    named = blocks_of(spark, sf_dir, PACKED_1024).select(F.concat_ws(":", "batch", "block").alias("row_id"), "input_ids")
+    found = ngrams.heldout_cross_entropy(sample.train_test_split(frozen(named)), V)
     return found.select(
         "pairs", F.round("cross_entropy", 6).alias("cross_entropy"), F.round("perplexity", 3).alias("perplexity")
     )
 
 
-@query(f"""WITH {ENCODED_4K_NO_EOS},
+@query(f"""WITH {ENCODED_NO_EOS},
 pairs AS (SELECT row_id, id AS prev, lead(id) OVER (PARTITION BY row_id ORDER BY i) AS next FROM ids),
 s AS (SELECT row_id, 1 - count(DISTINCT (prev, next))::DOUBLE / count(*) AS share FROM pairs
       WHERE next IS NOT NULL GROUP BY row_id)
 SELECT row_id, round(share, 6) AS share FROM corpus LEFT JOIN s USING (row_id)""")
 def repeated_bigram_share(spark, sf_dir):
-    rows = encoded(spark, sf_dir, 4000, eos=False)
+    rows = encoded(spark, sf_dir, V, eos=False)
     return rows.select("row_id", F.round(ngrams.repeated_pair_share(F.col("input_ids")), 6).alias("share"))

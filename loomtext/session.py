@@ -21,6 +21,7 @@ def local_session(app: str = "loomtext", cpus: int | None = None) -> SparkSessio
         .config("spark.driver.memory", os.environ.get("BENCH_MEM", "12g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="loomtext-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -30,14 +31,14 @@ def local_session(app: str = "loomtext", cpus: int | None = None) -> SparkSessio
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Folder for checkpoints, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: on a cluster the executors could
-    not reach it.
+    Where it is unset, only a master whose executors are threads of the driver gets a temporary folder: elsewhere the
+    executors could not reach it. ``local_session`` names one for tests and the benchmark.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None:
-            if not sc.master.startswith("local"):
+            if not (sc.master == "local" or sc.master.startswith("local[")):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
             shared = tempfile.mkdtemp(prefix="loomtext-")
         sc.setCheckpointDir(shared)
@@ -53,13 +54,3 @@ def frozen(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows are computed once and survive the loss of executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give every core work when the scan yields fewer splits than there are cores.
-
-    A Parquet file with one row group is one split. Inputs with more splits than cores, the normal
-    case on a cluster, stay as they are and are not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

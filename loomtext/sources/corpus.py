@@ -47,12 +47,19 @@ def unify_articles(articles: DataFrame) -> DataFrame:
 
 
 def unify_qa(qa: DataFrame) -> DataFrame:
-    """Question and answer in one text; rows where both are null are dropped."""
-    return qa.select(
+    """Question and answer in one text; rows where both are null are dropped.
+
+    Where ``qa`` has the flags ``asked`` and ``answered``, these say so, and no text is needed to know which rows there are.
+    """
+    if {"asked", "answered"} <= set(qa.columns):
+        there = F.col("asked") | F.col("answered")
+    else:
+        there = F.col("INSTRUCTION").isNotNull() | F.col("RESPONSE").isNotNull()
+    return qa.where(there).select(
         F.concat_ws(":", F.lit("q"), F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("row_id"),
         F.lit("qa").alias("source_ds"),
         join_question_answer(F.col("INSTRUCTION"), F.col("RESPONSE")).alias("text"),
-    ).where(F.col("text").isNotNull())
+    )
 
 
 def union_sources(*sources: DataFrame) -> DataFrame:
@@ -67,11 +74,15 @@ def qa_from_turns(turns: DataFrame) -> DataFrame:
     """Each user turn with the assistant turn right after it.
 
     The equi-join is on (conversation, turn), so one huge conversation is spread over all tasks;
-    a window per conversation would put it in one.
+    a window per conversation would put it in one. ``asked`` and ``answered`` say at the scan whether there is a text,
+    so that passes over ids alone carry two flags through the join and no text.
     """
-    asked = turns.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("INSTRUCTION"))
+    there = F.col("text").isNotNull()
+    asked = turns.where(F.col("role") == "user").select(
+        "conv_id", "turn", F.col("text").alias("INSTRUCTION"), there.alias("asked")
+    )
     answered = turns.where(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("RESPONSE")
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("RESPONSE"), there.alias("answered")
     )
     return asked.join(answered, ["conv_id", "turn"])
 
@@ -93,13 +104,23 @@ def append_generations(samples: DataFrame, path: str) -> None:
     samples.write.mode("append").partitionBy("step").parquet(path)
 
 
-def materialize(spark: SparkSession, root: str, stage: str, params: dict, build: Callable[[], DataFrame]) -> DataFrame:
-    """Compute a stage once per parameter set and read it back afterwards.
+def input_state(spark: SparkSession, *paths: str) -> list[list]:
+    """Name, size and modification time of every file below ``paths``; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    rows = files.select("path", "length", F.unix_micros("modificationTime").alias("at")).collect()
+    return sorted([r["path"], r["length"], r["at"]] for r in rows)
+
+
+def materialize(
+    spark: SparkSession, root: str, stage: str, params: dict, build: Callable[[], DataFrame], inputs: list[str] | None = None
+) -> DataFrame:
+    """Compute a stage once per parameter set and state of its input files, and read it back afterwards.
 
-    The parameters are part of the path, so a changed parameter never reuses old rows. They are also
+    Both are part of the path, so a changed parameter or input never reuses old rows. They are also
     noted in a second folder once the rows are written; without that note the stage is built again.
     """
-    settings = json.dumps(params, sort_keys=True, ensure_ascii=False)
+    state = input_state(spark, *inputs) if inputs else []
+    settings = json.dumps({"params": params, "inputs": state}, sort_keys=True, ensure_ascii=False)
     path = f"{root}/{stage}-{hashlib.sha256(settings.encode()).hexdigest()[:16]}"
     try:
         spark.read.text(f"{path}.done")

@@ -20,10 +20,17 @@ SAMPLE_HEADER = r"^\s*(?:📝|#{1,3})?\s*Step (\d+) \| Loss: (\S+)"
 SAMPLE_LINE = r"^\s*\[(.*?)\] → (.*)$"
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, line_no, line)``. Line numbers need the file whole: one row per log file, as logs are small."""
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    return files.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
+def placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, block, at, line)``: ``block`` is where the part of the file that a task read begins, ``at`` orders its lines.
+
+    Files are read in parts, by as many tasks as there are parts.
+    """
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        F.regexp_replace("value", "\r$", "").alias("line"),
+    )
 
 
 def parse_metric_lines(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -75,10 +82,11 @@ def read_results_table(spark: SparkSession, path: str) -> DataFrame:
     return parse_results_table(spark.read.text(path))
 
 
-def parse_generation_lines(lines: DataFrame, span: int = 100_000) -> DataFrame:
-    """``lines(file, line_no, line)`` to ``(file, line_no, step, loss, prompt, generated)``.
+def parse_generation_lines(lines: DataFrame, span: int = 100_000, order: tuple[str, ...] = ("line_no",)) -> DataFrame:
+    """``lines(file, *order, line)`` to ``(file, *order, step, loss, prompt, generated)``.
 
-    A sample belongs to the latest header above it.
+    A sample belongs to the latest header above it. A window holds the lines of ``span`` values of the first of the
+    columns that order them.
     """
     found = F.regexp_extract(F.col("line"), SAMPLE_HEADER, 1)
     header = F.when(
@@ -88,11 +96,11 @@ def parse_generation_lines(lines: DataFrame, span: int = 100_000) -> DataFrame:
             F.regexp_extract(F.col("line"), SAMPLE_HEADER, 2).try_cast("double").alias("loss"),
         ),
     )
-    known = last_known(lines, header, ["line_no"], "header", ["file"], span=span)
+    known = last_known(lines, header, list(order), "header", ["file"], span=span)
     sample = F.col("line").rlike(SAMPLE_LINE)
     return known.where(sample & F.col("header").isNotNull()).select(
         "file",
-        "line_no",
+        *order,
         F.col("header.step").alias("step"),
         F.col("header.loss").alias("loss"),
         F.regexp_extract("line", SAMPLE_LINE, 1).alias("prompt"),
@@ -101,7 +109,8 @@ def parse_generation_lines(lines: DataFrame, span: int = 100_000) -> DataFrame:
 
 
 def read_generation_log(spark: SparkSession, path: str) -> DataFrame:
-    return parse_generation_lines(numbered_lines(spark, path))
+    # Places are in bytes: a window holds the lines of one part of a file.
+    return parse_generation_lines(placed_lines(spark, path), 1 << 25, ("block", "at"))
 
 
 def list_artifacts(spark: SparkSession, path: str) -> DataFrame:

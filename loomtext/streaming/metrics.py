@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
+from loomtext.operators.series import SPAN
 from loomtext.operators.trainlog import latest_train_loss, prompt_grid, report_lines
 
 LOG_SCHEMA = T.StructType(
@@ -20,6 +22,10 @@ LOG_SCHEMA = T.StructType(
 )
 
 
+RECORDS = "run bigint, step bigint, loss double, eval_loss double"
+TAILS = "run bigint, span bigint, last struct<step: bigint, loss: double>"
+
+
 def read_log_stream(
     spark: SparkSession, path: str, schema: T.StructType = LOG_SCHEMA, fmt: str = "json", files: int = 1000,
     name_glob: str = "*",
@@ -38,36 +44,58 @@ def stream_report_lines(log: DataFrame, out: str, checkpoint: str, label: str =
     )
 
 
-def _last_by_run(log: DataFrame) -> DataFrame:
-    newest = F.max_by(F.struct("step", "loss"), F.struct("step", "loss"))
-    last = log.where(F.col("loss").isNotNull()).groupBy("run").agg(newest.alias("last"))
-    return last.select("run", "last.step", "last.loss")
+def _evaluated(rows: DataFrame, since: DataFrame) -> DataFrame:
+    """Evaluations from the step ``since`` of their run on, with the train loss last logged at or before them."""
+    # A train record counts for an evaluation at the same step.
+    rows = rows.withColumn("kind", F.when(F.col("loss").isNotNull(), 0).otherwise(1))
+    found = latest_train_loss(rows, ["run"], ["step", "kind"])
+    return found.join(since, "run").where(F.col("step") >= F.col("since")).select("run", "step", "eval_loss", "train_loss")
 
 
 def stream_evaluations(
-    log: DataFrame, out: str, tails: str, checkpoint: str, prompts: list[str] | None = None
+    log: DataFrame, out: str, history: str, checkpoint: str, prompts: list[str] | None = None, span: int = SPAN
 ) -> StreamingQuery:
     """On every evaluation record: attach the last train loss and add one work row per prompt.
 
-    The last train record of each run is carried from one micro-batch to the next in ``tails``. Every
-    micro-batch writes its own folder in overwrite mode, so a repeated batch leaves no second copy.
+    Records may come in any order, however late. The records of a run are kept in ``history``, by spans of steps, with the
+    last train record of every span beside them. A micro-batch looks again at the evaluations from its earliest step of a run on, and
+    reads only spans from there on; ``read_evaluations`` returns the newest state. Every micro-batch
+    writes its own folders in overwrite mode, so a repeated batch leaves no second copy.
     """
     spark = log.sparkSession
-    empty = spark.createDataFrame([], LOG_SCHEMA)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        carried = spark.read.parquet(f"{tails}/batch={batch_id - 1}") if batch_id else empty.select("run", "step", "loss")
-        rows = batch.unionByName(carried.withColumn("kind", F.lit(0)), allowMissingColumns=True)
-        # A train record counts for an evaluation at the same step.
-        rows = rows.withColumn("kind", F.when(F.col("loss").isNotNull(), 0).otherwise(1)).persist()
+        records = batch.select("run", "step", "loss", "eval_loss", F.expr(f"step div {span}").alias("span")).persist()
         try:
-            found = latest_train_loss(rows, ["run"], ["step", "kind"])
-            work = prompt_grid(found.select("run", "step", "eval_loss", "train_loss"), prompts)
-            work.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-            _last_by_run(rows).write.mode("overwrite").parquet(f"{tails}/batch={batch_id}")
+            last = F.max_by(F.struct("step", "loss"), F.col("step"))
+            tails = records.where("loss IS NOT NULL").groupBy("run", "span").agg(last.alias("last"))
+            records.write.mode("overwrite").partitionBy("span").parquet(f"{history}/records/batch={batch_id}")
+            tails.write.mode("overwrite").parquet(f"{history}/tails/batch={batch_id}")
+            since = records.groupBy("run").agg(F.min("step").alias("since")).withColumn("first", F.expr(f"since div {span}"))
+            lowest = since.agg(F.min("first")).first()[0]
+            if lowest is None:
+                return
+            # Batches are counted upwards; a repeated one does not see what came after its first attempt.
+            known = F.col("batch") <= batch_id
+            kept = spark.read.schema(f"{RECORDS}, batch bigint, span bigint").parquet(f"{history}/records").where(known)
+            needed = kept.where(F.col("span") >= lowest).join(since, "run").where("span >= first")
+            ends = spark.read.schema(f"{TAILS}, batch bigint").parquet(f"{history}/tails").where(known)
+            earlier = ends.join(since, "run").where("span < first")
+            carried = earlier.groupBy("run").agg(F.max_by("last", F.col("last.step")).alias("last"))
+            rows = needed.select("run", "step", "loss", "eval_loss").unionByName(
+                carried.select("run", "last.step", "last.loss"), allowMissingColumns=True
+            )
+            prompt_grid(_evaluated(rows, since.select("run", "since")), prompts).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
         finally:
-            rows.unpersist()
+            records.unpersist()
 
     return (
         log.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
+
+
+def read_evaluations(spark: SparkSession, out: str) -> DataFrame:
+    """The work rows as the last micro-batch that looked at an evaluation left them."""
+    rows = spark.read.option("basePath", out).parquet(f"{out}/batch=*")
+    newest = F.max("batch").over(Window.partitionBy("run", "step"))
+    return rows.withColumn("_newest", newest).where("batch = _newest").drop("batch", "_newest")

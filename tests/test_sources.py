@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from loomtext.plans import prepare
 from loomtext.plans.settings import VARIANTS, Preparation
-from loomtext.session import ensure_checkpoint_dir, frozen, scratch_path, spread
+from loomtext.session import ensure_checkpoint_dir, frozen, scratch_path
 from loomtext.sources import corpus, logs
 
 
@@ -92,13 +92,6 @@ def test_checkpoint_folder(spark):
     assert df.collect() == df.collect()
 
 
-def test_spread_only_small_scans(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 100, 1, cores + 1)
-    assert spread(wide) is wide
-
-
 def sources(spark, n=60):
     articles = spark.createDataFrame([(i, f"word{i % 7} and more words " * (i % 9)) for i in range(n)], "doc_id long, completion string")
     qa = spark.createDataFrame([(i, 0, f"why {i}", "because " * i) for i in range(n)], corpus.QA_SCHEMA)
@@ -161,3 +154,22 @@ def test_preparation_with_subwords(spark):
     assert len(blocks) > 20 and all(len(b["input_ids"]) == 16 and max(b["input_ids"]) < 60 for b in blocks)
     with pytest.raises(ValueError):
         prepare.vocabulary_of(corpus_rows, Preparation(vocab_kind="x"))
+
+
+def test_id_passes_over_qa_move_no_text(spark):
+    turns = spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", None)], "conv_id long, turn long, role string, text string")
+    ids = corpus.unify_qa(corpus.qa_from_turns(turns)).select("row_id")
+    assert [r["row_id"] for r in ids.collect()] == ["q:1:0"]
+    plan = ids._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan[plan.index("Join"):].splitlines()
+    assert not any("INSTRUCTION" in line or "RESPONSE" in line for line in joined)
+
+
+def test_materialize_notices_changed_inputs(spark, tmp_path):
+    source = str(tmp_path / "in")
+    build = lambda: spark.read.parquet(source)
+    root = scratch_path(spark, "m")
+    spark.range(3).write.parquet(source)
+    assert corpus.materialize(spark, root, "s", {}, build, [source]).count() == 3
+    spark.range(2).write.mode("append").parquet(source)
+    assert corpus.materialize(spark, root, "s", {}, build, [source]).count() == 5

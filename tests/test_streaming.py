@@ -54,11 +54,28 @@ def test_evaluations_equal_the_batch_result(spark, tmp_path):
     def rows(df):
         return sorted(map(tuple, df.select(*columns).collect()), key=str)
 
-    found = spark.read.option("recursiveFileLookup", True).parquet(out)
+    found = metrics.read_evaluations(spark, out)
     assert rows(found) == rows(batch)
     assert {(r["run"], r["step"]): r["train_loss"] for r in found.collect()} == {(1, 5): None, (1, 10): 8.5, (2, 30): 3.0, (1, 100): 7.5}
     # A later file continues from the carried tail.
     (source / "9.json").write_text(json.dumps({"run": 2, "step": 300, "eval_loss": 0.5}))
     run()
-    found = spark.read.option("recursiveFileLookup", True).parquet(out)
+    found = metrics.read_evaluations(spark, out)
     assert [r["train_loss"] for r in found.where("step = 300").collect()] == [1.0, 1.0]
+
+
+def test_late_records_correct_earlier_evaluations(spark, tmp_path):
+    records = [{"run": 1, "step": 10, "loss": 8.5}, {"run": 1, "step": 100, "loss": 7.0}, {"run": 1, "step": 50, "eval_loss": 8.0}]
+    records += [{"run": 2, "step": 7, "loss": 3.0}, {"run": 1, "step": 40, "loss": 8.1}, {"run": 2, "step": 6, "eval_loss": 1.0}]
+    for order in ([0, 1, 2, 3, 4, 5], [2, 5, 1, 4, 0, 3]):
+        base = tmp_path / "".join(map(str, order))
+        (base / "in").mkdir(parents=True)
+        for i, k in enumerate(order):
+            path = base / "in" / f"{i}.json"
+            path.write_text(json.dumps(records[k]))
+            os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+        stream = metrics.read_log_stream(spark, str(base / "in"), files=1)
+        places = [str(base / n) for n in ("out", "history", "state")]
+        metrics.stream_evaluations(stream, *places, ["p"], span=20).awaitTermination()
+        found = {(r["run"], r["step"]): r["train_loss"] for r in metrics.read_evaluations(spark, places[0]).collect()}
+        assert found == {(1, 50): 8.1, (2, 6): None}

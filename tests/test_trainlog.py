@@ -69,8 +69,8 @@ def test_results_table(spark, tmp_path):
 def test_generation_logs(spark, tmp_path, span):
     (tmp_path / "a.log").write_text(LIVE_LOG, encoding="utf-8")
     (tmp_path / "b.md").write_text(EXTRACT, encoding="utf-8")
-    found = logs.parse_generation_lines(logs.numbered_lines(spark, str(tmp_path)), span=span)
-    rows = [(r["file"][-4:], r["step"], r["loss"], r["prompt"], r["generated"]) for r in found.orderBy("file", "line_no").collect()]
+    found = logs.parse_generation_lines(logs.placed_lines(spark, str(tmp_path)), span, ("block", "at"))
+    rows = [(r["file"][-4:], r["step"], r["loss"], r["prompt"], r["generated"]) for r in found.orderBy("file", "block", "at").collect()]
     assert rows == [
         (".log", 10, 8.5, "prompt one", "prompt one continues"),
         ("a.log"[-4:], 10, 8.5, "prompt two", "prompt two → [x] continues"),
@@ -112,7 +112,7 @@ def test_as_of_train_loss(spark):
 
 def test_aligned_losses(spark):
     log = log_frame(spark, [(1, 500, 7.4032, None, None), (1, 500, None, 7.3898, None), (1, 510, 7.39, None, None)])
-    row = trainlog.align_losses(log).collect()
+    row = trainlog.align_losses(log, ["run"]).collect()
     assert len(row) == 1 and row[0]["epoch"] == 0.0845 and round(row[0]["gap"], 4) == -0.0134
 
 
@@ -177,4 +177,5 @@ def test_pivot(spark):
     rows = [("p", 500, "a"), ("p", 1000, "b"), ("q", 500, "c"), ("q", 7, "ignored")]
     df = spark.createDataFrame(rows, "prompt string, step long, generated string")
     wide = trainlog.samples_by_step(df, [500, 1000])
-    assert sorted(map(tuple, wide.collect()), key=str) == [("p", "a", "b"), ("q", "c", None)]
+    assert sorted(map(tuple, wide.collect()), key=str) == [("p", "a", "b", 0), ("q", "c", None, 1)]
+    assert trainlog.steps_of(df) == [7, 500, 1000]
