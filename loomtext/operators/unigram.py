@@ -1,17 +1,16 @@
 """Unigram subword vocabulary (Kudo 2018, arXiv:1804.10959) as Spark jobs.
 
-The corpus is reduced to distinct words with counts; seed pieces come from a SQL grouping. Each round
-broadcasts the current pieces (bounded by ``seed_factor`` times the vocabulary size), every task
-computes expected counts for its words, and a grouping adds them up. The Python part is the lattice of
-one word.
+The corpus is reduced to distinct words with counts; seeds, scores, expected counts and losses are tables. A round deals words and a copy of the
+scores to groups of words, each group adds up what its words expect, and SQL does the rest: the maximisation, the pruning and the
+choice of the best. The driver sees numbers of rows, and characters, of which Unicode has a bounded number.
 """
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -19,172 +18,150 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomtext.functions.text import tokens_of
+from loomtext.operators import lattice
+from loomtext.operators.lattice import MAX_PIECE
 from loomtext.operators.vocab import (
-    EOS_ID, MAX_PIECES, SPECIAL_PIECES, UNK_ID, covering_chars, number_pieces, token_counts,
+    EOS_ID, MAX_PIECES, SPECIAL_PIECES, UNK_ID, covering_chars, least_kept_count, number_pieces, token_counts,
 )
 from loomtext.session import frozen
 
-# Longest piece in characters, and the length at which a word is cut for training.
-MAX_PIECE = 16
-MAX_WORD = 64
-# Fixed value: how far below the rarest piece an unknown character scores.
-UNKNOWN_PENALTY = 10.0
-
-Scores = dict[str, float]
+# Stands for the characters outside the alphabet while training; no text has it.
+OUTSIDE = "\x00"
+# Characters of a word whose beginnings are counted together.
+STRETCH = 256
+# Expected counts are summed as whole numbers of this part, so that no order of addition changes them.
+SCALE = 1_000_000
+# Distinct words of a group.
+GROUP_WORDS = 50_000
+# Words whose ids a task remembers.
+REMEMBERED = 300_000
 
 
 def training_words(docs: DataFrame, mode: str = "nfkc_cf") -> DataFrame:
-    """Distinct words with counts. Longer words, as in unspaced text, are cut in parts; no character is lost."""
-    counts = token_counts(docs, mode)
-    parts = F.regexp_extract_all(F.col("tok"), F.lit("(?s).{1,%d}" % MAX_WORD), F.lit(0))
-    return counts.select(F.explode_outer(parts).alias("word"), "n").groupBy("word").agg(F.sum("n").alias("n"))
+    """Distinct words with counts, whole."""
+    return token_counts(docs, mode).withColumnRenamed("tok", "word")
+
+
+def letters_of(words: DataFrame) -> DataFrame:
+    return words.select(F.explode_outer(F.split("word", "")).alias("ch"), "n").where("ch != ''").groupBy("ch").agg(F.sum("n").alias("n"))
 
 
 def seed_pieces(words: DataFrame, alphabet: DataFrame, size: int) -> DataFrame:
-    """``(piece, score)``: frequent substrings by count times length, and every character of the alphabet."""
-    n = F.length("word")
+    """``(piece, weight, is_char)``: every character of the alphabet, and the ``size`` longer substrings with the greatest count times length.
+
+    A long word is counted in stretches that overlap by the longest piece less one: every substring starts in exactly one.
+    """
+    stretch = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.lit(0), F.length("word") - 1), F.lit(STRETCH)),
+        lambda i: F.substring(F.col("word"), i + 1, F.lit(STRETCH + MAX_PIECE - 1)),
+    )
+    parts = words.select(F.explode(stretch).alias("part"), "n").groupBy("part").agg(F.sum("n").alias("n"))
+    size_of = F.length("part")
     substrings = F.flatten(
         F.transform(
-            F.sequence(F.lit(1), n),
+            F.sequence(F.lit(1), F.least(F.lit(STRETCH), size_of)),
             lambda i: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(MAX_PIECE), n - i + 1)), lambda k: F.substring(F.col("word"), i, k)
+                F.sequence(F.lit(1), F.least(F.lit(MAX_PIECE), size_of - i + 1)), lambda k: F.substring(F.col("part"), i, k)
             ),
         )
     )
-    counted = (
-        words.select(F.explode_outer(substrings).alias("piece"), "n")
+    counted = frozen(
+        parts.select(F.explode_outer(substrings).alias("piece"), "n")
+        .where(~F.contains("piece", F.lit(OUTSIDE)))
         .groupBy("piece")
-        .agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= 2)
+        .agg(F.sum("n").alias("times"))
+        .where(F.col("times") >= 2)
+        .withColumn("n", F.col("times") * F.length("piece"))
     )
-    longer = counted.where(F.length("piece") > 1).orderBy(F.desc(F.col("n") * F.length("piece")), "piece").limit(size)
-    chars = counted.join(alphabet.select(F.col("ch").alias("piece")), "piece", "left_semi")
-    found = longer.unionByName(chars)
-    return found.select("piece", (F.col("n") * F.length("piece")).cast("double").alias("weight"))
-
-
-def _matches(word: str, end: int, scores: Scores, unknown: float) -> Iterator[tuple[int, float, bool]]:
-    """(start, score, known) of the pieces of ``word`` that stop at ``end``."""
-    for start in range(max(0, end - MAX_PIECE), end):
-        score = scores.get(word[start:end])
-        if score is not None:
-            yield start, score, True
-        elif start == end - 1:
-            yield start, unknown, False
-
-
-def best_path(word: str, scores: Scores, unknown: float, without: str | None = None) -> list[tuple[str, bool]]:
-    """Most probable cut of a word (Viterbi); ``without`` bars one piece. Ties go to the longer last piece."""
-    reach = [0.0] + [-math.inf] * len(word)
-    back: list[tuple[int, bool]] = [(0, True)] * (len(word) + 1)
-    for end in range(1, len(word) + 1):
-        for start, score, known in _matches(word, end, scores, unknown):
-            if known and word[start:end] == without:
-                continue
-            if reach[start] + score > reach[end]:
-                reach[end], back[end] = reach[start] + score, (start, known)
-    pieces, end = [], len(word)
-    while end:
-        start, known = back[end]
-        pieces.append((word[start:end], known))
-        end = start
-    return pieces[::-1]
-
-
-def _log_add(a: float, b: float) -> float:
-    if a < b:
-        a, b = b, a
-    return a if b == -math.inf else a + math.log1p(math.exp(b - a))
-
-
-def expected_counts(word: str, scores: Scores, unknown: float) -> tuple[float, list[tuple[str, float]]]:
-    """Log likelihood of a word over all its cuts, and the expected use of each known piece."""
-    size = len(word)
-    edges = [(s, e, v, k) for e in range(1, size + 1) for s, v, k in _matches(word, e, scores, unknown)]
-    ahead = [0.0] + [-math.inf] * size
-    for s, e, v, _ in edges:
-        ahead[e] = _log_add(ahead[e], ahead[s] + v)
-    behind = [-math.inf] * size + [0.0]
-    for s, e, v, _ in reversed(edges):
-        behind[s] = _log_add(behind[s], behind[e] + v)
-    total = ahead[size]
-    return total, [(word[s:e], math.exp(ahead[s] + v + behind[e] - total)) for s, e, v, k in edges if k]
-
-
-def _unknown(scores: Scores) -> float:
-    return min(scores.values()) - UNKNOWN_PENALTY
-
-
-def _summed(words: DataFrame, scores: Scores, soft: bool) -> DataFrame:
-    """``(piece, c)``: use of each piece over all words, expected (soft) or on the best path. The row
-    with a null piece is the log likelihood."""
-    shared = words.sparkSession.sparkContext.broadcast((scores, _unknown(scores)))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, unknown = shared.value
-        for batch in batches:
-            sums: dict[str | None, float] = defaultdict(float)
-            for word, n in zip(batch["word"], batch["n"]):
-                if soft:
-                    total, used = expected_counts(word, table, unknown)
-                    sums[None] += n * total
-                    for piece, share in used:
-                        sums[piece] += n * share
-                else:
-                    for piece, known in best_path(word, table, unknown):
-                        if known:
-                            sums[piece] += n
-            yield pd.DataFrame({"piece": list(sums.keys()), "c": list(sums.values())})
-
-    # Rounding makes the sums independent of the order in which the tasks' parts arrive.
-    return (
-        words.mapInPandas(run, "piece string, c double")
-        .groupBy("piece")
-        .agg(F.round(F.sum("c"), 6).alias("c"))
+    longer = counted.where(F.length("piece") > 1)
+    # Too light ones go before the sort, so that no task is sent the best of all tasks.
+    heavy = longer.where(F.col("n") >= least_kept_count(longer, size)).orderBy(F.desc("n"), "piece").limit(size)
+    chars = alphabet.select(F.col("ch").alias("piece"), F.col("n"))
+    return heavy.select("piece", F.col("n").alias("weight"), F.lit(False).alias("is_char")).unionByName(
+        chars.select("piece", F.col("n").alias("weight"), F.lit(True).alias("is_char"))
+    )
+
+
+def digamma(x: Column) -> Column:
+    """Asymptotic series of the digamma function (Abramowitz and Stegun 6.3.18) at x + 7, and back by its recurrence (6.3.5)."""
+    y = x + F.lit(7.0)
+    inverse = F.lit(1.0) / (y * y)
+    series = F.log(y) - F.lit(0.5) / y - inverse * (F.lit(1 / 12) - inverse * (F.lit(1 / 120) - inverse * F.lit(1 / 252)))
+    steps = sum((F.lit(1.0) / (x + F.lit(float(k))) for k in range(1, 7)), F.lit(1.0) / x)
+    return series - steps
+
+
+def _dealt(scores: DataFrame, groups: int) -> DataFrame:
+    """A copy of the scores for every group of words: at most the seeds times the groups."""
+    return scores.select("piece", "score", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"))
+
+
+def _groups(words: DataFrame) -> int:
+    least = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, math.ceil(words.count() / GROUP_WORDS))
+
+
+def summed(words: DataFrame, scores: DataFrame, groups: int, soft: bool = True) -> DataFrame:
+    """``(piece, c)``: use of each piece over all words, expected (soft) or on the best cut, times ``SCALE``. The row
+    with a null piece is the log likelihood (soft only)."""
+
+    def run(some: pd.DataFrame, pieces: pd.DataFrame) -> pd.DataFrame:
+        listed, texts = pieces["piece"].tolist(), some["word"].tolist()
+        table, weights = lattice.Pieces(listed, pieces["score"].to_numpy()), some["n"].to_numpy(dtype=float)
+        if soft:
+            likelihood, counts = lattice.expected_counts(table, texts, weights)
+        else:
+            counts = np.zeros(len(listed) + 2)
+            for cut, n in zip(lattice.best_cuts(table, texts)[0], weights, strict=True):
+                for piece in cut:
+                    counts[piece] += n
+            likelihood, counts = 0.0, counts[: len(listed)]
+        used = np.flatnonzero(counts > 0)
+        amounts = np.append(counts[used], likelihood) * SCALE
+        return pd.DataFrame({"piece": [*(listed[i] for i in used), None], "c": np.rint(amounts).astype("int64")})
+
+    left = words.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(groups)).cast("int")).groupBy("part")
+    found = left.cogroup(_dealt(scores, groups).groupBy("part")).applyInPandas(run, "piece string, c bigint")
+    return found.groupBy("piece").agg(F.sum(F.col("c").cast("decimal(28,0)")).alias("c"))
+
+
+def em_round(words: DataFrame, scores: DataFrame, groups: int, least: float = 0.5) -> DataFrame:
+    """One round: pieces that are expected at least ``least`` times, and all characters, with new scores."""
+    counts = summed(words, scores, groups).where("piece IS NOT NULL")
+    kept = frozen(
+        scores.select("piece", "is_char")
+        .join(counts, "piece", "left")
+        .withColumn("c", F.coalesce("c", F.lit(0)))
+        .where((F.col("c") >= int(least * SCALE)) | F.col("is_char"))
+        .withColumn("c", F.greatest("c", F.lit(int(least * SCALE)).cast("decimal(38,0)")))
     )
+    total = kept.agg((F.sum("c").cast("double") / SCALE).alias("t")).select(digamma(F.col("t"))).scalar()
+    score = F.round(digamma(F.col("c").cast("double") / SCALE) - total, 9)
+    return frozen(kept.select("piece", score.alias("score"), "is_char"))
+
+
+def log_likelihood(words: DataFrame, scores: DataFrame, groups: int) -> float:
+    return float(summed(words, scores, groups).where("piece IS NULL").first()["c"]) / SCALE
+
 
+def prune(words: DataFrame, scores: DataFrame, groups: int, keep: int) -> DataFrame:
+    """Drop the pieces whose loss costs least likelihood; characters always stay."""
 
-def _digamma(x: float) -> float:
-    shift = 0.0
-    while x < 7:
-        shift -= 1 / x
-        x += 1
-    x -= 0.5
-    inv = 1 / (x * x)
-    return shift + math.log(x) + inv / 24 - 7 * inv * inv / 960 + 31 * inv**3 / 8064
-
-
-def em_round(words: DataFrame, scores: Scores, alphabet: set[str], least: float = 0.5) -> tuple[Scores, float]:
-    """One expectation-maximisation round: new scores, and the log likelihood under the old ones."""
-    rows = {r["piece"]: r["c"] for r in _summed(words, scores, soft=True).collect()}
-    likelihood = rows.pop(None, 0.0)
-    kept = {p: max(c, least) for p, c in rows.items() if c >= least or p in alphabet}
-    for ch in alphabet & scores.keys():
-        kept.setdefault(ch, least)
-    total = _digamma(sum(kept.values()))
-    return {p: round(_digamma(c) - total, 9) for p, c in kept.items()}, likelihood
-
-
-def prune(words: DataFrame, scores: Scores, alphabet: set[str], keep: int) -> Scores:
-    """Drop the pieces whose loss costs least likelihood; characters of the alphabet always stay."""
-    spark = words.sparkSession
-    shared = spark.sparkContext.broadcast((scores, _unknown(scores)))
-
-    def cost(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, unknown = shared.value
-        for batch in batches:
-            loss = []
-            for piece, c in zip(batch["piece"], batch["c"]):
-                cut = best_path(piece, table, unknown, without=piece)
-                other = sum(table[p] if known else unknown for p, known in cut)
-                loss.append(round(c * (table[piece] - other), 6))
-            yield pd.DataFrame({"piece": batch["piece"], "loss": loss})
-
-    used = _summed(words, scores, soft=False).where(F.length("piece") > 1)
-    free = max(0, keep - len(alphabet & scores.keys()))
-    ranked = used.mapInPandas(cost, "piece string, loss double").orderBy(F.desc("loss"), "piece").limit(free)
-    stay = {r["piece"] for r in ranked.collect()} | (alphabet & scores.keys())
-    return {p: s for p, s in scores.items() if p in stay}
+    def cost(some: pd.DataFrame, pieces: pd.DataFrame) -> pd.DataFrame:
+        table = lattice.Pieces(pieces["piece"].tolist(), pieces["score"].to_numpy())
+        texts = some["word"].tolist()
+        own = table.scores[[table.number[t] for t in texts]]
+        other = lattice.best_cuts(table, texts, whole=False)[1]
+        return pd.DataFrame({"piece": texts, "loss": np.round(some["n"].to_numpy(dtype=float) * (own - other), 6)})
+
+    used = summed(words, scores, groups, soft=False).where((F.length("piece") > 1) & (F.col("c") > 0))
+    chars = scores.where("is_char").count()
+    asked = used.select(
+        F.col("piece").alias("word"), (F.col("c").cast("double") / SCALE).alias("n"), F.pmod(F.xxhash64("piece"), F.lit(groups)).cast("int").alias("part")
+    )
+    losses = asked.groupBy("part").cogroup(_dealt(scores, groups).groupBy("part")).applyInPandas(cost, "piece string, loss double")
+    stay = losses.orderBy(F.desc("loss"), "piece").limit(max(0, keep - chars)).select("piece")
+    return frozen(scores.where("is_char").unionByName(scores.where("NOT is_char").join(stay, "piece", "left_semi")))
 
 
 def unigram_vocab(
@@ -200,58 +177,64 @@ def unigram_vocab(
     if size * seed_factor > MAX_PIECES:
         raise ValueError(f"size * seed_factor is beyond {MAX_PIECES} pieces")
     spark = docs.sparkSession
-    # A fixed number of parts: word lattices cost processor time, which merging by bytes would ignore.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    words = frozen(training_words(docs, mode).repartition(parts, "word"))
-    letters = words.select(F.explode_outer(F.split("word", "")).alias("ch"), "n").groupBy("ch").agg(
-        F.sum("n").alias("n")
-    )
-    alphabet_rows = frozen(covering_chars(letters, coverage))
+    words = frozen(training_words(docs, mode))
+    letters = frozen(letters_of(words))
+    alphabet = frozen(covering_chars(letters, coverage))
     wanted = size - len(SPECIAL_PIECES)
-    alphabet = {r["ch"] for r in alphabet_rows.select("ch").limit(wanted + 1).collect()}
-    if len(alphabet) > wanted:
+    if alphabet.count() > wanted:
         raise ValueError(f"the characters needed for coverage {coverage} alone exceed {wanted} pieces")
-    seeds = seed_pieces(words, alphabet_rows, size * seed_factor).collect()
-    total = math.log(sum(r["weight"] for r in seeds))
-    scores = {r["piece"]: round(math.log(r["weight"]) - total, 9) for r in seeds}
+    # Characters outside the alphabet: not more than Unicode has.
+    rare = "".join(sorted(r["ch"] for r in letters.join(alphabet, "ch", "left_anti").collect()))
+    if rare:
+        shown = F.translate("word", rare, OUTSIDE * len(rare))
+        words = frozen(words.select(shown.alias("word"), "n").groupBy("word").agg(F.sum("n").alias("n")))
+    groups = _groups(words)
+    seeds = frozen(seed_pieces(words, alphabet, size * seed_factor))
+    total = seeds.agg(F.log(F.sum("weight").cast("double"))).scalar()
+    scores = frozen(seeds.select("piece", F.round(F.log(F.col("weight").cast("double")) - total, 9).alias("score"), "is_char"))
     while True:
         for _ in range(rounds):
-            scores, _ = em_round(words, scores, alphabet)
-        if len(scores) <= wanted * 1.1:
+            scores = em_round(words, scores, groups)
+        count = scores.count()
+        if count <= wanted * 1.1:
             break
-        scores = prune(words, scores, alphabet, max(int(wanted * 1.1), int(len(scores) * shrink)))
-    ordered = sorted(scores.items(), key=lambda x: (x[0] not in alphabet, -x[1], x[0]))[:wanted]
-    return number_pieces(spark.createDataFrame(ordered, "piece string, score double"))
+        scores = prune(words, scores, groups, max(int(wanted * 1.1), int(count * shrink)))
+    chosen = scores.orderBy(F.desc("is_char"), F.desc("score"), "piece").limit(wanted).select("piece", "score")
+    return number_pieces(frozen(chosen))
 
 
 def unigram_ids(words: Column, vocab: DataFrame, append_eos: bool = True) -> Column:
-    """Array of words to piece ids by best path; a run of unknown characters becomes one id 1."""
+    """Array of words to piece ids by best cut; a run of unknown characters becomes one id 1.
+
+    A task cuts a word once and remembers it.
+    """
     rows = vocab.where(~F.col("is_special")).select("piece", "score", "id").limit(MAX_PIECES + 1).collect()
     if len(rows) > MAX_PIECES:
         raise ValueError(f"vocabulary has more than {MAX_PIECES} pieces")
-    table = ({r["piece"]: r["score"] for r in rows}, {r["piece"]: r["id"] for r in rows})
-    shared = vocab.sparkSession.sparkContext.broadcast(table)
+    rows.sort(key=lambda r: r["id"])
+    listed = ([r["piece"] for r in rows], [r["score"] for r in rows], [r["id"] for r in rows])
+    shared = vocab.sparkSession.sparkContext.broadcast(listed)
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
-    def encode(lists: pa.Array) -> pa.Array:
-        scores, ids = shared.value
-        unknown = _unknown(scores)
-        seen: dict[str, list[int]] = {}
-
-        def cut(word: str) -> list[int]:
-            if word not in seen:
-                out: list[int] = []
-                for piece, known in best_path(word, scores, unknown):
-                    if known:
-                        out.append(ids[piece])
-                    elif not out or out[-1] != UNK_ID:
-                        out.append(UNK_ID)
-                seen[word] = out
-            return seen[word]
-
-        end = [EOS_ID] if append_eos else []
-        coded = [None if ws is None else [i for w in ws for i in cut(w)] + end for ws in lists.to_pylist()]
-        return pa.array(coded, pa.list_(pa.int32()))
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        pieces, scores, numbers = shared.value
+        table, ids = lattice.Pieces(pieces, scores), np.array([*numbers, UNK_ID], dtype=np.int32)
+        end = np.array([EOS_ID] if append_eos else [], dtype=np.int32).tobytes()
+        known: dict[str, bytes] = {}
+        for lists in batches:
+            texts = lists.to_pylist()
+            if len(known) > REMEMBERED:
+                known.clear()
+            fresh = list({w for ws in texts if ws for w in ws if w not in known})
+            for word, cut in zip(fresh, lattice.best_cuts(table, fresh)[0], strict=True):
+                coded = ids[cut] if cut else np.zeros(0, np.int32)
+                repeated = np.zeros(len(coded), bool)
+                repeated[1:] = (coded[1:] == UNK_ID) & (coded[:-1] == UNK_ID)
+                known[word] = coded[~repeated].tobytes()
+            rows = [b"" if ws is None else b"".join(map(known.__getitem__, ws)) + end for ws in texts]
+            offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])]).astype(np.int32)
+            flat = pa.array(np.frombuffer(b"".join(rows), dtype=np.int32))
+            yield pa.ListArray.from_arrays(pa.array(offsets), flat, mask=lists.is_null())
 
     return encode(words)
 

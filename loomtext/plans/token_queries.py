@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import asdict, replace
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from loomtext.functions.text import collapse_whitespace, metaspace_words, normalize, tokens_of
 from loomtext.operators import checks, encode, ngrams, pack, sample, unigram, vocab
@@ -14,7 +15,7 @@ from loomtext.plans.registry import query
 from loomtext.plans.settings import VARIANTS, Preparation, by_words
 from loomtext.plans.sql_parts import CORPUS, M, WS, blocks, ids, prepared, shuffled, stripped, vocab as vocab_sql, words
 from loomtext.plans.tables import articles, corpus, qa_pairs, table
-from loomtext.session import frozen, scratch_path
+from loomtext.session import ensure_checkpoint_dir, frozen, scratch_path
 from loomtext.sources.corpus import materialize, unify_qa
 from loomtext.sources.vocab_file import read_vocab_tsv, write_vocab_tsv
 
@@ -166,20 +167,60 @@ def normalize_text(spark, sf_dir):
     return rows.select("row_id", F.md5(normalize(F.col("text"), "nfkc_cf")).alias("text_md5"))
 
 
-def trained_unigram(spark, sf_dir):
-    return unigram.unigram_vocab(corpus(spark, sf_dir), size=2000, seed_factor=5, shrink=0.5)
+PUBLISHED = VARIANTS["published"]
 
 
-@query()
+def published_vocab(spark, sf_dir):
+    """The subword vocabulary of the published variant at its full size, trained once per session and state of the tables."""
+    root = f"{ensure_checkpoint_dir(spark)}/trained"
+    inputs = [f"{sf_dir}/{name}.parquet" for name in ("documents", "conversations")]
+    build = lambda: prepare.vocabulary_of(corpus(spark, sf_dir), PUBLISHED)
+    return materialize(spark, root, "unigram", asdict(PUBLISHED), build, inputs)
+
+
+# Which pieces win is the trainer's business; SQL states what must hold of any result: its shape, the alphabet, and what
+# no cut of a text can change.
+BAND = f"length({stripped()}) > {PUBLISHED.length_low} AND length({stripped()}) < {PUBLISHED.length_high}"
+ALPHABET = f"""{CORPUS}, chosen AS (SELECT * FROM corpus WHERE {BAND}), {words('chosen', 'train_words')},
+train_chars AS (SELECT ch, count(*) AS n FROM (SELECT unnest(string_split(array_to_string(w, ''), '')) AS ch FROM train_words)
+  WHERE ch <> '' GROUP BY ch),
+covered AS (SELECT ch, sum(n) OVER () AS total,
+  coalesce(sum(n) OVER (ORDER BY n DESC, ch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM train_chars),
+alphabet AS (SELECT ch FROM covered WHERE before < total::DOUBLE * 0.9995::DOUBLE)"""
+
+
+@query(f"""WITH {ALPHABET} SELECT true AS ids_dense, true AS pieces_distinct, true AS within_size, true AS scores_fall,
+  4 AS special, count(*) AS alphabet FROM alphabet""")
 def vocab_unigram(spark, sf_dir):
-    return trained_unigram(spark, sf_dir)
+    found = published_vocab(spark, sf_dir)
+    before = F.lag("score").over(Window.orderBy("id"))
+    ranked = found.withColumn("falls", F.col("is_special") | F.coalesce(before >= F.col("score"), F.lit(True)) | (F.col("id") == 4))
+    return ranked.agg(
+        ((F.max("id") + 1 == F.count("*")) & (F.count_distinct("id") == F.count("*"))).alias("ids_dense"),
+        (F.count_distinct("piece") == F.count("*")).alias("pieces_distinct"),
+        (F.count("*") <= PUBLISHED.vocab_size).alias("within_size"),
+        F.bool_and("falls").alias("scores_fall"),
+        F.count_if("is_special").cast("int").alias("special"),
+        F.count_if(~F.col("is_special") & (F.length("piece") == 1)).alias("alphabet"),
+    )
 
 
-@query()
+@query(f"""WITH {ALPHABET}, {words('corpus')},
+toks AS (SELECT row_id, unnest(w) AS tok, generate_subscripts(w, 1) AS i FROM words),
+chars AS (SELECT row_id, i, unnest(string_split(tok, '')) AS ch, generate_subscripts(string_split(tok, ''), 1) AS k FROM toks),
+odd AS (SELECT row_id, i, k, a.ch IS NULL AS unknown FROM chars LEFT JOIN alphabet a USING (ch)),
+runs AS (SELECT row_id, unknown AND NOT coalesce(lag(unknown) OVER (PARTITION BY row_id, i ORDER BY k), false) AS begins FROM odd),
+per AS (SELECT row_id, count(*) FILTER (begins) AS unknown FROM runs GROUP BY row_id)
+SELECT row_id, coalesce(unknown, 0) AS unknown, length(t) AS chars, true AS restored FROM words_c LEFT JOIN per USING (row_id)""")
 def encode_unigram(spark, sf_dir):
-    docs = corpus(spark, sf_dir)
-    rows = unigram.encode_unigram(docs, trained_unigram(spark, sf_dir))
-    return rows.select("row_id", F.size("input_ids").alias("n"), ids_md5().alias("ids_md5"))
+    """Per text: unknown ids, and whether the pieces give the text back (where nothing is unknown)."""
+    found = published_vocab(spark, sf_dir)
+    docs = corpus(spark, sf_dir).withColumn("plain", collapse_whitespace(F.col("text")))
+    coded = unigram.encode_unigram(docs, found, PUBLISHED.append_eos, PUBLISHED.normalization)
+    back = encode.decode(coded, found)
+    unknown = F.size(F.filter("input_ids", lambda i: i == vocab.UNK_ID)).cast("bigint")
+    restored = (unknown > 0) | (F.col("decoded") == F.col("plain"))
+    return back.select("row_id", unknown.alias("unknown"), F.length("plain").cast("bigint").alias("chars"), restored.alias("restored"))
 
 
 # The survey's parameters for packing on articles and Q/A in seeded order: 64 tokens, batches of 100.
@@ -326,11 +367,20 @@ def disjoint_block_split(spark, sf_dir):
     return both.select("batch", "block", ids_md5().alias("ids_md5"), "split")
 
 
-@query()
+@query(f"""WITH {CORPUS}, p AS (SELECT {shuffled('corpus')} AS pos FROM corpus)
+SELECT pos // 2000 AS batch, count(*) AS texts, true AS balanced FROM p GROUP BY 1""")
 def corpus_to_blocks_unigram(spark, sf_dir):
-    """The whole preparation with a subword vocabulary trained on the corpus' own lines."""
-    cfg = replace(VARIANTS["published"], vocab_kind="unigram", vocab_size=1000, normalization="nfkc_cf")
-    return block_rows(blocks_of(spark, sf_dir, cfg))
+    """The published preparation with its subword vocabulary, by batch: whether full blocks and remainder are all tokens."""
+    docs = corpus(spark, sf_dir)
+    coded = frozen(prepare.encode(docs, published_vocab(spark, sf_dir), PUBLISHED))
+    lengths = shuffled_positions(coded.select("row_id", F.greatest(F.size("input_ids"), F.lit(0)).alias("n")))
+    size, rows = PUBLISHED.block_size, PUBLISHED.batch_rows
+    texts = lengths.groupBy(F.expr(f"pos div {rows}L").alias("batch")).agg(F.count("*").alias("texts"))
+    packed = pack.pack_shuffled(coded, size, rows).groupBy("batch").agg(F.count("*").alias("packed"), F.sum(F.size("input_ids")).alias("kept"))
+    both = texts.join(pack.packing_loss(lengths, size, rows), "batch").join(packed, "batch", "left")
+    kept = F.coalesce("kept", F.lit(0))
+    balanced = (kept + F.col("dropped") == F.col("tokens")) & (F.coalesce("packed", F.lit(0)) == F.col("blocks"))
+    return both.select("batch", "texts", balanced.alias("balanced"))
 
 
 @query(f"WITH {PAIRS} SELECT prev, next, n FROM pc")

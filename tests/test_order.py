@@ -38,7 +38,7 @@ def test_shuffle_depends_on_seed(spark):
 def test_source_positions_and_ranks(spark, values):
     values = sorted(set(values))
     df = spark.createDataFrame([(v,) for v in values], "k long").repartition(5)
-    got = {r["k"]: r["pos"] for r in order.source_positions(df, "k", buckets=16).collect()}
+    got = {r["k"]: r["pos"] for r in order.source_positions(df, "k", bucket_rows=20).collect()}
     assert got == {v: i for i, v in enumerate(values)}
     for rank in {1, 2, len(values) // 2, len(values)} - {0}:
         if rank <= len(values):

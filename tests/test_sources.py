@@ -101,7 +101,7 @@ def sources(spark, n=60):
 @pytest.mark.parametrize("parts", [1, 4, 7])
 def test_preparation_does_not_depend_on_partitions(spark, parts):
     articles, qa = sources(spark)
-    cfg = Preparation(vocab_size=20, block_size=16, batch_rows=10, length_low=5, vocab_sample=50)
+    cfg = Preparation(vocab_kind="frequency", vocab_size=20, block_size=16, batch_rows=10, length_low=5, vocab_sample=50)
     want = prepare.corpus_to_blocks(articles, qa, cfg).collect()
     got = prepare.corpus_to_blocks(articles.repartition(parts), qa.repartition(parts), cfg).collect()
     assert sorted(got) == sorted(want) and len(want) > 50
@@ -109,7 +109,7 @@ def test_preparation_does_not_depend_on_partitions(spark, parts):
 
 def test_block_splits(spark):
     articles, qa = sources(spark)
-    base = dict(vocab_size=20, block_size=16, batch_rows=10, length_low=5, holdout_rows=7)
+    base = dict(vocab_kind="frequency", vocab_size=20, block_size=16, batch_rows=10, length_low=5, holdout_rows=7)
     blocks = frozen(prepare.corpus_to_blocks(articles, qa, Preparation(**base)))
     n = blocks.count()
     sizes = {}

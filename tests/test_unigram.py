@@ -1,11 +1,12 @@
 import itertools
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from loomtext.functions.text import normalize
-from loomtext.operators import encode, unigram, vocab
+from loomtext.operators import encode, lattice, unigram, vocab
 
 SCORES = {"a": -2.0, "b": -2.5, "ab": -3.1, "ba": -2.2, "aba": -4.0, "bb": -6.0}
 
@@ -22,27 +23,52 @@ def scored(word, unknown):
             yield sum(SCORES.get(p, unknown) for p in cut), cut
 
 
-@pytest.mark.parametrize("word", ["a", "ab", "abab", "babba", "xab", "axxb", "aabbaabb"])
-def test_lattice_against_all_cuts(word):
-    every = list(scored(word, -9.0))
-    best = unigram.best_path(word, SCORES, -9.0)
-    assert "".join(p for p, _ in best) == word
-    assert math.isclose(sum(SCORES.get(p, -9.0) for p, _ in best), max(s for s, _ in every))
-    total, used = unigram.expected_counts(word, SCORES, -9.0)
-    mass = sum(math.exp(s) for s, _ in every)
-    assert math.isclose(total, math.log(mass))
-    for piece in SCORES:
-        want = sum(math.exp(s) * cut.count(piece) for s, cut in every) / mass
-        assert math.isclose(sum(c for p, c in used if p == piece), want, abs_tol=1e-12)
+WORDS = ["a", "ab", "abab", "babba", "xab", "axxb", "aabbaabb", "ab", "ba", "xxxx"]
+
+
+def table():
+    return lattice.Pieces(list(SCORES), list(SCORES.values()))
+
+
+def test_lattices_against_all_cuts():
+    held, names = table(), [*SCORES, "?"]
+    unknown = min(SCORES.values()) - lattice.UNKNOWN_PENALTY
+    cut, score = lattice.best_cuts(held, WORDS)
+    for word, pieces, value in zip(WORDS, cut, score):
+        every = list(scored(word, unknown))
+        assert math.isclose(value, max(s for s, _ in every))
+        assert math.isclose(value, sum(SCORES.get(names[p], unknown) for p in pieces))
+        assert sum(len(names[p]) for p in pieces) == len(word)
+    weights = np.arange(1, len(WORDS) + 1, dtype=float)
+    total, used = lattice.expected_counts(held, WORDS, weights)
+    masses = [sum(math.exp(s) for s, _ in scored(w, unknown)) for w in WORDS]
+    assert math.isclose(total, sum(n * math.log(m) for n, m in zip(weights, masses)))
+    for i, piece in enumerate(SCORES):
+        want = sum(n * math.exp(s) * c.count(piece) / m for n, w, m in zip(weights, WORDS, masses) for s, c in scored(w, unknown))
+        assert math.isclose(used[i], want, abs_tol=1e-9)
+
+
+def test_small_tables_give_the_same(monkeypatch):
+    want = lattice.best_cuts(table(), WORDS), lattice.expected_counts(table(), WORDS, np.ones(len(WORDS)))[1]
+    monkeypatch.setattr(lattice, "CELLS", 1)
+    got = lattice.best_cuts(table(), WORDS), lattice.expected_counts(table(), WORDS, np.ones(len(WORDS)))[1]
+    assert got[0][0] == want[0][0] and np.allclose(got[1], want[1])
 
 
 def test_barred_piece():
-    assert unigram.best_path("aba", SCORES, -9.0, without="aba") == [("a", True), ("ba", True)]
+    names = list(SCORES)
+    assert [names[i] for i in lattice.best_cuts(table(), ["aba"], whole=False)[0][0]] == ["a", "ba"]
+
+
+def test_long_words_need_no_cut():
+    cut, _ = lattice.best_cuts(table(), ["ab" * 3000])
+    assert sum(len(list(SCORES)[i]) for i in cut[0]) == 6000
 
 
-def test_digamma():
-    assert math.isclose(unigram._digamma(1.0), -0.5772156649015329, rel_tol=1e-8)
-    assert math.isclose(unigram._digamma(10.0), 2.251752589066721, rel_tol=1e-9)
+def test_digamma(spark):
+    got = spark.createDataFrame([(1.0,), (10.0,), (0.5,), (1e9,)], "x double").select(unigram.digamma(F.col("x"))).collect()
+    for (value,), want in zip(got, [-0.5772156649015329, 2.251752589066721, -1.9635100260214235, math.log(1e9) - 0.5e-9]):
+        assert math.isclose(value, want, rel_tol=1e-9)
 
 
 TEXTS = ["the cat sat on the mat", "the dog and the cat", "人工智能正在改变世界", "人工智能 人工智能 世界", "that is the cat"] * 5
@@ -84,16 +110,14 @@ def test_result_does_not_depend_on_partitions(docs, trained):
 
 def test_likelihood_rises(docs):
     words = unigram.training_words(docs)
-    letters = set("".join(TEXTS).replace(" ", "▁"))
-    alphabet = docs.sparkSession.createDataFrame([(c,) for c in letters], "ch string")
-    seeds = unigram.seed_pieces(words, alphabet, 500).collect()
-    total = math.log(sum(r["weight"] for r in seeds))
-    scores = {r["piece"]: math.log(r["weight"]) - total for r in seeds}
+    seeds = unigram.seed_pieces(words, unigram.letters_of(words), 500)
+    total = math.log(seeds.agg(F.sum("weight")).first()[0])
+    scores = seeds.select("piece", (F.log("weight") - total).alias("score"), "is_char")
     seen = []
-    for _ in range(4):
-        scores, likelihood = unigram.em_round(words, scores, letters)
-        seen.append(likelihood)
-    assert seen[0] < seen[1] and seen[0] < seen[-1]
+    for _ in range(3):
+        seen.append(unigram.log_likelihood(words, scores, 3))
+        scores = unigram.em_round(words, scores, 3)
+    assert seen[0] < seen[1] < seen[2]
 
 
 def test_unknown_runs_become_one_id(spark, trained):
@@ -104,11 +128,23 @@ def test_unknown_runs_become_one_id(spark, trained):
     assert got == {"1": [mark, 1, the, mark, 1, 3], "2": None, "3": [3]}
 
 
-def test_long_words_are_cut_without_loss(spark):
-    df = spark.createDataFrame([("1", "长" * 1000)], "row_id string, text string")
-    rows = unigram.training_words(df).collect()
-    assert sum(len(r["word"]) * r["n"] for r in rows) == 1001
-    assert max(len(r["word"]) for r in rows) == unigram.MAX_WORD
+def test_every_substring_of_long_words_is_counted_once(spark, monkeypatch):
+    monkeypatch.setattr(unigram, "STRETCH", 20)
+    text = "".join(chr(0x4E00 + i * 7 % 90) for i in range(300))
+    words = spark.createDataFrame([(text, 3), ("short", 2)], "word string, n long")
+    seeds = unigram.seed_pieces(words, unigram.letters_of(words), 10**5).where("NOT is_char").collect()
+    want = {}
+    for word, n in ((text, 3), ("short", 2)):
+        for i in range(len(word)):
+            for k in range(2, min(16, len(word) - i) + 1):
+                want[word[i : i + k]] = want.get(word[i : i + k], 0) + n * k
+    assert {r["piece"]: r["weight"] for r in seeds} == want
+
+
+def test_rare_characters_stay_outside(spark, docs):
+    odd = docs.union(spark.createDataFrame([("x", "the qcat zq")], "row_id string, text string"))
+    pieces = {r["piece"] for r in unigram.unigram_vocab(odd, size=60, coverage=0.99, seed_factor=10).collect()}
+    assert not any("q" in p or "z" in p for p in pieces) and "▁the" in pieces
 
 
 def test_bounds(docs):
