@@ -163,7 +163,8 @@ def op9_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("positions").cast("bigint").alias("copies"),
         F.get("positions", F.lit(0)).alias("first_position"),
     )
-    return rows.repartitionByRange("first_position").sortWithinPartitions("first_position", "doc_id")
+    # The id deals out the documents that the mix does not take, which have no position.
+    return rows.repartitionByRange("first_position", "doc_id").sortWithinPartitions("first_position", "doc_id")
 
 
 @query(
