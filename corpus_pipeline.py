@@ -32,7 +32,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies stays: five-word shingles, a similarity of 0.8 or more."""
     return simhash.drop_near_duplicates(docs)
 
 
