@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loomtext.llm.common import saved
-from loomtext.llm.sharding import count_below, order_key, splitters
+from loomtext.llm.sharding import count_below, lookup, order_key, splitters
 
 #: Paragraphs of a section, words of a mark.
 SECTION, RUN = 8, 3
@@ -105,22 +105,18 @@ def with_next(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     ranges = max(1, min(RANGES, math.ceil(total / range_bytes)))
     cuts = sorted(set(splitters(narrow, [total * i / ranges for i in range(1, ranges)], 0.2 * total / ranges)))
     place = count_below("__key", cuts)
-    # The first key of every range that has rows; at most RANGES of them.
+    # The first key of every range that has rows, at most RANGES of them, and the range before it; the first of all goes behind the last.
     firsts = [(r["at"], int(r["key"])) for r in narrow.groupBy(place.alias("at")).agg(F.min("__key").alias("key")).orderBy("at").collect()]
-    before = {key: firsts[i - 1][0] for i, (_, key) in enumerate(firsts)}
-    spark = docs.sparkSession
-    # Not more rows than ranges, so small enough to send to every task.
-    heads = spark.createDataFrame([(str(k), r) for k, r in before.items()], "head string, back int")
-    tagged = keyed.withColumn("__range", place).join(F.broadcast(heads), F.col("__key").cast("string") == F.col("head"), "left")
-    sent = tagged.withColumn(
-        "__to",
-        F.explode(
-            F.when(
-                F.col("back").isNotNull(),
-                F.array(F.struct(F.col("__range").alias("at"), F.lit(False).alias("extra")), F.struct(F.col("back").alias("at"), F.lit(True).alias("extra"))),
-            ).otherwise(F.array(F.struct(F.col("__range").alias("at"), F.lit(False).alias("extra"))))
-        ),
-    ).select("doc_id", "text", "__key", F.col("__to.at").alias("__at"), F.col("__to.extra").alias("__extra"))
+    keys, back = [0] * (len(cuts) + 1), [0] * (len(cuts) + 1)
+    for i, (at, key) in enumerate(firsts):
+        keys[at], back[at] = key, firsts[i - 1][0]
+    placed = keyed.withColumn("__range", place)
+    here = F.struct(F.col("__range").alias("at"), F.lit(False).alias("extra"))
+    ahead = F.struct(lookup("__range", back, "int").alias("at"), F.lit(True).alias("extra"))
+    first = F.col("__key") == lookup("__range", keys, "decimal(38,0)")
+    sent = placed.withColumn("__to", F.explode(F.when(first, F.array(here, ahead)).otherwise(F.array(here)))).select(
+        "doc_id", "text", "__key", F.col("__to.at").alias("__at"), F.col("__to.extra").alias("__extra")
+    )
     following = F.lead("text").over(Window.partitionBy("__at").orderBy("__extra", "__key"))
     return sent.withColumn("next_text", following).where("NOT __extra").select("doc_id", "text", "next_text")
 

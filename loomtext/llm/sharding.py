@@ -125,13 +125,14 @@ def histogram_sort(
     rank = F.row_number().over(Window.partitionBy("__range").orderBy("__key"))
     return (
         keyed.withColumn("__range", count_below("__key", cuts))
-        .withColumn("shard", _lookup("__range", shard_of, "int"))
-        .withColumn("slot", _lookup("__range", starts, "bigint") + rank - F.lit(1))
+        .withColumn("shard", lookup("__range", shard_of, "int"))
+        .withColumn("slot", lookup("__range", starts, "bigint") + rank - F.lit(1))
         .drop("__key", "__size", "__range")
     )
 
 
-def _lookup(index: str, values: list[int], kind: str) -> Column:
+def lookup(index: str, values: list[int], kind: str) -> Column:
+    """The value at the number in the column ``index``, from a list of bounded length."""
     listed = f"cast(split('{','.join(map(str, values))}', ',') as array<{kind}>)"
     return F.expr(f"element_at({listed}, `{index}` + 1)")
 
