@@ -264,9 +264,10 @@ def generation_append(spark, sf_dir):
     path = scratch_path(spark, "generations")
     milestones = metric_log(spark, sf_dir).where(is_milestone(F.col("step")))
     work = trainlog.prompt_grid(milestones.select("step"))
-    append_generations(work.where(F.col("prompt_id") < 2), path)
-    append_generations(work.where(F.col("prompt_id") >= 2), path)
-    schema = T.StructType([*work.drop("step").schema.fields, T.StructField("step", T.LongType())])
+    for _ in range(2):  # the first batch comes twice, as after a failure
+        append_generations(work.where(F.col("prompt_id") < 2), path, "first")
+    append_generations(work.where(F.col("prompt_id") >= 2), path, "second")
+    schema = T.StructType([*work.drop("step").schema.fields, T.StructField("batch", T.StringType()), T.StructField("step", T.LongType())])
     saved = spark.read.schema(schema).parquet(path)
     return saved.select("step", F.col("prompt_id").cast("bigint").alias("prompt_id"), "prompt")
 

@@ -99,9 +99,13 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "sentence")
 
 
-def append_generations(samples: DataFrame, path: str) -> None:
-    """Add generated samples; earlier steps stay readable."""
-    samples.write.mode("append").partitionBy("step").parquet(path)
+def append_generations(samples: DataFrame, path: str, batch: str) -> None:
+    """Add generated samples under the name of their batch; earlier ones stay readable.
+
+    A batch that is appended again, as after a failed job, replaces itself and leaves no second copy.
+    """
+    named = samples.withColumn("batch", F.lit(batch))
+    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "step").parquet(path)
 
 
 def input_state(spark: SparkSession, *paths: str) -> list[list]:
