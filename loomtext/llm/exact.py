@@ -124,7 +124,8 @@ def duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     an empty result.
     """
     identity = saved(named(docs, block), "identity")
-    rows = identity.join(_groups(identity), ["rounds", "name"])
+    # Written first: grouping and join would share one exchange, in which a large group of copies could not be split.
+    rows = identity.join(saved(_groups(identity), "groups"), ["rounds", "name"])
     first = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("hash") == F.col("best.hash"))
     return rows.select(
         "doc_id",
