@@ -71,7 +71,7 @@ def test_materialize_runs_once_per_parameter_set(spark, tmp_path):
 
 def test_generations_append(spark, tmp_path):
     path = str(tmp_path / "g")
-    for step in (500, 1000):
+    for step in (500, 1000, 500):  # a batch that comes again replaces itself
         corpus.append_generations(spark.createDataFrame([(step, 1.5, "p", f"text {step}")], "step long, loss double, prompt string, generated string"), path, f"b{step}")
     assert sorted((r["step"], r["generated"]) for r in spark.read.parquet(path).collect()) == [(500, "text 500"), (1000, "text 1000")]
 
