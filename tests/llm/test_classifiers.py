@@ -238,6 +238,11 @@ def test_words_of_switching_text_are_labelled(spark, model):
     assert np.mean([w["lang"] == x for w, x in zip(words, want, strict=True)]) > 0.9
 
 
+@pytest.mark.parametrize("word,want", [("abc", "abc"), ("(abc)!!", "abc"), ("x²", "x²"), ("²", ""), ("42", ""), ("_a_", "a"), ("don't", "don't"), ("½½", "")])
+def test_words_start_and_end_with_letters(word, want):
+    assert langid.core(word) == want
+
+
 def test_language_of_odd_rows(spark):
     docs = with_clashes(odd_documents(spark))
     rows = langid.identify(docs).collect()
