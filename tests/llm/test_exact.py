@@ -27,7 +27,7 @@ def key(row):
     return tuple((v is None, v) for v in row)
 
 
-@pytest.mark.parametrize("block", [4096, 16, 3])
+@pytest.mark.parametrize("block", [4096, 256])
 def test_against_brute_force(spark, block):
     rows = exact.duplicates(odd_documents(spark), block).collect()
     want, groups = brute(odd_rows())
@@ -36,7 +36,7 @@ def test_against_brute_force(spark, block):
     assert all(r["doc_id"] == r["keep_id"] for r in rows if r["kept"])
 
 
-@pytest.mark.parametrize("block", [4096, 16])
+@pytest.mark.parametrize("block", [4096, 256])
 def test_names_rest_on_contents_not_on_hashes(spark, block):
     # A hash of two values makes almost all blocks collide.
     named = exact.named(odd_documents(spark), block, lambda c: F.pmod(F.xxhash64(c), F.lit(2)).cast("bigint")).collect()
