@@ -91,20 +91,22 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
         docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint"))
         .withColumn("__order", hashed)
         .withColumn("__slice", F.substring("__order", 1, digits))
+        # Never null, so that window and join below can share one exchange of the rows.
+        .withColumn("__stream", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")))
         .withColumn("__text", F.xxhash64("text"))
     )
-    sums = saved(sized.groupBy("source", "__slice").agg(F.sum("size").alias("size")), "slices")
-    earlier = Window.partitionBy("source").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    sums = saved(sized.groupBy("source", "__stream", "__slice").agg(F.sum("size").alias("size")), "slices")
+    earlier = Window.partitionBy("__stream").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     goal = saved(targets(sums, weights, share, cap), "targets")
-    starts = sums.select("source", "__slice", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("__start"))
+    starts = sums.select("source", "__stream", "__slice", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("__start"))
     per_slice = saved(
-        starts.join(goal.withColumnRenamed("source", "__of"), F.col("source").eqNullSafe(F.col("__of"))).drop("__of"), "starts"
-    ).withColumnsRenamed({"source": "__source", "__slice": "__part", "source_size": "__total", "target": "__goal", "class": "__class"})
-    inside = Window.partitionBy("source", "__slice").orderBy("__order", "doc_id", "size", "__text")
+        starts.join(goal.withColumnRenamed("source", "__of"), F.col("source").eqNullSafe(F.col("__of"))).drop("__of", "source"), "starts"
+    ).withColumnsRenamed({"source_size": "__total", "target": "__goal", "class": "__class"})
+    inside = Window.partitionBy("__stream", "__slice").orderBy("__order", "doc_id", "size", "__text")
     running = F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = (
         sized.withColumn("__before", running)
-        .join(per_slice, F.col("source").eqNullSafe(F.col("__source")) & (F.col("__slice") == F.col("__part")))
+        .join(per_slice, ["__stream", "__slice"])
         .withColumn("__before", F.col("__before") + F.col("__start"))
     )
     # The start of the last, partial round through the source; an empty source has none.
@@ -127,7 +129,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
         .withColumn("target", F.col("__goal"))
         .withColumn("taken", F.col("size") * F.col("__copies"))
         .withColumn("positions", F.when(F.col("__copies") > 0, when).otherwise(F.array().cast("array<double>")))
-        .drop(*["__order", "__slice", "__text", "__before", "__source", "__part", "__total", "__goal", "__class", "__start", "__rounds", "__copies"])
+        .drop(*["__order", "__slice", "__text", "__before", "__stream", "__total", "__goal", "__class", "__start", "__rounds", "__copies"])
     )
 
 
