@@ -118,6 +118,8 @@ def _named(prints: DataFrame, radius: int) -> DataFrame:
 BANDS, BAND_RADIUS, LANES = 6, 2, 16
 #: How far below the similarity asked for an estimate may lie: its standard error at 1,024 bits.
 MARGIN = 0.03
+#: Nodes of a part of a band's value.
+PART = 1024
 
 SKETCH = "bands array<bigint>, wide array<bigint>, size int"
 
@@ -182,31 +184,73 @@ def similarity_of(one: str, other: str) -> Column:
     return F.when(a + b == 0, F.lit(1.0)).otherwise(common / (a + b - common))
 
 
+def _verified(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) with at least that estimated similarity."""
+    one = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("one"))
+    two = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("two"))
+    return saved(pairs.join(one, "a").join(two, "b").where(similarity_of("one", "two") >= similarity - MARGIN).select("a", "b"), "verified")
+
+
 def similar_links(nodes: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """Links (a, b) between ``nodes`` (node, sketch) with at least that estimated similarity.
+    """Links (a, b) that connect all ``nodes`` (node, sketch) that meet in a band and have at least that estimated similarity.
 
-    Nodes with one value of a band are linked to the first of them, which is counted before it is joined, so a large group of copies meets in no
-    task. Different values send their variants; at a variant meet at most as many as the ball has members, and each is linked to
-    the one before, the one before that and the first, so that a chance meeting between them breaks no link.
+    First every node is compared with the first node of its own value of each band and with the smallest of those of the values within ``BAND_RADIUS`` bits.
+    What is connected then needs no more links; of all others that meet every pair is compared. So a large group of copies
+    meets in no task, and a chance meeting hides no other.
     """
     at = nodes.select("node", F.explode("sketch.bands").alias("band"))
     first = saved(at.groupBy("band").agg(F.min("node").alias("first")), "bands")
-    same = at.join(first, "band").where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    flips = [0, *(1 << b for b in range(32))]
+    near = saved(_near_values(first.select("band")), "near")
+    known = first.withColumnsRenamed({"band": "hi", "first": "other"})
+    beside = near.union(near.select("hi", "lo")).join(known, "hi").groupBy(F.col("lo").alias("band")).agg(F.min("other").alias("other"))
+    met = at.join(first.join(beside, "band", "left"), "band").select("node", F.explode(F.array("first", "other")).alias("other"))
+    begun = _verified(_ordered(met.where("other IS NOT NULL AND node != other"), "node", "other"), nodes, similarity)
+    rest = _unconnected(at, near, components(begun))
+    return begun if rest is None else begun.union(_verified(rest, nodes, similarity))
+
+
+def _ordered(pairs: DataFrame, one: str, other: str) -> DataFrame:
+    return saved(pairs.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct(), "pairs")
+
+
+def _near_values(values: DataFrame) -> DataFrame:
+    """Pairs (lo, hi) of the different ``band`` within ``BAND_RADIUS`` bits; at a variant meet at most as many as the ball has members."""
     if BAND_RADIUS != 2:
         raise ValueError("both sides go half the way: one bit of the band")
-    listed = ",".join(map(str, flips))
-    met = first.select("first", "band", F.explode(F.expr(f"transform(cast(split('{listed}', ',') as array<bigint>), m -> band ^ m)")).alias("variant"))
-    order = Window.partitionBy("variant").orderBy("band")
-    near = F.array(F.lag("first", 1).over(order), F.lag("first", 2).over(order), F.first("first").over(order))
-    across = met.select(near.alias("near"), F.col("first").alias("b")).where("near[0] IS NOT NULL").select(F.explode("near").alias("a"), "b")
-    pairs = saved(
-        same.union(across).where("a IS NOT NULL AND a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
-        "pairs",
-    )
-    one = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("one"))
-    two = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("two"))
-    return pairs.join(one, "a").join(two, "b").where(similarity_of("one", "two") >= similarity - MARGIN).select("a", "b")
+    listed = ",".join(map(str, [0, *(1 << b for b in range(32))]))
+    met = values.select("band", F.explode(F.expr(f"transform(cast(split('{listed}', ',') as array<bigint>), m -> band ^ m)")).alias("variant"))
+    before = Window.partitionBy("variant").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = met.select(F.collect_list("band").over(before).alias("earlier"), F.col("band").alias("hi"))
+    return earlier.select(F.explode("earlier").alias("lo"), "hi").distinct()
+
+
+def _unconnected(at: DataFrame, near: DataFrame, groups: DataFrame) -> DataFrame | None:
+    """Pairs (a, b) of the nodes ``at`` (node, band) one band or two ``near`` ones that are in different ``groups`` (node, root).
+
+    A band's nodes are dealt to parts, a large group of connected ones to parts of its own, and pairs of parts that hold
+    one group are left out, so no task gets more than some parts and a group is not paired with itself.
+    """
+    member = at.join(groups, "node", "left").select("node", "band", F.coalesce("root", "node").alias("root"))
+    sizes = saved(member.groupBy("band", "root").agg(F.count("*").alias("n")), "members")
+    whole = sizes.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.sum("n").alias("total"))
+    one = whole.select(F.col("band").alias("lo"), F.col("least").alias("l1"), F.col("most").alias("m1"))
+    two = whole.select(F.col("band").alias("hi"), F.col("least").alias("l2"), F.col("most").alias("m2"))
+    mixed = whole.where("least < most").select(F.col("band").alias("lo"), F.col("band").alias("hi"))
+    several = "least(l1, l2) < greatest(m1, m2)"
+    ties = saved(near.join(one, "lo").join(two, "hi").where(several).select("lo", "hi").union(mixed), "ties")
+    if ties.isEmpty():
+        return None
+    asked = ties.select(F.col("lo").alias("band")).union(ties.select("hi")).distinct()
+    deal = lambda column, n: F.pmod(F.xxhash64(column), F.ceil(n / F.lit(PART)))
+    part = F.when(F.col("n") > PART, F.xxhash64("root", deal("node", F.col("n")))).otherwise(deal("root", F.col("total")))
+    dealt = member.join(asked, "band", "left_semi").join(sizes, ["band", "root"]).join(whole.select("band", "total"), "band")
+    placed = saved(dealt.select("band", part.alias("part"), "root", "node"), "parts")
+    parts = placed.groupBy("band", "part").agg(F.min("root").alias("l"), F.max("root").alias("m"))
+    as_of = lambda df, b, i: df.withColumnsRenamed({"band": b, **{c: f"{c}{i}" for c in ("part", "root", "node", "l", "m")}})
+    work = ties.join(as_of(parts, "lo", 1), "lo").join(as_of(parts, "hi", 2), "hi")
+    work = saved(work.where(f"(lo != hi OR part1 <= part2) AND {several}").select("lo", "part1", "hi", "part2"), "work")
+    pairs = work.join(as_of(placed, "lo", 1), ["lo", "part1"]).join(as_of(placed, "hi", 2), ["hi", "part2"])
+    return _ordered(pairs.where("root1 != root2"), "node1", "node2")
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:

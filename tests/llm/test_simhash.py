@@ -129,6 +129,43 @@ def test_a_large_group_of_near_copies(spark):
     assert kept == [0, *range(1000, 1400)]
 
 
+def family(members, own, rng, length=400):
+    """Texts of ``length`` words that share all but one run of ``own`` words."""
+    base = [f"b{i}" for i in range(length)]
+    at = (length - own) // 2
+    return [base[:at] + [f"n{rng.randrange(10**9)}" for _ in range(own)] + base[at + own :] for _ in range(members)]
+
+
+@pytest.mark.parametrize("part", [1024, 3])
+def test_all_that_meet_are_compared(spark, monkeypatch, part):
+    monkeypatch.setattr(simhash, "PART", part)
+    rng = random.Random(12)
+    texts = family(400, 78, rng)  # similar to 0.66
+    for of in range(60):
+        copy = texts[of].copy()
+        copy[rng.randrange(200, 230)] = copy[rng.randrange(20)] = "changed"
+        texts.append(copy)
+    texts = [" ".join(t) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bands = {r[0]: r[1] for r in docs.select("doc_id", simhash.sketch(F.col("text"))["bands"]).collect()}
+    meet = lambda a, b: any((x ^ y).bit_count() <= 2 for x, y in zip(bands[a], bands[b], strict=True))
+    pairs = [(of, 400 + of) for of in range(60) if meet(of, 400 + of) and jaccard(texts[of], texts[400 + of]) >= 0.8]
+    assert len(pairs) > 50
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(docs).collect()}
+    assert not kept & {b for _, b in pairs}
+
+
+@pytest.mark.parametrize("bands", [[5] * 6, [0, 1, 2, 4, 8, 16], [5, 5, 5, 4, 4, 4]])
+def test_a_pair_is_found_behind_others(spark, bands):
+    rng = random.Random(13)
+    texts = [[f"w{rng.randrange(10**6)}" for _ in range(100)] for _ in bands]
+    texts[4] = texts[2][:50] + ["new"] + texts[2][51:]
+    rows = [(i, [b], " ".join(t)) for i, (b, t) in enumerate(zip(bands, texts, strict=True))]
+    df = spark.createDataFrame(rows, "node long, bands array<bigint>, text string")
+    nodes = df.select("node", simhash.sketch(F.col("text")).withField("bands", F.col("bands")).alias("sketch"))
+    assert [tuple(r) for r in simhash.similar_links(nodes).collect()] == [(2, 4)]
+
+
 def test_kept_rows_have_all_columns(spark):
     docs = with_clashes(odd_documents(spark))
     kept = simhash.drop_near_duplicates(docs)
