@@ -112,16 +112,18 @@ def _named(prints: DataFrame, radius: int) -> DataFrame:
 #
 # At that similarity fingerprints differ in far more than two of 64 bits. So a text gets a wide fingerprint of two-word shingles that is cut into
 # bands of 32 bits; in one of the bands near copies are as good as sure to lie within two bits (measured: 99 % at six bands for similarities of 0.8 to
-# 0.85, all above), and every band is searched by meeting in the middle as above. A second wide fingerprint, of the five-word shingles, verifies what meets.
+# 0.85, all above), and every band is searched by meeting in the middle as above. A second wide fingerprint, of the five-word shingles, rules out most of
+# what meets by chance; the sets of hashed shingles of the others are compared themselves.
 
 #: Bands of 32 bits, bits searched in each, 64-bit lanes of the verifying fingerprint.
 BANDS, BAND_RADIUS, LANES = 6, 2, 16
-#: How far below the similarity asked for an estimate may lie: its standard error at 1,024 bits.
-MARGIN = 0.03
+#: How far below the similarity asked for an estimate may lie before the sets themselves are compared (four of its standard errors at 1,024 bits), and
+#: sets so small that they are compared whatever the estimate.
+MARGIN, SMALL = 0.12, 64
 #: Nodes of a part of a band's value.
 PART = 1024
 
-SKETCH = "bands array<bigint>, wide array<bigint>, size int"
+SKETCH = "bands array<bigint>, wide array<bigint>, size int, whole bigint"
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -140,6 +142,12 @@ def _shingles(words: np.ndarray, length: int) -> np.ndarray:
     return total
 
 
+def _hashed_words(data: bytes) -> np.ndarray:
+    """Hashes of the words, lower-cased and split as in ``simhash``."""
+    parts, digest = data.lower().split(), xxhash.xxh64_intdigest
+    return np.fromiter((digest(p, SEED) for p in parts), dtype=np.uint64, count=len(parts))
+
+
 def _majority(hashes: np.ndarray, lanes: int) -> np.ndarray:
     """``lanes`` 64-bit words of a SimHash: a bit is set if over half of the hashes' derived bits are."""
     salts = _mixed(np.arange(1, lanes + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -153,23 +161,34 @@ def _majority(hashes: np.ndarray, lanes: int) -> np.ndarray:
 
 
 def sketch(text: Column, words: int = 5) -> Column:
-    """Bands, verifying fingerprint and number of different shingles of a text; words as in ``simhash``."""
+    """Bands, wide fingerprint, number of different shingles of a text and a hash of all of them; words as in ``simhash``."""
 
-    def of_bytes(data: bytes) -> tuple[list[int], list[int], int]:
-        parts = data.lower().split()
-        if not parts:
-            return [], [0] * LANES, 0
-        digest = xxhash.xxh64_intdigest
-        hashed = np.fromiter((digest(p, SEED) for p in parts), dtype=np.uint64, count=len(parts))
+    def of_bytes(data: bytes) -> tuple[list[int], list[int], int, int]:
+        hashed = _hashed_words(data)
+        if not len(hashed):
+            return [], [0] * LANES, 0, 0
         narrow = _majority(_shingles(hashed, 2), -(-BANDS // 2)).view("<u4")[:BANDS]
         runs = np.unique(_shingles(hashed, words))
-        return [(i << 32) + int(v) for i, v in enumerate(narrow)], _majority(runs, LANES).view("<i8").tolist(), len(runs)
+        whole = np.uint64(xxhash.xxh64_intdigest(runs.tobytes(), SEED)).astype(np.int64)
+        return [(i << 32) + int(v) for i, v in enumerate(narrow)], _majority(runs, LANES).view("<i8").tolist(), len(runs), int(whole)
 
     @F.pandas_udf(SKETCH)
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             rows = [of_bytes(t.encode() if t else b"") for t in texts]
-            yield pd.DataFrame(rows, columns=["bands", "wide", "size"])
+            yield pd.DataFrame(rows, columns=["bands", "wide", "size", "whole"])
+
+    return of(text)
+
+
+def shingle_set(text: Column | str, words: int = 5) -> Column:
+    """Hashes of the different shingles of a text, the ones ``sketch`` counts."""
+
+    @F.pandas_udf("array<bigint>")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            hashed = (_hashed_words(t.encode() if t else b"") for t in texts)
+            yield pd.Series([np.unique(_shingles(h, words)).view(np.int64) if len(h) else np.zeros(0, np.int64) for h in hashed], dtype=object)
 
     return of(text)
 
@@ -184,15 +203,28 @@ def similarity_of(one: str, other: str) -> Column:
     return F.when(a + b == 0, F.lit(1.0)).otherwise(common / (a + b - common))
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) with at least that estimated similarity."""
+def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets of shingles have at least that Jaccard similarity, counted exactly.
+
+    Sizes too different rule a pair out exactly, a far lower estimate all but surely; the sets of what is left are made from the texts and compared.
+    """
     one = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("one"))
     two = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("two"))
-    return saved(pairs.join(one, "a").join(two, "b").where(similarity_of("one", "two") >= similarity - MARGIN).select("a", "b"), "verified")
-
-
-def similar_links(nodes: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """Links (a, b) that connect all ``nodes`` (node, sketch) that meet in a band and have at least that estimated similarity.
+    a, b = F.col("one.size"), F.col("two.size")
+    likely = (F.least(a, b) <= SMALL) | (similarity_of("one", "two") >= similarity - MARGIN)
+    likely = likely & (F.least(a, b) >= similarity * F.greatest(a, b) - 1e-6)
+    close = saved(pairs.join(one, "a").join(two, "b").where(likely).select("a", "b"), "close")
+    wanted = close.select(F.col("a").alias("node")).union(close.select("b")).distinct()
+    sets = saved(texts.join(wanted, "node", "left_semi").select("node", shingle_set("text", words).alias("set")), "sets")
+    x = sets.select(F.col("node").alias("a"), F.col("set").alias("x"))
+    y = sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
+    both = F.size(F.array_intersect("x", "y"))
+    exact = both / (F.size("x") + F.size("y") - both)
+    return saved(close.join(x, "a").join(y, "b").where(exact >= similarity).select("a", "b"), "verified")
+
+
+def similar_links(nodes: DataFrame, texts: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """Links (a, b) that connect all ``nodes`` (node, sketch) that meet in a band and have at least that similarity, counted on ``texts`` (node, text).
 
     First every node is compared with the first node of its own value of each band and with the smallest of those of the values within ``BAND_RADIUS`` bits.
     What is connected then needs no more links; of all others that meet every pair is compared. So a large group of copies
@@ -204,9 +236,9 @@ def similar_links(nodes: DataFrame, similarity: float = 0.8) -> DataFrame:
     known = first.withColumnsRenamed({"band": "hi", "first": "other"})
     beside = near.union(near.select("hi", "lo")).join(known, "hi").groupBy(F.col("lo").alias("band")).agg(F.min("other").alias("other"))
     met = at.join(first.join(beside, "band", "left"), "band").select("node", F.explode(F.array("first", "other")).alias("other"))
-    begun = _verified(_ordered(met.where("other IS NOT NULL AND node != other"), "node", "other"), nodes, similarity)
+    begun = _verified(_ordered(met.where("other IS NOT NULL AND node != other"), "node", "other"), nodes, texts, words, similarity)
     rest = _unconnected(at, near, components(begun))
-    return begun if rest is None else begun.union(_verified(rest, nodes, similarity))
+    return begun if rest is None else begun.union(_verified(rest, nodes, texts, words, similarity))
 
 
 def _ordered(pairs: DataFrame, one: str, other: str) -> DataFrame:
@@ -256,7 +288,7 @@ def _unconnected(at: DataFrame, near: DataFrame, groups: DataFrame) -> DataFrame
 def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row of each group of near copies, with all columns: the one with the smallest doc_id (then the largest row hash).
 
-    Near copies are texts whose sets of ``words``-word shingles have an estimated Jaccard similarity of ``similarity`` or more; groups are what links connect. Texts without a word (null
+    Near copies are texts whose sets of ``words``-word shingles have a Jaccard similarity of ``similarity`` or more; groups are what links connect. Texts without a word (null
     and empty ones too) are one group, rows alike in every column are one row, and a null doc_id comes after all others.
     """
     prints = docs.select("doc_id", row_hash(docs).alias("hash"), sketch(F.col("text"), words).alias("sketch"))
@@ -265,7 +297,11 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.
     row = F.struct("doc_id", "hash", "copies")
     different = rows.groupBy("sketch").agg(F.min_by(row, order(row)).alias("best")).withColumn("mark", F.xxhash64("sketch"))
     nodes = saved(with_position(different, ["mark", "sketch"], F.shiftright("mark", 52), "node").drop("mark"), "nodes")
-    groups = components(similar_links(nodes.select("node", "sketch"), similarity))
+    keyed = nodes.select("node", F.col("best.doc_id").alias("__id"), F.col("best.hash").alias("__hash"))
+    hashed = docs.select("doc_id", "text", row_hash(docs).alias("hash"))
+    same = hashed["doc_id"].eqNullSafe(keyed["__id"]) & (hashed["hash"] == keyed["__hash"])
+    links = lambda wanted: similar_links(nodes.select("node", "sketch"), wanted, words, similarity)
+    groups = components(links(hashed.join(keyed, same).select("node", "text")))
     rooted = nodes.select("node", "best").join(groups, "node", "left").select(F.coalesce("root", "node").alias("root"), "best")
     best = rooted.groupBy("root").agg(F.min_by("best", order(F.col("best"))).alias("best"))
     return keep_rows(docs, saved(best.select("best.*"), "winners"))

@@ -136,6 +136,14 @@ def family(members, own, rng, length=400):
     return [base[:at] + [f"n{rng.randrange(10**9)}" for _ in range(own)] + base[at + own :] for _ in range(members)]
 
 
+def test_texts_that_share_a_template_stay(spark):
+    rng = random.Random(11)
+    texts = [" ".join(t) for t in family(300, 56, rng)]
+    assert 0.72 < jaccard(texts[0], texts[1]) < 0.75
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert kept.count() == len(texts)
+
+
 @pytest.mark.parametrize("part", [1024, 3])
 def test_all_that_meet_are_compared(spark, monkeypatch, part):
     monkeypatch.setattr(simhash, "PART", part)
@@ -153,6 +161,7 @@ def test_all_that_meet_are_compared(spark, monkeypatch, part):
     assert len(pairs) > 50
     kept = {r["doc_id"] for r in simhash.drop_near_duplicates(docs).collect()}
     assert not kept & {b for _, b in pairs}
+    assert kept >= set(range(400))
 
 
 @pytest.mark.parametrize("bands", [[5] * 6, [0, 1, 2, 4, 8, 16], [5, 5, 5, 4, 4, 4]])
@@ -163,7 +172,7 @@ def test_a_pair_is_found_behind_others(spark, bands):
     rows = [(i, [b], " ".join(t)) for i, (b, t) in enumerate(zip(bands, texts, strict=True))]
     df = spark.createDataFrame(rows, "node long, bands array<bigint>, text string")
     nodes = df.select("node", simhash.sketch(F.col("text")).withField("bands", F.col("bands")).alias("sketch"))
-    assert [tuple(r) for r in simhash.similar_links(nodes).collect()] == [(2, 4)]
+    assert [tuple(r) for r in simhash.similar_links(nodes, df.select("node", "text")).collect()] == [(2, 4)]
 
 
 def test_kept_rows_have_all_columns(spark):
