@@ -42,8 +42,8 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in windows of 2,048 tokens."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """Pieces of documents in windows of 2,048 tokens; the sequence ids of later ranges of the training order are larger."""
+    return packing.pack(mixing.in_training_order(docs.select("doc_id", "text")), public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -137,3 +137,13 @@ def training_order(docs: DataFrame, **settings) -> DataFrame:
     """The documents in the order of training, each as often as it is taken, with the columns of ``docs``."""
     copies = mix(docs, **settings).select(*docs.columns, F.explode("positions").alias("__position"))
     return copies.repartitionByRange("__position").sortWithinPartitions("__position", "doc_id").drop("__position")
+
+
+def in_training_order(docs: DataFrame) -> DataFrame:
+    """``training_order`` as read from the files it was written to: partitions that follow each other, with their rows in order.
+
+    A scan deals files to tasks by size. The number of a file and the row's place in it are the order in which they were written.
+    """
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("bigint")
+    placed = docs.select(*docs.columns, part.alias("__part"), F.col("_metadata.row_index").alias("__row"))
+    return placed.repartitionByRange("__part", "__row").sortWithinPartitions("__part", "__row").drop("__part", "__row")

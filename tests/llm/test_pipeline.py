@@ -60,6 +60,18 @@ def test_mix_and_packing_use_every_document_left(stages):
     assert pieces.length.sum() == (mixed.doc_id.map(pieces.groupby("doc_id").doc_tokens.first())).sum()
 
 
+def test_sequences_follow_the_order_of_the_files(spark):
+    rows = [(i, f"text {i} " + "word " * (i * i % 97 * (1 + i // 150))) for i in range(600)]  # the later files are larger
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(6, "doc_id").sortWithinPartitions("doc_id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # or so few rows would come to one task
+    try:
+        pieces = corpus_pipeline.packed(spark, corpus_pipeline.saved(docs, "ordered"), SF).toPandas()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    task = pieces.assign(task=pieces.sequence_id // corpus_pipeline.packing.TASK_SEQUENCES).groupby("doc_id").task.first().sort_index()
+    assert len(task) == 600 and task.nunique() > 1 and task.is_monotonic_increasing
+
+
 def test_all_operators_are_registered():
     names = queries()
     assert "pipeline" in names
