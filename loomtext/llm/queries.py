@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import exact, langid, merkle, mixing, packing, quality, sharding, simhash, toxicity, warc
+from loomtext.llm import exact, langid, merkle, mixing, negatives, neighbours, packing, quality, sharding, simhash, toxicity, warc
 from loomtext.plans.registry import query
 from loomtext.session import scratch_path
 
@@ -180,3 +180,52 @@ def op9_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicates(documents(spark, sf_dir))
+
+
+NEGATIVES_SQL = """
+    WITH v AS (
+        SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    scored AS (
+        SELECT a.row AS anchor, a.vec_id AS anchor_id, b.row, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+        FROM v a JOIN v b ON a.row <> b.row AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0
+    ),
+    positives AS (
+        SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, row) <= 5
+    )
+    SELECT p.anchor_id, p.vec_id AS positive_id,
+           (row_number() OVER (PARTITION BY p.anchor, p.row ORDER BY n.score DESC, n.vec_id NULLS LAST, n.row))::INTEGER AS rank,
+           n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.same
+        AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+    QUALIFY row_number() OVER (PARTITION BY p.anchor, p.row ORDER BY n.score DESC, n.vec_id NULLS LAST, n.row) <= 5
+"""
+
+
+@query(NEGATIVES_SQL)
+def op11_segment_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.mine(table(spark, sf_dir, "embeddings"), anchors=vec_id % 100 == 0, label=moved, positives=5, negatives=5, share=80)
+
+
+NEIGHBOURS_SQL = """
+    WITH v AS (
+        SELECT row_number() OVER () AS row, vec_id, embedding::DOUBLE[] AS v
+        FROM embeddings
+        WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    )
+    SELECT q.vec_id AS query_id, (row_number() OVER best)::INTEGER AS rank, c.vec_id, list_inner_product(q.v, c.v) AS score
+    FROM v q JOIN v c ON q.row <> c.row AND len(q.v) = len(c.v)
+    WHERE q.vec_id % 20 = 0
+    WINDOW best AS (PARTITION BY q.row ORDER BY list_inner_product(q.v, c.v) DESC, c.vec_id NULLS LAST, c.row)
+    QUALIFY row_number() OVER best <= 20
+"""
+
+
+@query(NEIGHBOURS_SQL)
+def op12_block_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), asked=F.col("vec_id") % 20 == 0, k=20)
