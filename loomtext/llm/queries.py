@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import exact, langid, merkle, mixing, negatives, neighbours, packing, quality, sharding, simhash, toxicity, warc
+from loomtext.llm import conversations, exact, langid, merkle, mixing, negatives, neighbours, packing, quality, sharding, simhash, toxicity, warc
 from loomtext.plans.registry import query
 from loomtext.session import scratch_path
 
@@ -229,3 +229,73 @@ NEIGHBOURS_SQL = """
 @query(NEIGHBOURS_SQL)
 def op12_block_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), asked=F.col("vec_id") % 20 == 0, k=20)
+
+
+REPAIR_SQL = r"""
+    WITH RECURSIVE coded AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               xor(list_reduce(list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT),
+                   lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+                       lambda x, bit: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END), 4294967295), 4294967295) % 20 AS what
+        FROM conversations
+    ),
+    damaged AS (
+        SELECT conv_id, turn, CASE WHEN what = 4 THEN 'user' ELSE role END AS role, role AS tie, text AS tie2, copy,
+               CASE WHEN what = 1 THEN '' WHEN what = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+        FROM coded, range(2) AS copies(copy) WHERE what <> 0 AND (copy = 0 OR what = 3)
+    ),
+    numbered AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, tie, tie2, copy) AS n, left(role, 1) AS i,
+               right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last
+        FROM damaged
+    ),
+    judged AS (
+        SELECT *, CASE WHEN last = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+                       WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+               lag(i) OVER (PARTITION BY conv_id ORDER BY n) || i AS pair
+        FROM numbered
+    ),
+    totals AS (
+        SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+               count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+               count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(n) AS n
+        FROM judged GROUP BY conv_id
+    ),
+    inserts(p, t, cost, letters, lines) AS (
+        VALUES (0, 0, 0, '', NULL), (1, 1, 0, '', NULL), (2, 2, 0, '', NULL), (3, 3, 0, '', NULL), (0, 2, 5, 'I', 'user:'), (1, 2, 5, 'I', 'user:'),
+               (2, 3, 5, 'I', 'assistant:'), (3, 2, 5, 'I', 'user:'), (0, 3, 10, 'II', 'user:' || chr(10) || 'assistant:'), (1, 3, 10, 'II', 'user:' || chr(10) || 'assistant:')
+    ),
+    edits(letter, t, q, cost, i, role) AS (
+        VALUES ('D', 0, 0, 2, '', ''), ('D', 1, 1, 2, '', ''), ('D', 2, 2, 2, '', ''), ('D', 3, 3, 2, '', ''), ('K', 0, 1, 0, 's', ''), ('K', 0, 2, 0, 'u', ''),
+               ('K', 1, 2, 0, 'u', ''), ('K', 3, 2, 0, 'u', ''), ('K', 2, 3, 0, 'a', ''), ('R', 0, 2, 1, '', 'user'), ('R', 1, 2, 1, '', 'user'),
+               ('R', 3, 2, 1, '', 'user'), ('R', 2, 3, 1, '', 'assistant')
+    ),
+    walk AS (
+        SELECT conv_id, 0::BIGINT AS n, 0 AS state, {'cost': 0::BIGINT, 'audit': '', 'made': NULL::VARCHAR} AS best FROM totals
+        UNION ALL
+        SELECT conv_id, n, state, min(way) AS best FROM (
+            SELECT w.conv_id, j.n, e.q AS state, {
+                'cost': w.best.cost + s.cost + e.cost + CASE WHEN j.fault = 'truncated' AND e.letter <> 'D' THEN 5 ELSE 0 END,
+                'audit': w.best.audit || s.letters || e.letter,
+                'made': nullif(concat_ws(chr(10), w.best.made, s.lines, CASE e.letter WHEN 'K' THEN j.role || ':' || j.text WHEN 'R' THEN e.role || ':' || j.text END), '')
+            } AS way
+            FROM walk w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.n = w.n + 1
+            JOIN inserts s ON s.p = w.state
+            JOIN edits e ON e.t = s.t AND (e.letter = 'D' OR j.fault NOT IN ('blank', 'duplicate') AND (e.letter = 'R' OR e.i = j.i))
+        ) GROUP BY conv_id, n, state
+    ),
+    ended AS (
+        SELECT w.conv_id, min({'cost': w.best.cost + s.cost, 'audit': w.best.audit || s.letters, 'made': concat_ws(chr(10), w.best.made, s.lines)}) AS best
+        FROM walk w JOIN totals t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.n = w.n JOIN inserts s ON s.p = w.state AND s.t IN (0, 3)
+        GROUP BY w.conv_id
+    )
+    SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+           coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost, coalesce(best.audit, '') AS audit, sha256(coalesce(best.made, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN totals t ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+    LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+@query(REPAIR_SQL)
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.damaged_and_repaired(table(spark, sf_dir, "conversations"))
