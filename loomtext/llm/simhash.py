@@ -120,8 +120,8 @@ BANDS, BAND_RADIUS, LANES = 6, 2, 16
 #: How far below the similarity asked for an estimate may lie before the sets themselves are compared (four of its standard errors at 1,024 bits), and
 #: sets so small that they are compared whatever the estimate.
 MARGIN, SMALL = 0.12, 64
-#: Nodes of a part of a band's value.
-PART = 1024
+#: Nodes of a part of a band's value. Nodes around a band's that its nodes are compared with one by one; more are a crowd.
+PART, CROWD = 1024, 32
 
 SKETCH = "bands array<bigint>, wide array<bigint>, size int, whole bigint"
 
@@ -227,8 +227,8 @@ def similar_links(nodes: DataFrame, texts: DataFrame, words: int = 5, similarity
     """Links (a, b) that connect all ``nodes`` (node, sketch) that meet in a band and have at least that similarity, counted on ``texts`` (node, text).
 
     First every node is compared with the first node of its own value of each band and with the smallest of those of the values within ``BAND_RADIUS`` bits.
-    What is connected then needs no more links; of all others that meet every pair is compared. So a large group of copies
-    meets in no task, and a chance meeting hides no other.
+    What is connected then needs no more links; of all others that meet every pair is compared, where these are few for the nodes they join. Crowds
+    (families of texts that share much, but too little) are searched by what tells their members from the family instead.
     """
     at = nodes.select("node", F.explode("sketch.bands").alias("band"))
     first = saved(at.groupBy("band").agg(F.min("node").alias("first")), "bands")
@@ -236,9 +236,93 @@ def similar_links(nodes: DataFrame, texts: DataFrame, words: int = 5, similarity
     known = first.withColumnsRenamed({"band": "hi", "first": "other"})
     beside = near.union(near.select("hi", "lo")).join(known, "hi").groupBy(F.col("lo").alias("band")).agg(F.min("other").alias("other"))
     met = at.join(first.join(beside, "band", "left"), "band").select("node", F.explode(F.array("first", "other")).alias("other"))
-    begun = _verified(_ordered(met.where("other IS NOT NULL AND node != other"), "node", "other"), nodes, texts, words, similarity)
-    rest = _unconnected(at, near, components(begun))
-    return begun if rest is None else begun.union(_verified(rest, nodes, texts, words, similarity))
+    links = _verified(_ordered(met.where("other IS NOT NULL AND node != other"), "node", "other"), nodes, texts, words, similarity)
+    groups = components(links)
+    crowds = _crowds(at, near, groups)
+    if not crowds.isEmpty():
+        links = links.union(_crowd_links(crowds, at, groups, nodes, texts, words, similarity))
+        groups = components(links)
+    rest = _unconnected(at, near.join(crowds, ["lo", "hi"], "left_anti"), crowds, groups)
+    return links if rest is None else links.union(_verified(rest, nodes, texts, words, similarity))
+
+
+def _members(at: DataFrame, groups: DataFrame) -> DataFrame:
+    return at.join(groups, "node", "left").select("node", "band", F.coalesce("root", "node").alias("root"))
+
+
+def _crowds(at: DataFrame, near: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs (lo, hi) of near or equal bands, one of which has so many not connected nodes around it that each of its nodes would be compared with over ``CROWD``."""
+    sizes = _members(at, groups).groupBy("band", "root").agg(F.count("*").alias("n"))
+    whole = saved(sizes.groupBy("band").agg(F.max(F.struct("n", "root")).alias("big"), F.sum("n").alias("total")), "totals")
+    side = lambda name, i: whole.select(F.col("band").alias(name), F.col("big").alias(f"big{i}"), F.col("total").alias(f"n{i}"))
+    both = near.union(whole.select("band", "band")).join(side("lo", 1), "lo").join(side("hi", 2), "hi")
+    connected = F.when(F.col("big1.root") == F.col("big2.root"), F.col("big1.n") * F.col("big2.n")).otherwise(0)
+    ties = saved(both.select("lo", "hi", "n1", "n2", (F.col("n1") * F.col("n2") - connected).alias("pairs")).where("pairs > 0"), "ties")
+    around = ties.select(F.col("lo").alias("band"), "pairs", F.col("n1").alias("n")).union(ties.where("lo != hi").select("hi", "pairs", "n2"))
+    full = around.groupBy("band").agg(F.sum("pairs").alias("pairs"), F.first("n").alias("n")).where(F.col("pairs") > CROWD * F.col("n")).select("band")
+    crowded = ties.join(full, F.col("lo") == F.col("band"), "left_semi").union(ties.join(full, F.col("hi") == F.col("band"), "left_semi"))
+    return saved(crowded.select("lo", "hi").distinct(), "crowds")
+
+
+def _crowd_links(crowds: DataFrame, at: DataFrame, groups: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Links that connect all similar nodes of each family: the nodes of bands that ``crowds`` (lo, hi) tie together.
+
+    A shingle that over half of a family has is noted where it is missing, any other where it is. That changes no difference of two sets, and what is noted (the
+    marks) is little and mostly rare. Sets of sizes s and s' are similar if they differ in at most c (s + s') shingles, c = (1 - similarity) / (1 + similarity). So
+    nodes with m and m' marks that have fewer together are similar, and linking all to the node with the least m - c s says the same;
+    all others must share (m + m' - c (s + s')) / 2 marks, hence one of their rarest but that many. These prefixes are joined for each two classes of m, the largest group of
+    the family on one side only, and every pair that meets is verified. Work follows the rare marks that are really shared, not the pairs of a family.
+    """
+    c = (1 - similarity) / (1 + similarity)
+    bands = crowds.select(F.col("lo").alias("band")).union(crowds.select("hi")).distinct()
+    inside = at.join(bands, "band", "left_semi")
+    apart = lambda name: (-1 - F.col(name)).alias(name)  # noqa: E731  bands are negative, nodes are not
+    graph = inside.select(F.col("node").alias("a"), (-1 - F.col("band")).alias("b")).union(crowds.select(apart("lo"), apart("hi")))
+    family = components(graph).where("node >= 0").select("node", F.col("root").alias("family"))
+    sets = saved(texts.join(family, "node").select("node", "family", shingle_set("text", words).alias("set")), "sets")
+    totals = sets.groupBy("family").agg(F.count("*").alias("total"))
+    shared = sets.select("family", F.explode("set").alias("mark")).groupBy("family", "mark").agg(F.count("*").alias("n")).join(totals, "family")
+    common = saved(shared.where("2 * n > total").groupBy("family").agg(F.collect_list("mark").alias("common")), "common")  # at most twice the mean set
+    told = sets.join(common, "family", "left").withColumn("common", F.coalesce("common", F.array().cast("array<bigint>")))
+    missing = F.transform(F.array_except("common", "set"), F.bitwise_not)
+    marked = saved(told.select("node", "family", F.size("set").alias("s"), F.concat(F.array_except("set", "common"), missing).alias("marks")), "marks")
+    sized = marked.select("node", "family", "s", F.size("marks").alias("m"))
+
+    weight = F.col("m") - c * F.col("s")
+    centre = sized.groupBy("family").agg(F.min(F.struct(weight.alias("w"), F.col("node").alias("other"))).alias("least"))
+    sure = sized.join(centre, "family").where((weight + F.col("least.w") <= 1e-6) & (F.col("node") != F.col("least.other")))
+    links = _verified(_ordered(sure.select("node", F.col("least.other").alias("other")), "node", "other"), nodes, texts, words, similarity)
+
+    root = components(links.union(groups.select("node", "root"))).withColumnsRenamed({"root": "group"})
+    grouped = sized.join(root, "node", "left").withColumn("group", F.coalesce("group", "node"))
+    largest = grouped.groupBy("family", "group").agg(F.count("*").alias("n")).groupBy("family").agg(F.max(F.struct("n", "group")).alias("most"))
+    grouped = saved(grouped.join(largest, "family").select("node", "s", "m", "group", (F.col("group") != F.col("most.group")).alias("outside")), "groups")
+    one = marked.select("node", "family", F.explode("marks").alias("mark"))
+    rarity = one.groupBy("family", "mark").agg(F.count("*").alias("n")).where("n > 1")  # what one node has nothing meets, and sorts first
+    ranked = one.join(rarity, ["family", "mark"], "left").groupBy("node", "family").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "mark"))).alias("marks"))
+    probes = saved(_probes(ranked.join(grouped, "node"), c, similarity), "probes")
+    names = {"node": "other", "s": "s2", "m": "m2", "group": "group2", "outside": "outside2", "place": "place2", "own": "partner", "partner": "own", "family": "family", "mark": "mark"}
+    theirs = probes.select(*[F.col(n).alias(other) for n, other in names.items()])
+    need = (F.col("m") + F.col("m2") - c * (F.col("s") + F.col("s2"))) / 2 - 1e-6
+    fits = (F.col("place") <= F.col("m") - need + 1) & (F.col("place2") <= F.col("m2") - need + 1)
+    once = ~F.col("outside2") | (F.col("node") < F.col("other"))
+    met = probes.where("outside").join(theirs, ["family", "mark", "own", "partner"])
+    met = met.where((F.col("group") != F.col("group2")) & once & fits)
+    return links.union(_verified(_ordered(met, "node", "other"), nodes, texts, words, similarity))
+
+
+def _probes(ranked: DataFrame, c: float, similarity: float) -> DataFrame:
+    """The shared marks of each node's prefix (place from 1) for every class of partners that may be similar; ``own`` and ``partner`` are classes of m."""
+    log, step = np.log(1.25), 1.25
+    klass = lambda m: F.floor(F.log(m + 1.0) / log + 1e-9).cast("int")
+    off = c * F.col("s") * (1 + 1 / similarity)  # a similar set has at most s / similarity shingles
+    classes = F.sequence(klass(F.greatest(F.col("m") - off, F.lit(0.0))), klass(F.col("m") + off))
+    least = lambda k: F.ceil(F.pow(F.lit(step), k) - 1.0 - 1e-6)  # noqa: E731  marks of the smallest node of a class
+    need = lambda k: F.greatest(F.ceil((F.col("m") + least(k) - off) / 2 - 1e-6), F.lit(1))
+    ends = F.transform(classes, lambda k: F.struct(k.alias("partner"), (F.col("m") - need(k) + 1).cast("int").alias("end"), need(k).alias("need"), least(k + 1).alias("beyond")))
+    each = ranked.withColumn("own", klass(F.col("m"))).withColumn("to", F.explode(F.filter(ends, lambda e: (e["end"] > 0) & (e["need"] < e["beyond"]))))
+    prefix = each.select("node", "family", "s", "m", "group", "outside", "own", F.col("to.partner").alias("partner"), F.posexplode(F.expr("slice(marks, 1, to.end)")).alias("place", "of"))
+    return prefix.where("of.n > 1").select("node", "family", "s", "m", "group", "outside", "own", "partner", (F.col("place") + 1).alias("place"), F.col("of.mark").alias("mark"))
 
 
 def _ordered(pairs: DataFrame, one: str, other: str) -> DataFrame:
@@ -256,20 +340,20 @@ def _near_values(values: DataFrame) -> DataFrame:
     return earlier.select(F.explode("earlier").alias("lo"), "hi").distinct()
 
 
-def _unconnected(at: DataFrame, near: DataFrame, groups: DataFrame) -> DataFrame | None:
-    """Pairs (a, b) of the nodes ``at`` (node, band) one band or two ``near`` ones that are in different ``groups`` (node, root).
+def _unconnected(at: DataFrame, near: DataFrame, crowds: DataFrame, groups: DataFrame) -> DataFrame | None:
+    """Pairs (a, b) of the nodes ``at`` (node, band) one band or two ``near`` ones that are in different ``groups`` (node, root), the ``crowds`` (lo, hi) left out.
 
     A band's nodes are dealt to parts, a large group of connected ones to parts of its own, and pairs of parts that hold
     one group are left out, so no task gets more than some parts and a group is not paired with itself.
     """
-    member = at.join(groups, "node", "left").select("node", "band", F.coalesce("root", "node").alias("root"))
+    member = _members(at, groups)
     sizes = saved(member.groupBy("band", "root").agg(F.count("*").alias("n")), "members")
     whole = sizes.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.sum("n").alias("total"))
     one = whole.select(F.col("band").alias("lo"), F.col("least").alias("l1"), F.col("most").alias("m1"))
     two = whole.select(F.col("band").alias("hi"), F.col("least").alias("l2"), F.col("most").alias("m2"))
     mixed = whole.where("least < most").select(F.col("band").alias("lo"), F.col("band").alias("hi"))
     several = "least(l1, l2) < greatest(m1, m2)"
-    ties = saved(near.join(one, "lo").join(two, "hi").where(several).select("lo", "hi").union(mixed), "ties")
+    ties = saved(near.join(one, "lo").join(two, "hi").where(several).select("lo", "hi").union(mixed.join(crowds, ["lo", "hi"], "left_anti")), "ties")
     if ties.isEmpty():
         return None
     asked = ties.select(F.col("lo").alias("band")).union(ties.select("hi")).distinct()

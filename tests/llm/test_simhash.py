@@ -164,6 +164,57 @@ def test_all_that_meet_are_compared(spark, monkeypatch, part):
     assert kept >= set(range(400))
 
 
+def around(base, members, rng):
+    """Texts with one to eight words of ``base`` replaced, left out or doubled."""
+    texts = []
+    for _ in range(members):
+        words = base.copy()
+        for _ in range(rng.randint(1, 8)):
+            at = rng.randrange(len(words))
+            words[at : at + 1] = rng.choice([[f"n{rng.randrange(10**9)}"], [], [words[at]] * 2])
+        texts.append(words)
+    return texts
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_crowds_are_connected_as_by_all_pairs(spark, monkeypatch, seed):
+    monkeypatch.setattr(simhash, "CROWD", 0)
+    rng = random.Random(seed)
+    texts = around([f"w{i}" for i in range(150)], 250, rng) + around([f"v{i % 40}" for i in range(60)], 60, rng)
+    texts = [" ".join(t) for t in {" ".join(t): t for t in texts}.values()]
+    df = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    nodes = df.select("node", simhash.sketch(F.col("text")).alias("sketch")).cache()
+    got = {(r["a"], r["b"]) for r in simhash.similar_links(nodes, df).collect()}
+    assert all(jaccard(texts[a], texts[b]) >= 0.8 for a, b in got)
+    true = {(a, b) for b in range(len(texts)) for a in range(b) if jaccard(texts[a], texts[b]) >= 0.8}
+    assert len(true) > 200
+    assert closest(range(len(texts)), sorted(got)) == closest(range(len(texts)), sorted(true))
+
+
+def test_copies_in_a_large_family_are_found_without_all_pairs(spark, monkeypatch):
+    rng = random.Random(14)
+    members = 5000
+    texts = family(members, 40, rng, length=200)  # similar to 0.65
+    for of in range(50):
+        copy = texts[of].copy()
+        copy[100] = copy[rng.randrange(20)] = "changed"
+        texts.append(copy)
+    texts = [" ".join(t) for t in texts]
+    assert all(jaccard(texts[of], texts[members + of]) >= 0.8 for of in range(50))
+    compared, ordered = [], simhash._ordered
+
+    def counting(pairs, one, other):
+        made = ordered(pairs, one, other)
+        compared.append(made.count())
+        return made
+
+    monkeypatch.setattr(simhash, "_ordered", counting)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(docs).collect()}
+    assert kept == set(range(members))
+    assert sum(compared) < 40 * members
+
+
 @pytest.mark.parametrize("bands", [[5] * 6, [0, 1, 2, 4, 8, 16], [5, 5, 5, 4, 4, 4]])
 def test_a_pair_is_found_behind_others(spark, bands):
     rng = random.Random(13)
