@@ -1,8 +1,8 @@
 """Unigram subword vocabulary (Kudo 2018, arXiv:1804.10959) as Spark jobs.
 
-The corpus is reduced to distinct words with counts; seeds, scores, expected counts and losses are tables. A round deals words and a copy of the
-scores to groups of words, each group adds up what its words expect, and SQL does the rest: the maximisation, the pruning and the
-choice of the best. The driver sees numbers of rows, and characters, of which Unicode has a bounded number.
+The corpus is reduced to distinct words with counts. Seeds come from the sorted suffixes of the words. A round sends the scores (at most ``MAX_PIECES`` pieces of
+at most ``MAX_PIECE`` characters) to the tasks, each group of words adds up what its words expect, and SQL does the rest: the maximisation, the pruning and the
+choice of the best. The words are dealt to their groups once and never move again.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,34 +47,67 @@ def letters_of(words: DataFrame) -> DataFrame:
     return words.select(F.explode_outer(F.split("word", "")).alias("ch"), "n").where("ch != ''").groupBy("ch").agg(F.sum("n").alias("n"))
 
 
-def seed_pieces(words: DataFrame, alphabet: DataFrame, size: int) -> DataFrame:
-    """``(piece, weight, is_char)``: every character of the alphabet, and the ``size`` longer substrings with the greatest count times length.
+def suffixes(words: DataFrame) -> DataFrame:
+    """``(suffix, n)``: what begins at every character of the words, up to one character more than the longest piece, with counts.
 
-    A long word is counted in stretches that overlap by the longest piece less one: every substring starts in exactly one.
+    A long word is cut into stretches that overlap by as much: every suffix starts in exactly one. A character outside the alphabet ends a suffix.
     """
     stretch = F.transform(
         F.sequence(F.lit(0), F.greatest(F.lit(0), F.length("word") - 1), F.lit(STRETCH)),
-        lambda i: F.substring(F.col("word"), i + 1, F.lit(STRETCH + MAX_PIECE - 1)),
+        lambda i: F.substring(F.col("word"), i + 1, F.lit(STRETCH + MAX_PIECE)),
     )
     parts = words.select(F.explode(stretch).alias("part"), "n").groupBy("part").agg(F.sum("n").alias("n"))
-    size_of = F.length("part")
-    substrings = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), F.least(F.lit(STRETCH), size_of)),
-            lambda i: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(MAX_PIECE), size_of - i + 1)), lambda k: F.substring(F.col("part"), i, k)
-            ),
-        )
-    )
-    counted = frozen(
-        parts.select(F.explode_outer(substrings).alias("piece"), "n")
-        .where(~F.contains("piece", F.lit(OUTSIDE)))
-        .groupBy("piece")
-        .agg(F.sum("n").alias("times"))
-        .where(F.col("times") >= 2)
-        .withColumn("n", F.col("times") * F.length("piece"))
-    )
-    longer = counted.where(F.length("piece") > 1)
+    begins = F.sequence(F.lit(1), F.least(F.lit(STRETCH), F.length("part")))
+    each = F.transform(begins, lambda i: F.substring_index(F.substring(F.col("part"), i, F.lit(MAX_PIECE + 1)), OUTSIDE, 1))
+    return parts.select(F.explode(each).alias("suffix"), "n").where("suffix != ''").groupBy("suffix").agg(F.sum("n").alias("n"))
+
+
+def _branches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The substrings that begin the suffixes of one range of the sorted suffixes, with counts, and the least and greatest character that follows ("" at an end).
+
+    Depth by depth: suffixes that agree in their first k characters are neighbours. Given out are the substrings that do not always go on the
+    same way, and those of the first and the last suffix, which may go on in other ranges.
+    """
+    names = ["piece", "times", "low", "high"]
+    table = [b for b in batches if b.num_rows]
+    if not table:
+        return
+    rows = pa.Table.from_batches(table).sort_by("suffix")
+    texts = rows.column("suffix").to_numpy().astype(f"<U{MAX_PIECE + 1}")
+    weights = rows.column("n").to_numpy().astype(np.int64)
+    codes = texts.view("<u4").reshape(len(texts), MAX_PIECE + 1)
+    same = np.ones(len(texts), bool)  # as the row before, as far as the depth goes
+    same[0] = False
+    for depth in range(1, MAX_PIECE + 1):
+        same[1:] &= codes[1:, depth - 1] == codes[:-1, depth - 1]
+        if depth == 1:
+            continue
+        starts = np.flatnonzero(~same)
+        ends = np.append(starts[1:], len(texts)) - 1
+        low, high = codes[starts, depth], codes[ends, depth]
+        times = np.add.reduceat(weights, starts)
+        kept = (((low == 0) | (low != high)) & (times > 1)) | (starts == 0) | (ends == len(texts) - 1)
+        kept &= codes[starts, depth - 1] != 0
+        shown = lambda c: ["" if x == 0 else chr(x) for x in c[kept]]
+        columns = [pa.array(texts[starts[kept]].astype(f"<U{depth}").tolist(), pa.string()), pa.array(times[kept]), pa.array(shown(low), pa.string()), pa.array(shown(high), pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, names)
+
+
+def repeated_substrings(words: DataFrame) -> DataFrame:
+    """``(piece, times)``: the substrings of 2 to ``MAX_PIECE`` characters that occur twice or more and that no one character follows everywhere.
+
+    They are the branches of the suffix tree of the words. The suffixes are sorted by ranges; a branch that lies in several ranges is put together from its
+    parts, of which a range has at most two a depth. Shorter substrings that always go on the same way are the same occurrences as the longer ones, and weigh less.
+    """
+    counted = suffixes(words)
+    found = counted.repartitionByRange("suffix").mapInArrow(_branches, "piece string, times bigint, low string, high string")
+    whole = found.groupBy("piece").agg(F.sum("times").alias("times"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return whole.where("times > 1 AND (low = '' OR low != high)").select("piece", "times")
+
+
+def seed_pieces(words: DataFrame, alphabet: DataFrame, size: int) -> DataFrame:
+    """``(piece, weight, is_char)``: every character of the alphabet, and the ``size`` repeated substrings with the greatest count times length."""
+    longer = frozen(repeated_substrings(words).withColumn("n", F.col("times") * F.length("piece")))
     # Too light ones go before the sort, so that no task is sent the best of all tasks.
     heavy = longer.where(F.col("n") >= least_kept_count(longer, size)).orderBy(F.desc("n"), "piece").limit(size)
     chars = alphabet.select(F.col("ch").alias("piece"), F.col("n"))
@@ -91,23 +125,33 @@ def digamma(x: Column) -> Column:
     return series - steps
 
 
-def _dealt(scores: DataFrame, groups: int) -> DataFrame:
-    """A copy of the scores for every group of words: at most the seeds times the groups."""
-    return scores.select("piece", "score", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"))
+def dealt(words: DataFrame, least: int | None = None) -> DataFrame:
+    """The words in as many partitions as there are groups, kept so: which words share a group depends on the words alone."""
+    least = least or int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = max(least, math.ceil(words.count() / GROUP_WORDS))
+    part = F.pmod(F.xxhash64("word"), F.lit(groups)).cast("int")
+    return frozen(words.repartitionById(groups, part).sortWithinPartitions("word"))
 
 
-def _groups(words: DataFrame) -> int:
-    least = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, math.ceil(words.count() / GROUP_WORDS))
+def _shared(scores: DataFrame) -> Broadcast:
+    """Pieces and scores for every task; their number and length are bounded."""
+    rows = scores.select("piece", "score").orderBy("piece").limit(MAX_PIECES + 1).toPandas()
+    if len(rows) > MAX_PIECES:
+        raise ValueError(f"more than {MAX_PIECES} pieces")
+    return scores.sparkSession.sparkContext.broadcast((rows["piece"].tolist(), rows["score"].to_numpy()))
 
 
-def summed(words: DataFrame, scores: DataFrame, groups: int, soft: bool = True) -> DataFrame:
-    """``(piece, c)``: use of each piece over all words, expected (soft) or on the best cut, times ``SCALE``. The row
+def _whole(batches: Iterator[pa.RecordBatch]) -> pd.DataFrame:
+    return pd.concat([b.to_pandas() for b in batches] or [pd.DataFrame({"word": [], "n": []})], ignore_index=True)
+
+
+def summed(words: DataFrame, scores: Broadcast, soft: bool = True) -> DataFrame:
+    """``(piece, c)``: use of each piece over all ``dealt`` words, expected (soft) or on the best cut, times ``SCALE``. The row
     with a null piece is the log likelihood (soft only)."""
 
-    def run(some: pd.DataFrame, pieces: pd.DataFrame) -> pd.DataFrame:
-        listed, texts = pieces["piece"].tolist(), some["word"].tolist()
-        table, weights = lattice.Pieces(listed, pieces["score"].to_numpy()), some["n"].to_numpy(dtype=float)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some, (listed, values) = _whole(batches), scores.value
+        table, texts, weights = lattice.Pieces(listed, values), some["word"].tolist(), some["n"].to_numpy(dtype=float)
         if soft:
             likelihood, counts = lattice.expected_counts(table, texts, weights)
         else:
@@ -117,17 +161,17 @@ def summed(words: DataFrame, scores: DataFrame, groups: int, soft: bool = True)
                     counts[piece] += n
             likelihood, counts = 0.0, counts[: len(listed)]
         used = np.flatnonzero(counts > 0)
-        amounts = np.append(counts[used], likelihood) * SCALE
-        return pd.DataFrame({"piece": [*(listed[i] for i in used), None], "c": np.rint(amounts).astype("int64")})
+        amounts = np.rint(np.append(counts[used], likelihood) * SCALE).astype("int64")
+        yield pa.RecordBatch.from_arrays([pa.array([*(listed[i] for i in used), None], pa.string()), pa.array(amounts)], ["piece", "c"])
 
-    left = words.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(groups)).cast("int")).groupBy("part")
-    found = left.cogroup(_dealt(scores, groups).groupBy("part")).applyInPandas(run, "piece string, c bigint")
+    found = words.mapInArrow(run, "piece string, c bigint")
     return found.groupBy("piece").agg(F.sum(F.col("c").cast("decimal(28,0)")).alias("c"))
 
 
-def em_round(words: DataFrame, scores: DataFrame, groups: int, least: float = 0.5) -> DataFrame:
+def em_round(words: DataFrame, scores: DataFrame, least: float = 0.5) -> DataFrame:
     """One round: pieces that are expected at least ``least`` times, and all characters, with new scores."""
-    counts = summed(words, scores, groups).where("piece IS NOT NULL")
+    shared = _shared(scores)
+    counts = summed(words, shared).where("piece IS NOT NULL")
     kept = frozen(
         scores.select("piece", "is_char")
         .join(counts, "piece", "left")
@@ -135,33 +179,36 @@ def em_round(words: DataFrame, scores: DataFrame, groups: int, least: float = 0.
         .where((F.col("c") >= int(least * SCALE)) | F.col("is_char"))
         .withColumn("c", F.greatest("c", F.lit(int(least * SCALE)).cast("decimal(38,0)")))
     )
+    shared.destroy()
     total = kept.agg((F.sum("c").cast("double") / SCALE).alias("t")).select(digamma(F.col("t"))).scalar()
     score = F.round(digamma(F.col("c").cast("double") / SCALE) - total, 9)
     return frozen(kept.select("piece", score.alias("score"), "is_char"))
 
 
-def log_likelihood(words: DataFrame, scores: DataFrame, groups: int) -> float:
-    return float(summed(words, scores, groups).where("piece IS NULL").first()["c"]) / SCALE
+def log_likelihood(words: DataFrame, scores: DataFrame) -> float:
+    return float(summed(words, _shared(scores)).where("piece IS NULL").first()["c"]) / SCALE
 
 
-def prune(words: DataFrame, scores: DataFrame, groups: int, keep: int) -> DataFrame:
+def prune(words: DataFrame, scores: DataFrame, keep: int) -> DataFrame:
     """Drop the pieces whose loss costs least likelihood; characters always stay."""
+    shared = _shared(scores)
 
-    def cost(some: pd.DataFrame, pieces: pd.DataFrame) -> pd.DataFrame:
-        table = lattice.Pieces(pieces["piece"].tolist(), pieces["score"].to_numpy())
-        texts = some["word"].tolist()
-        own = table.scores[[table.number[t] for t in texts]]
+    def cost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some, (listed, values) = _whole(batches), shared.value
+        table, texts = lattice.Pieces(listed, values), some["word"].tolist()
+        own = table.scores[[table.number[t] for t in texts]] if texts else np.zeros(0)
         other = lattice.best_cuts(table, texts, whole=False)[1]
-        return pd.DataFrame({"piece": texts, "loss": np.round(some["n"].to_numpy(dtype=float) * (own - other), 6)})
+        loss = np.round(some["n"].to_numpy(dtype=float) * (own - other), 6)
+        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(loss, pa.float64())], ["piece", "loss"])
 
-    used = summed(words, scores, groups, soft=False).where((F.length("piece") > 1) & (F.col("c") > 0))
+    used = summed(words, shared, soft=False).where((F.length("piece") > 1) & (F.col("c") > 0))
     chars = scores.where("is_char").count()
-    asked = used.select(
-        F.col("piece").alias("word"), (F.col("c").cast("double") / SCALE).alias("n"), F.pmod(F.xxhash64("piece"), F.lit(groups)).cast("int").alias("part")
-    )
-    losses = asked.groupBy("part").cogroup(_dealt(scores, groups).groupBy("part")).applyInPandas(cost, "piece string, loss double")
+    asked = used.select(F.col("piece").alias("word"), (F.col("c").cast("double") / SCALE).alias("n"))
+    losses = asked.mapInArrow(cost, "piece string, loss double")
     stay = losses.orderBy(F.desc("loss"), "piece").limit(max(0, keep - chars)).select("piece")
-    return frozen(scores.where("is_char").unionByName(scores.where("NOT is_char").join(stay, "piece", "left_semi")))
+    kept = frozen(scores.where("is_char").unionByName(scores.where("NOT is_char").join(stay, "piece", "left_semi")))
+    shared.destroy()
+    return kept
 
 
 def unigram_vocab(
@@ -188,17 +235,17 @@ def unigram_vocab(
     if rare:
         shown = F.translate("word", rare, OUTSIDE * len(rare))
         words = frozen(words.select(shown.alias("word"), "n").groupBy("word").agg(F.sum("n").alias("n")))
-    groups = _groups(words)
+    words = dealt(words)
     seeds = frozen(seed_pieces(words, alphabet, size * seed_factor))
     total = seeds.agg(F.log(F.sum("weight").cast("double"))).scalar()
     scores = frozen(seeds.select("piece", F.round(F.log(F.col("weight").cast("double")) - total, 9).alias("score"), "is_char"))
     while True:
         for _ in range(rounds):
-            scores = em_round(words, scores, groups)
+            scores = em_round(words, scores)
         count = scores.count()
         if count <= wanted * 1.1:
             break
-        scores = prune(words, scores, groups, max(int(wanted * 1.1), int(count * shrink)))
+        scores = prune(words, scores, max(int(wanted * 1.1), int(count * shrink)))
     chosen = scores.orderBy(F.desc("is_char"), F.desc("score"), "piece").limit(wanted).select("piece", "score")
     return number_pieces(frozen(chosen))
 

@@ -205,6 +205,19 @@ def vocab_unigram(spark, sf_dir):
     )
 
 
+# Every substring of every word, with what follows it; a seed is repeated, and no one character follows it everywhere.
+@query(f"""WITH {CORPUS}, {words('corpus', mode='nfkc_cf')}, counted AS (SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM words) GROUP BY word),
+begins AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM counted),
+parts AS (SELECT word[i:i + k - 1] AS piece, word[i + k:i + k] AS after, n FROM begins, range(2, 17) AS lengths(k) WHERE i + k - 1 <= length(word)),
+found AS (SELECT piece, sum(n)::BIGINT AS times FROM parts GROUP BY piece HAVING sum(n) > 1 AND (min(after) = '' OR min(after) <> max(after)))
+SELECT piece, times * length(piece) AS weight FROM found ORDER BY weight DESC, piece LIMIT {10 * PUBLISHED.vocab_size}""")
+def unigram_seeds(spark, sf_dir):
+    """What the published subword vocabulary starts from: the repeated substrings of the words, the heaviest ten times its size."""
+    found = unigram.training_words(corpus(spark, sf_dir))
+    seeds = unigram.seed_pieces(found, unigram.letters_of(found), 10 * PUBLISHED.vocab_size)
+    return seeds.where("NOT is_char").select("piece", "weight")
+
+
 @query(f"""WITH {ALPHABET}, {words('corpus')},
 toks AS (SELECT row_id, unnest(w) AS tok, generate_subscripts(w, 1) AS i FROM words),
 chars AS (SELECT row_id, i, unnest(string_split(tok, '')) AS ch, generate_subscripts(string_split(tok, ''), 1) AS k FROM toks),

@@ -109,14 +109,14 @@ def test_result_does_not_depend_on_partitions(docs, trained):
 
 
 def test_likelihood_rises(docs):
-    words = unigram.training_words(docs)
+    words = unigram.dealt(unigram.training_words(docs), 3)
     seeds = unigram.seed_pieces(words, unigram.letters_of(words), 500)
     total = math.log(seeds.agg(F.sum("weight")).first()[0])
     scores = seeds.select("piece", (F.log("weight") - total).alias("score"), "is_char")
     seen = []
     for _ in range(3):
-        seen.append(unigram.log_likelihood(words, scores, 3))
-        scores = unigram.em_round(words, scores, 3)
+        seen.append(unigram.log_likelihood(words, scores))
+        scores = unigram.em_round(words, scores)
     assert seen[0] < seen[1] < seen[2]
 
 
@@ -128,17 +128,45 @@ def test_unknown_runs_become_one_id(spark, trained):
     assert got == {"1": [mark, 1, the, mark, 1, 3], "2": None, "3": [3]}
 
 
-def test_every_substring_of_long_words_is_counted_once(spark, monkeypatch):
+def repeated(words, longest=16):
+    """Every repeated substring that no one character follows everywhere, with its occurrences, by looking at all substrings."""
+    times, after = {}, {}
+    for word, n in words:
+        for part in word.split(unigram.OUTSIDE):
+            for i in range(len(part)):
+                for k in range(2, min(longest, len(part) - i) + 1):
+                    piece = part[i : i + k]
+                    times[piece] = times.get(piece, 0) + n
+                    after.setdefault(piece, set()).add(part[i + k : i + k + 1])
+    return {p: n for p, n in times.items() if n > 1 and (len(after[p]) > 1 or "" in after[p])}
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 40])
+def test_seeds_are_the_repeated_substrings(spark, monkeypatch, partitions):
     monkeypatch.setattr(unigram, "STRETCH", 20)
+    rng = np.random.default_rng(partitions)
     text = "".join(chr(0x4E00 + i * 7 % 90) for i in range(300))
-    words = spark.createDataFrame([(text, 3), ("short", 2)], "word string, n long")
-    seeds = unigram.seed_pieces(words, unigram.letters_of(words), 10**5).where("NOT is_char").collect()
-    want = {}
-    for word, n in ((text, 3), ("short", 2)):
-        for i in range(len(word)):
-            for k in range(2, min(16, len(word) - i) + 1):
-                want[word[i : i + k]] = want.get(word[i : i + k], 0) + n * k
-    assert {r["piece"]: r["weight"] for r in seeds} == want
+    made = {"".join(rng.choice(list("abc" + unigram.OUTSIDE + "😀é"), rng.integers(1, 60))): int(rng.integers(1, 4)) for _ in range(120)}
+    rows = [(text, 3), ("short", 2), ("once", 1), ("z" * 200, 1), *made.items()]
+    words = spark.createDataFrame(rows, "word string, n long").repartition(3)
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["piece"]: r["times"] for r in unigram.repeated_substrings(words).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
+    assert got == repeated(rows)
+    seeds = unigram.seed_pieces(words, unigram.letters_of(words), 50).where("NOT is_char").collect()
+    heaviest = sorted(((-n * len(p), p) for p, n in got.items()))[:50]
+    assert {(r["piece"], r["weight"]) for r in seeds} == {(p, -w) for w, p in heaviest}
+
+
+def test_no_words_have_no_seeds(spark):
+    words = spark.createDataFrame([("", 3), ("a", 1)], "word string, n long")
+    assert unigram.repeated_substrings(words).count() == 0
+    assert unigram.repeated_substrings(words.limit(0)).count() == 0
 
 
 def test_rare_characters_stay_outside(spark, docs):
