@@ -297,8 +297,8 @@ SELECT run, step, eval_loss, train_loss, prompt_id, prompt FROM a, (VALUES {PROM
 WHERE eval_loss IS NOT NULL""")
 def stream_evaluate(spark, sf_dir):
     """The events arrive in several files, each with steps from all over the runs: most records are late."""
-    arriving, out, history, state = (scratch_path(spark, f"evaluate-{n}") for n in ("in", "out", "history", "state"))
+    arriving, out, state = (scratch_path(spark, f"evaluate-{n}") for n in ("in", "out", "state"))
     table(spark, sf_dir, "events").repartition(4, F.xxhash64("event_id")).write.parquet(arriving)
-    stream_evaluations(event_stream(spark, arriving, "*.parquet", files=1), out, history, state, span=SPAN).awaitTermination()
+    stream_evaluations(event_stream(spark, arriving, "*.parquet", files=1), out, state, span=20 * SPAN).awaitTermination()
     found = read_evaluations(spark, out)
     return found.withColumn("prompt_id", F.col("prompt_id").cast("bigint"))
