@@ -1,8 +1,8 @@
 """Text to ids and back.
 
 Looking a word up in the vocabulary needs no shuffle: the bounded piece list is broadcast and each
-Arrow batch of token arrays is mapped in one vectorised call. The join form of the same step would
-move every token of the corpus.
+Arrow batch of token arrays is mapped in one vectorised call. The join form of the same step
+(``looked_up``) moves every token of the corpus, so it is for tables that are too large to send to every task.
 """
 
 from __future__ import annotations
@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomtext.functions.text import tokens_of, unmark
-from loomtext.operators.vocab import EOS_ID, SPECIAL_PIECES, UNK_ID, pieces_of
+from loomtext.operators.vocab import EOS_ID, SPECIAL_PIECES, UNK_ID, TooLarge, pieces_of
 
 IDS = T.ArrayType(T.IntegerType())
 STRINGS = T.ArrayType(T.StringType())
+# Rows of one item that are joined in one place, or that share of all rows, if it is more; so at most 10,000 items are dealt out.
+HOT_ROWS, HOT_SHARE = 1_000_000, 1e-4
 
 
 def _offsets(lengths: np.ndarray) -> np.ndarray:
@@ -62,8 +64,48 @@ def word_ids(words: Column, vocab: DataFrame | Broadcast, append_eos: bool = Tru
     return lookup(words)
 
 
-def encode_words(docs: DataFrame, vocab: DataFrame, append_eos: bool = True, mode: str = "whitespace") -> DataFrame:
-    """Replace ``text`` by ``input_ids``. No truncation, no mask."""
+def looked_up(df: DataFrame, key: str, items: Column, table: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``df`` with ``_values``: the elements of the array ``items``, each replaced by its ``value`` in ``table(item, value)``, null where it has none.
+
+    A join, for tables of any size. ``key`` names the rows of ``df`` uniquely, ``item`` those of the table. An item with over ``hot_rows`` rows (or ``HOT_SHARE`` of all, if that is more) is dealt to
+    several places, as its table row is; at most the inverse of that share are, and only their hashes and numbers of places are broadcast.
+    Each array is put together by its key; the other columns travel once. A null array stays null.
+    """
+    each = df.select(F.col(key).alias("_key"), F.posexplode(items).alias("_place", "item"))
+    total = df.agg(F.sum(F.greatest(F.size(items), F.lit(0)))).scalar()
+    most = F.greatest(F.lit(hot_rows), F.ceil(total * HOT_SHARE))
+    counts = each.groupBy(F.xxhash64("item").alias("_hash")).agg(F.count("*").alias("n"))
+    hot = F.broadcast(counts.where(F.col("n") > most).select("_hash", F.ceil(F.col("n") / most).alias("_places")))
+    places = F.coalesce("_places", F.lit(1))
+    ours = each.withColumn("_hash", F.xxhash64("item")).join(hot, "_hash", "left").withColumn("_salt", F.pmod(F.xxhash64("_key", "_place"), places))
+    theirs = table.withColumn("_hash", F.xxhash64("item")).join(hot, "_hash", "left")
+    theirs = theirs.select("item", "value", F.explode(F.sequence(F.lit(0).cast("bigint"), places - 1)).alias("_salt"))
+    found = ours.join(theirs, ["item", "_salt"], "left").select("_key", F.struct("_place", "value").alias("_one"), F.lit(None).alias("_row"))
+    rows = df.select(F.col(key).alias("_key"), F.lit(None).alias("_one"), F.struct("*", items.isNull().alias("_none")).alias("_row"))
+    whole = found.unionByName(rows).groupBy("_key").agg(F.first("_row", ignorenulls=True).alias("_row"), F.sort_array(F.collect_list("_one")).alias("_all"))
+    values = F.when(~F.col("_row._none"), F.transform("_all", lambda x: x["value"]))
+    return whole.select("_row.*", values.alias("_values")).drop("_none")
+
+
+def encode_joined(docs: DataFrame, dictionary: DataFrame, append_eos: bool = True, mode: str = "whitespace", key: str = "row_id", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Replace ``text`` by ``input_ids`` through a table ``(item, value)`` of words and their ids; a word without a row is unknown."""
+    found = looked_up(docs, key, tokens_of(F.col("text"), mode), dictionary, hot_rows)
+    ids = F.flatten(F.transform("_values", lambda v: F.coalesce(v, F.array(F.lit(UNK_ID)))))
+    ended = F.concat(ids, F.array(F.lit(EOS_ID))) if append_eos else ids
+    return found.withColumn("input_ids", ended.cast(IDS)).drop("text", "_values")
+
+
+def word_dictionary(vocab: DataFrame) -> DataFrame:
+    """``(item, value)``: every piece that is a word, with its id as an array."""
+    return vocab.where(~F.col("is_special")).select(F.col("piece").alias("item"), F.array(F.col("id").cast("int")).alias("value"))
+
+
+def encode_words(docs: DataFrame, vocab: DataFrame | Broadcast, append_eos: bool = True, mode: str = "whitespace", key: str = "row_id") -> DataFrame:
+    """Replace ``text`` by ``input_ids``. No truncation, no mask. A vocabulary too large for a broadcast is joined by ``key``, which must name the rows uniquely."""
+    try:
+        vocab = shared_pieces(vocab)
+    except TooLarge:
+        return encode_joined(docs, word_dictionary(vocab), append_eos, mode, key)
     ids = word_ids(tokens_of(F.col("text"), mode), vocab, append_eos)
     return docs.withColumn("input_ids", ids).drop("text")
 
@@ -87,11 +129,22 @@ def id_pieces(ids: Column, vocab: DataFrame | Broadcast, keep_special: bool = Fa
     return lookup(ids)
 
 
-def decode(df: DataFrame, vocab: DataFrame | Broadcast) -> DataFrame:
-    """Add ``decoded``: the pieces joined, marks turned into spaces, special ids left out."""
+def decode(df: DataFrame, vocab: DataFrame | Broadcast, key: str = "row_id") -> DataFrame:
+    """Add ``decoded``: the pieces joined, marks turned into spaces, special ids left out. A vocabulary too large for a broadcast is joined by ``key``."""
+    try:
+        vocab = shared_pieces(vocab)
+    except TooLarge:
+        return decode_joined(df, vocab, key)
     return df.withColumn("decoded", unmark(F.array_join(id_pieces(F.col("input_ids"), vocab), "")))
 
 
+def decode_joined(df: DataFrame, vocab: DataFrame, key: str = "row_id", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``decode`` by a join of the ids with the pieces."""
+    pieces = vocab.where(~F.col("is_special")).select(F.col("id").alias("item"), F.col("piece").alias("value"))
+    found = looked_up(df, key, F.col("input_ids"), pieces, hot_rows)
+    return found.withColumn("decoded", unmark(F.array_join("_values", ""))).drop("_values")
+
+
 def preview_blocks(blocks: DataFrame, vocab: DataFrame | Broadcast, first: int = 50) -> DataFrame:
     """Add ``preview``: the text of the first ids of each block."""
     head = blocks.withColumn("_ids", F.slice("input_ids", 1, first))

@@ -289,3 +289,9 @@ def unigram_ids(words: Column, vocab: DataFrame, append_eos: bool = True) -> Col
 def encode_unigram(docs: DataFrame, vocab: DataFrame, append_eos: bool = True, mode: str = "nfkc_cf") -> DataFrame:
     """Replace ``text`` by ``input_ids`` of a unigram vocabulary."""
     return docs.withColumn("input_ids", unigram_ids(tokens_of(F.col("text"), mode), vocab, append_eos)).drop("text")
+
+
+def cut_words(docs: DataFrame, vocab: DataFrame, mode: str = "nfkc_cf") -> DataFrame:
+    """``(item, value)``: every different word of ``docs(text)`` and its ids, each cut once; what ``encode.encode_joined`` takes."""
+    words = training_words(docs, mode).select(F.col("word").alias("item"))
+    return words.withColumn("value", unigram_ids(F.array("item"), vocab, append_eos=False))

@@ -107,6 +107,10 @@ def covering_chars(counts: DataFrame, coverage: float = 0.9995) -> DataFrame:
     )
 
 
+class TooLarge(ValueError):
+    """A vocabulary that is not to be sent to every task."""
+
+
 def pieces_of(vocab: DataFrame, limit: int = MAX_PIECES) -> list[str]:
     """Pieces in id order, for a broadcast. Refuses tables beyond ``limit`` or ``MAX_BYTES`` and ids that are not 0..V-1.
 
@@ -116,10 +120,10 @@ def pieces_of(vocab: DataFrame, limit: int = MAX_PIECES) -> list[str]:
     for row in vocab.select("id", "piece").limit(limit + 1).toLocalIterator():
         size += len(row["piece"].encode())
         if size > MAX_BYTES:
-            raise ValueError(f"vocabulary pieces are longer than {MAX_BYTES} bytes together")
+            raise TooLarge(f"vocabulary pieces are longer than {MAX_BYTES} bytes together")
         rows.append(row)
     if len(rows) > limit:
-        raise ValueError(f"vocabulary has more than {limit} pieces")
+        raise TooLarge(f"vocabulary has more than {limit} pieces")
     rows.sort()
     if [r["id"] for r in rows] != list(range(len(rows))):
         raise ValueError("vocabulary ids are not 0..V-1")

@@ -121,6 +121,16 @@ def encode_words(spark, sf_dir):
     return rows.select("row_id", F.size("input_ids").cast("bigint").alias("n"), ids_md5().alias("ids_md5"))
 
 
+@query(f"""WITH {ENCODED}
+SELECT row_id, count(*) AS n, md5(string_agg(id::VARCHAR, ' ' ORDER BY i)) AS ids_md5 FROM ids GROUP BY row_id""")
+def encode_words_joined(spark, sf_dir):
+    """The same by a join with a dictionary table, as for a vocabulary that is too large to be sent to every task; hot words are dealt out."""
+    docs = corpus(spark, sf_dir)
+    dictionary = encode.word_dictionary(vocab.frequency_vocab(vocab.token_counts(docs), V))
+    rows = encode.encode_joined(docs, dictionary, hot_rows=1000)
+    return rows.select("row_id", F.size("input_ids").cast("bigint").alias("n"), ids_md5().alias("ids_md5"))
+
+
 @query(f"""WITH {ENCODED}, p AS (
   SELECT f.row_id, string_agg(CASE WHEN v.id IS NULL THEN '' ELSE tok END, '' ORDER BY f.i) AS joined
   FROM flat f LEFT JOIN vocab v USING (tok) GROUP BY f.row_id)
@@ -132,6 +142,19 @@ def decode_words(spark, sf_dir):
     return encode.decode(encode.encode_words(docs, found), found).select("row_id", F.md5("decoded").alias("decoded_md5"))
 
 
+@query(f"""WITH {ENCODED}, p AS (
+  SELECT f.row_id, string_agg(CASE WHEN v.id IS NULL THEN '' ELSE tok END, '' ORDER BY f.i) AS joined
+  FROM flat f LEFT JOIN vocab v USING (tok) GROUP BY f.row_id)
+SELECT row_id, md5(regexp_replace(replace(coalesce(joined, ''), '{M}', ' '), '^ ', '')) AS decoded_md5
+FROM words LEFT JOIN p USING (row_id)""")
+def decode_words_joined(spark, sf_dir):
+    """Ids to text by a join with the pieces."""
+    docs = corpus(spark, sf_dir)
+    found = vocab.frequency_vocab(vocab.token_counts(docs), V)
+    back = encode.decode_joined(encode.encode_words(docs, found), found, hot_rows=1000)
+    return back.select("row_id", F.md5("decoded").alias("decoded_md5"))
+
+
 @query(f"""WITH {ENCODED}, p AS (
   SELECT f.row_id, bool_or(v.id IS NULL) AS has_unknown, string_agg(tok, '' ORDER BY f.i) AS joined
   FROM flat f LEFT JOIN vocab v USING (tok) GROUP BY f.row_id)

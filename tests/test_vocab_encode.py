@@ -45,6 +45,51 @@ def test_encode(spark):
     assert encoded(spark, v, append_eos=False) == {0: [5, 4, 4], 1: [4, 5, 1], 2: [], 3: None, 4: [1, 4], 5: [4, 5]}
 
 
+@pytest.mark.parametrize("hot_rows", [1, 10**6])
+def test_a_join_gives_what_the_broadcast_gives(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(encode, "HOT_SHARE", 1e-9)
+    v = vocabulary(spark, 6)
+    df = docs(spark, [*TEXTS, "a " * 500]).withColumn("values", F.lit("own")).withColumn("item", F.lit(7))
+    by_broadcast = encode.encode_words(df, v)
+    joined = encode.encode_joined(df, encode.word_dictionary(v), hot_rows=hot_rows)
+    assert joined.columns == by_broadcast.columns
+    got = {r["row_id"]: r["input_ids"] for r in joined.collect()}
+    assert got == {r["row_id"]: r["input_ids"] for r in by_broadcast.collect()}
+    back = encode.decode_joined(by_broadcast, v, hot_rows=hot_rows)
+    want = encode.decode(by_broadcast, v)
+    assert {r["row_id"]: r["decoded"] for r in back.collect()} == {r["row_id"]: r["decoded"] for r in want.collect()}
+
+
+def test_a_vocabulary_beyond_the_broadcast_is_joined(spark, monkeypatch):
+    v = vocabulary(spark)
+    want = encoded(spark, v)
+    df = docs(spark, TEXTS)
+    text = {r["row_id"]: r["decoded"] for r in encode.decode(encode.encode_words(df, v), v).collect()}
+    pieces_of = vocab.pieces_of
+    for refuse in (lambda t: pieces_of(t, limit=7), None):
+        if refuse:
+            monkeypatch.setattr(encode, "pieces_of", refuse)
+        else:
+            monkeypatch.setattr(encode, "pieces_of", pieces_of)
+            monkeypatch.setattr(vocab, "MAX_BYTES", 3)
+        plan = encode.encode_words(df, v)
+        assert "_salt" in plan._jdf.queryExecution().toString()
+        assert {int(r["row_id"]): r["input_ids"] for r in plan.collect()} == want
+        assert {r["row_id"]: r["decoded"] for r in encode.decode(plan, v).collect()} == text
+
+
+def test_hot_words_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(encode, "HOT_SHARE", 1e-9)
+    df = spark.range(200).select(F.col("id").cast("string").alias("row_id"), F.split(F.lit("the the the the other"), " ").alias("w"))
+    table = spark.createDataFrame([("the", 1), ("other", 2)], "item string, value int")
+    found = encode.looked_up(df, "row_id", F.col("w"), table, hot_rows=50)
+    assert [r["_values"] for r in found.collect()] == [[1, 1, 1, 1, 2]] * 200
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan and "_places" in plan
+    salts = df.select("row_id", F.posexplode("w").alias("at", "item")).where("item = 'the'").groupBy(F.pmod(F.xxhash64("row_id", "at"), F.lit(16))).count()
+    assert salts.count() == 16 and salts.agg(F.max("count")).first()[0] < 100
+
+
 def test_text_equal_to_a_reserved_piece_is_no_reserved_id(spark):
     v = vocabulary(spark, texts=["<pad> x"])
     ids = encode.word_ids(F.array(F.lit("<pad>"), F.lit("</s>")), v, append_eos=False)
