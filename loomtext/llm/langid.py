@@ -22,24 +22,34 @@ from pyspark.sql.window import Window
 
 from loomtext.llm import labelled
 
-#: Bounds of the fitted sample: texts per language, bytes of the longest, and languages (the most frequent ones).
-TEXTS, MAX_BYTES, LANGUAGES = 400, 1 << 16, 64
+#: Bounds of the fitted sample: texts per language and bytes of the longest. Every language with labelled rows is learned; from 64 of them on
+#: all share ``SAMPLE`` texts, of which each has ``LEAST`` at least.
+TEXTS, MAX_BYTES, SAMPLE, LEAST = 400, 1 << 16, 25_600, 20
 #: Rows of the weight table that features are hashed into; words of a language's lexicon.
 BUCKETS, LEXICON = 1 << 15, 300
 #: Training sequences, their words, the words of a stretch in one language, and gradient steps.
 SEQUENCES, LENGTH, STRETCH, STEPS = 1600, 64, (3, 40), 90
-#: Words of a chunk of the blocked forward-backward pass, and chunks held at a time.
-CHUNK, CHUNKS = 128, 8192
+#: Words of a chunk of the blocked forward-backward pass (more for many languages, see ``forward_backward``), and scores held at a time.
+CHUNK, CELLS = 128, 1 << 22
 #: Words whose scores a task remembers.
 REMEMBERED = 400_000
 UNDETERMINED = "und"
 
 _edges = re.compile(r"^[\W\d_]+|[\W\d_]+$")
+#: Scripts written without spaces: Thai and Lao, Burmese, Khmer, kana, Han.
+_unspaced = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_runs = re.compile(f"[{_unspaced}]{{1,4}}|[^{_unspaced}]+")
+_any_unspaced = re.compile(f"[{_unspaced}]")
 
 
 def words_of(text: str | None) -> list[str]:
-    """Lower-cased runs between white space, with the signs around them."""
-    return text.lower().split() if text else []
+    """Lower-cased runs between white space, with the signs around them; what a script without spaces writes, by four characters."""
+    if not text:
+        return []
+    words = text.lower().split()
+    if text.isascii() or not _any_unspaced.search(text):
+        return words
+    return [part for word in words for part in _runs.findall(word)]
 
 
 def core(word: str) -> str:
@@ -60,7 +70,7 @@ class Model:
 
 def features(words: list[str], lexicon: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """Rows of the weight table for affixes, n-grams, lexicons and the words themselves, and the number of the word each belongs to."""
-    framed = [b"<" + w.encode()[:64] + b">" for w in words]
+    framed = [b"<" + w.encode("utf-8", "surrogatepass") + b">" for w in words]
     size = np.array([len(f) for f in framed], dtype=np.int64)
     begin = np.cumsum(size) - size
     data = np.frombuffer(b"".join(framed) + b"   ", dtype=np.uint8).astype(np.uint32)
@@ -137,27 +147,41 @@ def _scaled(values: np.ndarray) -> np.ndarray:
 def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
     """Probabilities of the languages of all words of several documents laid end to end, slice by slice.
 
-    Exact, yet in steps over all chunks of all documents at once: each chunk's transfer matrix is built first; the matrices carry the forward and
-    backward vectors from chunk to chunk; then every chunk is run through from its own ends.
+    Exact, yet in steps over all chunks of all documents at once: the transfer matrices of the chunks of long documents are built first; they carry the forward and
+    backward vectors from chunk to chunk; then every chunk is run through from its own ends. A chunk is the longer the more languages there are, so that
+    the matrices take a bounded number of bytes for each word.
     """
     k = scores.shape[1]
+    chunk = CHUNK * max(1, k * k // 256)
     move = np.exp(transitions - transitions.max()).astype(np.float32)
     starts = np.concatenate([[0], np.cumsum(lengths)])[:-1]
-    per_doc = -(-lengths // CHUNK)
+    per_doc = -(-lengths // chunk)
     doc_of = np.repeat(np.arange(len(lengths)), per_doc)
     nth = np.arange(len(doc_of)) - np.repeat(np.cumsum(per_doc) - per_doc, per_doc)
-    first = starts[doc_of] + nth * CHUNK
-    size = np.minimum(CHUNK, lengths[doc_of] - nth * CHUNK)
-
-    def gathered(lo: int, hi: int) -> np.ndarray:
-        at = np.minimum(first[lo:hi, None] + np.arange(CHUNK), len(scores) - 1)
+    first = starts[doc_of] + nth * chunk
+    size = np.minimum(chunk, lengths[doc_of] - nth * chunk)
+
+    def ranges(count: int, words: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Neighbouring chunks whose scores fit into ``CELLS``."""
+        lo = longest = 0
+        for hi in range(count):
+            longest = max(longest, int(words[hi]))
+            if hi > lo and (hi + 1 - lo) * max(longest, k) * k > CELLS:
+                yield lo, hi
+                lo, longest = hi, int(words[hi])
+        if count:
+            yield lo, count
+
+    def gathered(some: np.ndarray) -> np.ndarray:
+        at = np.minimum(first[some, None] + np.arange(size[some].max()), len(scores) - 1)
         part = scores[at]
         return np.exp(part - part.max(axis=2, keepdims=True))
 
-    through = np.empty((len(doc_of), k, k), dtype=np.float32)
-    for lo in range(0, len(doc_of), CHUNKS):
-        hi = min(lo + CHUNKS, len(doc_of))
-        psi, valid = gathered(lo, hi), size[lo:hi]
+    long = np.flatnonzero(per_doc[doc_of] > 1)
+    through = np.empty((len(long), k, k), dtype=np.float32)
+    for lo, hi in ranges(len(long), size[long]):
+        some = long[lo:hi]
+        psi, valid = gathered(some), size[some]
         matrix = np.broadcast_to(np.eye(k, dtype=np.float32), (hi - lo, k, k)).copy()
         for t in range(valid.max(initial=0)):
             step = (matrix.reshape(-1, k) @ move).reshape(-1, k, k) * psi[:, t, None, :]
@@ -167,27 +191,30 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.nd
 
     left = np.ones((len(doc_of), k), dtype=np.float32) / k
     right = left.copy()
+    place = np.zeros(len(doc_of), dtype=np.int64)
+    place[long] = np.arange(len(long))
+    order = long[np.argsort(nth[long], kind="stable")]
+    turns = np.searchsorted(nth[order], np.arange(per_doc.max(initial=0) + 1))
     for j in range(1, per_doc.max(initial=0)):
-        at = np.flatnonzero(nth == j)
-        left[at] = _scaled(np.einsum("nk,nkl->nl", left[at - 1], through[at - 1]))
+        at = order[turns[j] : turns[j + 1]]
+        left[at] = _scaled(np.einsum("nk,nkl->nl", left[at - 1], through[place[at - 1]]))
     for j in range(per_doc.max(initial=0) - 1, 0, -1):
-        at = np.flatnonzero(nth == j)
-        right[at - 1] = _scaled(np.einsum("nkl,nl->nk", through[at], right[at]))
+        at = order[turns[j] : turns[j + 1]]
+        right[at - 1] = _scaled(np.einsum("nkl,nl->nk", through[place[at]], right[at]))
 
-    for lo in range(0, len(doc_of), CHUNKS):
-        hi = min(lo + CHUNKS, len(doc_of))
-        psi, valid = gathered(lo, hi), size[lo:hi]
+    for lo, hi in ranges(len(doc_of), size):
+        psi, valid = gathered(np.arange(lo, hi)), size[lo:hi]
         alpha = np.empty_like(psi)
         state = left[lo:hi]
-        for t in range(valid.max(initial=0)):
+        for t in range(psi.shape[1]):
             state = _scaled((state @ move) * psi[:, t])
             alpha[:, t] = state
         beta = right[lo:hi]
-        for t in range(valid.max(initial=0) - 1, -1, -1):
+        for t in range(psi.shape[1] - 1, -1, -1):
             inside = (t < valid)[:, None]
             alpha[:, t] = _scaled(alpha[:, t] * beta)
             beta = np.where(inside, _scaled((beta * psi[:, t]) @ move.T), beta)
-        keep = np.arange(CHUNK) < valid[:, None]
+        keep = np.arange(psi.shape[1]) < valid[:, None]
         yield slice(int(first[lo]), int(first[hi - 1] + size[hi - 1])), alpha[keep]
 
 
@@ -246,8 +273,9 @@ def train(texts: list[tuple[str, str]], seed: int = 7) -> Model:
         expected = np.zeros((k, k))
         for t in range(LENGTH - 1, 0, -1):
             out = beta[:, t] * psi[:, t]
-            pair = alpha[:, t - 1, :, None] * move * out[:, None, :]
-            expected += (pair / np.maximum(pair.sum(axis=(1, 2), keepdims=True), 1e-300)).sum(axis=0)
+            ahead = alpha[:, t - 1]
+            both = np.maximum(((ahead @ move) * out).sum(axis=1, keepdims=True), 1e-300)
+            expected += move * ((ahead / both).T @ out)
             beta[:, t - 1] = _scaled(out @ move.T)
         gamma = _scaled(alpha * beta)
         missed = (truth - gamma).reshape(-1, k)
@@ -267,21 +295,24 @@ def train(texts: list[tuple[str, str]], seed: int = 7) -> Model:
 
 
 def sample(docs: DataFrame, usable: Column, texts: int = TEXTS, max_bytes: int = MAX_BYTES) -> list[tuple[str, str]]:
-    """At most ``texts`` whole texts of each language in the order of a hash of their ids, as (text, language).
+    """At most ``texts`` whole texts of each language (fewer if there are over 64, see ``SAMPLE``) in the order of a hash of their ids, as (text, language).
 
     The ids are chosen from (doc_id, lang) alone, after a hash has thinned out what is frequent; their number is bounded, so the scan for the texts
     joins with a short list.
     """
     known = docs.select("doc_id", "lang").where(usable & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    sizes = known.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(LANGUAGES)
+    sizes = known.groupBy("lang").count()
+    texts = min(texts, max(LEAST, SAMPLE // max(1, sizes.count())))
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) * F.col("count") < F.lit(8 * texts * (1 << 20))
-    thin = known.join(F.broadcast(sizes), "lang").where(chance | (F.col("count") < 8 * texts)).select("doc_id", "lang").distinct()
+    thin = known.join(sizes, "lang").where(chance | (F.col("count") < 8 * texts)).select("doc_id", "lang").distinct()
     order = F.md5(F.col("doc_id").cast("string"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))
     chosen = thin.withColumn("__rank", rank).where(F.col("__rank") <= texts).select("doc_id", "lang")
     whole = docs.select("doc_id", "lang", "text").where(F.octet_length("text").between(1, max_bytes))
-    rows = whole.join(F.broadcast(chosen), ["doc_id", "lang"]).orderBy(order, "doc_id", "text").limit(LANGUAGES * texts)
-    return [(r["text"], r["lang"]) for r in rows.collect()]
+    rows = whole.join(chosen, ["doc_id", "lang"])
+    # Several rows of one id and language do not make the sample larger.
+    one = rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).orderBy(order, "doc_id", "lang")
+    return [(r["text"], r["lang"]) for r in one.collect()]
 
 
 def _expected(texts: list[str | None], emissions: Emissions) -> np.ndarray:
@@ -302,7 +333,7 @@ def _expected(texts: list[str | None], emissions: Emissions) -> np.ndarray:
     return totals
 
 
-def _parts(texts: pd.Series, most: int = 4 << 20) -> Iterator[list[str | None]]:
+def _parts(texts: pd.Series, most: int) -> Iterator[list[str | None]]:
     """Slices of a batch of at most ``most`` characters, or one text."""
     held, size = [], 0
     for t in texts:
@@ -330,11 +361,12 @@ def language(text: Column, model: Model) -> Column:
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         emissions = Emissions(Model(**fields))
         names = np.array([*emissions.model.languages, UNDETERMINED], dtype=object)
+        most = (16 << 20) // max(4, len(names))
         for texts in batches:
             if len(names) == 1:
                 yield pd.DataFrame({"lang": [UNDETERMINED] * len(texts), "score": 0.0})
                 continue
-            totals = np.concatenate([np.zeros((0, len(names) - 1)), *(_expected(part, emissions) for part in _parts(texts))])
+            totals = np.concatenate([np.zeros((0, len(names) - 1)), *(_expected(part, emissions) for part in _parts(texts, most))])
             words = totals.sum(axis=1)
             best = np.where(words > 0, totals.argmax(axis=1), len(names) - 1)
             score = np.divide(totals.max(axis=1), words, out=np.zeros(len(totals)), where=words > 0)

@@ -182,7 +182,7 @@ def test_toxicity_with_few_labels_and_odd_rows(spark, labels):
 
 @pytest.mark.parametrize("chunks", [1, 3, 8192])
 def test_blocked_forward_backward_is_exact(monkeypatch, chunks):
-    monkeypatch.setattr(langid, "CHUNKS", chunks)
+    monkeypatch.setattr(langid, "CELLS", chunks * 64)
     monkeypatch.setattr(langid, "CHUNK", 16)
     rng = np.random.default_rng(2)
     lengths = np.array([1, 16, 17, 100, 3, 47])
@@ -253,3 +253,39 @@ def test_language_of_odd_rows(spark):
     assert langid.identify(empty_documents(spark)).collect() == []
     unknown = langid.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert {r["lang_pred"] for r in unknown} == {"und"}
+
+
+def test_unspaced_scripts_are_cut_and_whole_words_count():
+    assert langid.words_of("人工智能正在改变 Welt世界ABC") == ["人工智能", "正在改变", "welt", "世界", "abc"]
+    long = "x" * 100
+    rows = [sorted(langid.features([w], {})[0].tolist()) for w in (long + "ing", long + "ung", long)]
+    assert rows[0] != rows[1] and len(rows[0]) > len(rows[2])  # the end and all n-grams of a long word count
+
+
+def test_a_text_that_changes_language_late(spark):
+    han, kana = "的一是不了在人有我他这个们中来上大为和国", "あいうえおかきくけこさしすせそたちつてとなにぬねの"
+    rng = random.Random(3)
+    texts = [("".join(rng.choice(han) for _ in range(60)), "zh") for _ in range(30)] + [("".join(rng.choice(kana) for _ in range(60)), "ja") for _ in range(30)]
+    model = langid.train(texts)
+    mixed = texts[0][0][:25] + "".join(t for t, _ in texts[30:50])
+    df = spark.createDataFrame([(mixed,), (texts[0][0],)], "text string")
+    found = [r["f"] for r in df.select(langid.language(F.col("text"), model).alias("f")).collect()]
+    assert [f["lang"] for f in found] == ["ja", "zh"]
+    assert 0.9 < found[0]["score"] < 0.999 and found[1]["score"] > 0.99
+    words = df.select(langid.label_words(F.col("text"), model).alias("w")).first()["w"]
+    assert [w["lang"] for w in words[:6]] == ["zh"] * 6 and {w["lang"] for w in words[8:]} == {"ja"}
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SEQUENCES", 400)
+    rng = random.Random(9)
+    rows, syllables = [], [a + b for a in "bcdfghjklmnprstvwz" for b in "aeiouy"]
+    for number in range(70):
+        own = rng.sample(syllables, 8)
+        for i in range(24):
+            text = " ".join("".join(rng.choice(own) for _ in range(3)) for _ in range(40))
+            rows.append((number * 1000 + i, text, f"l{number:02d}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = langid.identify(docs).where("held_out").collect()
+    assert len({r["lang"] for r in found}) == 70
+    assert sum(r["lang"] == r["lang_pred"] for r in found) > 0.95 * len(found)
