@@ -13,9 +13,8 @@ from pyspark.sql.window import Window
 
 # Order values per span; with one row per order value this is also the rows per window.
 SPAN = 100_000
-# Spans that are carried over together, and how often spans are put together: 100,000 x 1,000 x 1,000 order values
-# give one row to the last window.
-FAN, DEPTH = 1000, 2
+# Spans that are carried over together. Where there are more, they are put together in groups of as many, and these again.
+FAN = 1000
 
 
 def _carried(tails: DataFrame, partition: list[str], fan: int, depth: int) -> DataFrame:
@@ -51,15 +50,19 @@ def last_known(
     """Add ``out``: the latest non-null ``value`` at or before each row (before it, if not ``inclusive``).
 
     ``order`` starts with a whole-number column, and together its columns have no ties. Partition
-    columns are not null.
+    columns are not null. A first look at the range of the order column tells in how many levels the spans are carried.
     """
     partition = partition or []
     tagged = df.withColumn("_value", value).withColumn("_span", F.expr(f"`{order[0]}` div {span}L"))
     groups = [*partition, "_span"]
     # A plain number as the ordering keeps the grouping hash-based; a struct would make it sort.
     place = F.struct(*order) if len(order) > 1 else F.col(order[0])
+    first, last = df.agg(F.min(F.expr(f"`{order[0]}` div {span}L")), F.max(F.expr(f"`{order[0]}` div {span}L"))).first()
+    depth, spans = 0, (last - first + 1 if first is not None else 1)
+    while spans > fan ** (depth + 1):
+        depth += 1
     tails = tagged.groupBy(*groups).agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), place)).alias("_tail"))
-    carried = _carried(tails, partition, fan, DEPTH)
+    carried = _carried(tails, partition, fan, depth)
     end = Window.currentRow if inclusive else -1
     inside = Window.partitionBy(*groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
     # The join and the window have the same keys, so the rows are shuffled once.

@@ -21,6 +21,14 @@ STAGES = [
     ("coherent", 3000),
     ("knowledge", 6000),
 ]
+# The published loss bands of the stages, (stage, from, up to); they overlap.
+LOSS_BANDS = [
+    ("random noise", 6.0, None),
+    ("first grammar", 5.3, 6.7),
+    ("topic focus", 4.8, 5.4),
+    ("coherent", 4.4, 4.8),
+    ("knowledge", None, 4.4),
+]
 
 
 def report_lines(log: DataFrame, label: str = "loss") -> DataFrame:

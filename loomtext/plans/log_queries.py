@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from loomtext.functions.numeric import clamp_length, clamp_temperature, learning_rate, loss_or_missing, metric_line
 from loomtext.operators import trainlog
 from loomtext.operators.filters import is_milestone, is_reported_step
+from loomtext.operators.bands import band_join
 from loomtext.operators.series import last_known
 from loomtext.plans.registry import query
 from loomtext.plans.sql_parts import LOG
@@ -107,6 +108,20 @@ def stage_band_join(spark, sf_dir):
     )
 
 
+LOSS_BAND_VALUES = ", ".join(
+    f"('{n}', {'NULL' if lo is None else lo}::DOUBLE, {'NULL' if hi is None else hi}::DOUBLE)" for n, lo, hi in trainlog.LOSS_BANDS
+)
+
+
+@query(f"""WITH {LOG}, bands(band, low, high) AS (VALUES {LOSS_BAND_VALUES}), scaled AS (SELECT run, step, loss / 16::DOUBLE AS loss FROM log)
+SELECT run, step, loss, band FROM scaled JOIN bands ON (low IS NULL OR loss >= low) AND (high IS NULL OR loss < high)""")
+def loss_band_join(spark, sf_dir):
+    """Train records and every published loss band they lie in; bands overlap. The values are scaled down to the range of the bands."""
+    log = metric_log(spark, sf_dir).select("run", "step", (F.col("loss") / F.lit(16.0)).alias("loss"))
+    bands = spark.createDataFrame(trainlog.LOSS_BANDS, "band string, low double, high double")
+    return band_join(log, "loss", bands).select("run", "step", "loss", "band")
+
+
 @query(f"""WITH {LOG} SELECT run, step, eval_loss FROM log WHERE eval_loss IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY run ORDER BY eval_loss, step) = 1""")
 def best_step(spark, sf_dir):

@@ -9,14 +9,16 @@ from pyspark.sql.window import Window
 
 from loomtext.functions.text import collapse_whitespace, metaspace_words, normalize, tokens_of
 from loomtext.operators import checks, encode, ngrams, pack, sample, unigram, vocab
-from loomtext.operators.order import shuffled_positions
+from loomtext.operators.order import shuffled_positions, with_position
 from loomtext.plans import prepare
 from loomtext.plans.registry import query
 from loomtext.plans.settings import VARIANTS, Preparation, by_words
 from loomtext.plans.sql_parts import CORPUS, M, WS, blocks, ids, prepared, shuffled, stripped, vocab as vocab_sql, words
 from loomtext.plans.tables import articles, corpus, qa_pairs, table
 from loomtext.session import ensure_checkpoint_dir, frozen, scratch_path
+from loomtext.sources import indexed
 from loomtext.sources.corpus import materialize, unify_qa
+from loomtext.sources.incremental import refreshed_sums
 from loomtext.sources.vocab_file import read_vocab_tsv, write_vocab_tsv
 
 V = 32_000
@@ -269,6 +271,36 @@ def pack_blocks(spark, sf_dir):
     return block_rows(packed)
 
 
+@query(f"""WITH {PACKED}, {blocks('positions', 64, 100)}, numbered AS (SELECT *, row_number() OVER (ORDER BY batch, block) - 1 AS block_id FROM blocks)
+SELECT block_id, n, md5(ids) AS ids_md5 FROM numbered WHERE block_id IN (SELECT doc_id FROM labels)""")
+def select_blocks(spark, sf_dir):
+    """Blocks saved with an index and read back by number; the doc_ids of ``labels`` serve as the list."""
+    packed = pack.pack_shuffled(encoded(spark, sf_dir), 64, 100)
+    numbered = with_position(packed, ["batch", "block"], F.col("batch"), "block_id")
+    path = scratch_path(spark, "indexed")
+    indexed.save_indexed(numbered.select("block_id", "input_ids"), path, "block_id")
+    found = indexed.rows_at(spark, path, "block_id", table(spark, sf_dir, "labels").select(F.col("doc_id").alias("key")))
+    return found.select("block_id", F.size("input_ids").cast("bigint").alias("n"), ids_md5().alias("ids_md5"))
+
+
+@query(f"""WITH docs AS (SELECT doc_id::VARCHAR AS row_id, text FROM documents WHERE doc_id % 3 <> 1 OR doc_id % 2 = 0), {words('docs')}
+SELECT tok, count(*) AS n FROM (SELECT unnest(w) AS tok FROM words) GROUP BY tok""")
+def token_counts_incremental(spark, sf_dir):
+    """Token counts kept per file: counted once, then with one part of the folder replaced and one added; only these are read again."""
+    folder, kept = scratch_path(spark, "arriving"), scratch_path(spark, "counts")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (F.col("doc_id") % 3).alias("part"))
+    write = lambda rows: rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(folder)
+
+    def counted():
+        each = lambda rows: rows.select("_file", F.explode(tokens_of(F.col("text"))).alias("tok"), F.lit(1).alias("n"))
+        return refreshed_sums(spark, folder, kept, each, {"tok": "string"}, ["n"])
+
+    write(docs.where("part != 2"))
+    counted()
+    write(docs.where("part = 2 OR part = 1 AND doc_id % 2 = 0"))
+    return counted()
+
+
 @query(f"WITH {PACKED}, {blocks('positions', 2048, 2, True)} {BLOCK_ROWS}")
 def pack_blocks_keep_short(spark, sf_dir):
     packed = pack.pack_blocks(shuffled_positions(encoded(spark, sf_dir)), 2048, 2, keep_short=True)
