@@ -302,14 +302,16 @@ def sample(docs: DataFrame, usable: Column, texts: int = TEXTS, max_bytes: int =
     """
     known = docs.select("doc_id", "lang").where(usable & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     sizes = known.groupBy("lang").count()
-    texts = min(texts, max(LEAST, SAMPLE // max(1, sizes.count())))
+    languages = sizes.count()
+    texts = min(texts, max(LEAST, SAMPLE // max(1, languages)))
+    small = F.broadcast if languages <= 10_000 else lambda df: df  # of more languages Spark decides
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) * F.col("count") < F.lit(8 * texts * (1 << 20))
-    thin = known.join(sizes, "lang").where(chance | (F.col("count") < 8 * texts)).select("doc_id", "lang").distinct()
+    thin = known.join(small(sizes), "lang").where(chance | (F.col("count") < 8 * texts)).select("doc_id", "lang").distinct()
     order = F.md5(F.col("doc_id").cast("string"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))
     chosen = thin.withColumn("__rank", rank).where(F.col("__rank") <= texts).select("doc_id", "lang")
     whole = docs.select("doc_id", "lang", "text").where(F.octet_length("text").between(1, max_bytes))
-    rows = whole.join(chosen, ["doc_id", "lang"])
+    rows = whole.join(small(chosen), ["doc_id", "lang"])
     # Several rows of one id and language do not make the sample larger.
     one = rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).orderBy(order, "doc_id", "lang")
     return [(r["text"], r["lang"]) for r in one.collect()]

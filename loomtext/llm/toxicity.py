@@ -132,9 +132,8 @@ class Index:
             best_at, best = best_at[order], best[order]
         return best_at, best
 
-    def votes(self, counts: Counter, k: int = NEIGHBOURS) -> tuple[float, float, float]:
-        """Share of the votes for class 1, weighted by the square of the cosine; the nearest of class 1; that there is one."""
-        at, cosine = self.nearest(counts, k)
+    def votes(self, at: np.ndarray, cosine: np.ndarray) -> tuple[float, float, float]:
+        """Of the nearest examples: share of the votes for class 1, weighted by the square of the cosine; the nearest of class 1; that there is one."""
         if not len(at):
             return 0.0, 0.0, 0.0
         ones, weight = self.classes[at] == 1, cosine**2
@@ -183,7 +182,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, usable: Column, examples
     total, *frequency = document_frequencies(docs, terms)
     built = Index.build(terms, np.log((total + 1) / (np.array(frequency) + 1)) + 1, index)
     vocabulary = Vocabulary(terms)
-    votes = np.array([built.votes(vocabulary.counts(t)) for _, t, _ in hold])
+    votes = np.array([built.votes(*built.nearest(vocabulary.counts(t))) for _, t, _ in hold])
     weights, built.offset = logistic.fit(votes, np.array([c for _, _, c in hold], dtype=float), ridge=1e-3)
     built.weights = tuple(weights)
     return built
@@ -205,11 +204,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, parts: int = 5, held: in
         index = Index(**shared.value)
         vocabulary = Vocabulary(index.terms)
         for texts in batches:
-            counted = [vocabulary.counts(t) for t in texts]
-            votes = np.array([index.votes(c) for c in counted]).reshape(-1, 3)
-            near = [index.nearest(c, 3) for c in counted]
+            near = [index.nearest(vocabulary.counts(t)) for t in texts]
+            votes = np.array([index.votes(*n) for n in near]).reshape(-1, 3)
             evidence = [
-                [{"doc_id": int(index.ids[a]), "cosine": float(v)} for a, v in zip(at, cosine, strict=True)] for at, cosine in near
+                [{"doc_id": int(index.ids[a]), "cosine": float(v)} for a, v in zip(at[:3], cosine[:3], strict=True)] for at, cosine in near
             ]
             yield pd.DataFrame({"score": index.probability(votes), "evidence": evidence})
 
