@@ -82,11 +82,11 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
 
     ``size`` is the number of words (null text: 0). A source's stream is its documents in the order of a hash of their ids; the
     mix takes it as often as its target wants, the last time up to the target, a document whole or not at all: it is taken if more
-    than half of it lies below the target. ``positions`` has the training times of the copies. A null source is a source, the last; null
-    ids share one place of the order. Rows alike in id, text and size have their turns in any order, with the same result. An empty table
+    than half of it lies below the target. ``positions`` has the training times of the copies. A null source is a source, the last; of null
+    ids the texts are hashed. Rows alike in id, text and size have their turns in any order, with the same result. An empty table
     gives an empty result, a source without words a target of 0. Columns of the result's names are replaced.
     """
-    hashed = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    hashed = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.xxhash64("text").cast("string")))
     sized = (
         docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint"))
         .withColumn("__order", hashed)
@@ -134,9 +134,10 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
 
 
 def training_order(docs: DataFrame, **settings) -> DataFrame:
-    """The documents in the order of training, each as often as it is taken, with the columns of ``docs``."""
-    copies = mix(docs, **settings).select(*docs.columns, F.explode("positions").alias("__position"))
-    return copies.repartitionByRange("__position").sortWithinPartitions("__position", "doc_id").drop("__position")
+    """The documents in the order of training, each as often as it is taken, with the columns of ``docs`` as they are, whatever their names."""
+    whole = docs.select("doc_id", "source", "text", F.struct("*").alias("document"))
+    copies = mix(whole, **settings).select("doc_id", "document", F.explode("positions").alias("position"))
+    return copies.repartitionByRange("position").sortWithinPartitions("position", "doc_id").select("document.*")
 
 
 def in_training_order(docs: DataFrame) -> DataFrame:

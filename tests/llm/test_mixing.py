@@ -99,3 +99,19 @@ def test_empty_tables_and_sources_without_words(spark):
     assert mixing.training_order(empty_documents(spark)).collect() == []
     blank = spark.createDataFrame([(1, None, None), (2, "  ", "a")], "doc_id bigint, text string, source string")
     assert [(r["taken"], r["target"], r["positions"]) for r in mixing.mix(blank).collect()] == [(0, 0.0, [])] * 2
+
+
+def test_training_order_keeps_the_users_columns(spark):
+    docs = odd_documents(spark).selectExpr("*", "77 AS size", "'t' AS target", "'p' AS positions", "1 AS position", "'x' AS __start", "2 AS document", "3L AS source_size")
+    rows = mixing.training_order(docs)
+    assert rows.columns == docs.columns and rows.schema == docs.schema
+    assert {(r["size"], r["target"], r["positions"], r["__start"], r["document"]) for r in rows.collect()} == {(77, "t", "p", "x", 2)}
+
+
+def test_null_ids_are_spread_over_the_order(spark):
+    docs = spark.range(600).selectExpr("IF(id % 3 = 0, NULL, id) AS doc_id", "concat('word ', id) AS text", "'one' AS source")
+    from pyspark.sql import functions as F
+
+    slices = docs.where("doc_id IS NULL").select(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.xxhash64("text").cast("string"))), 1, 3).alias("s"))
+    assert slices.distinct().count() > 150
+    assert sum(r["taken"] for r in mixing.mix(docs).collect()) == 1800

@@ -84,3 +84,13 @@ def test_sql_is_valid(name):
     for t in ("documents", "pages", "labels"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     assert con.sql(oracle_sql()[name]).fetchall()
+
+
+def test_stages_keep_columns_of_their_own_names(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    own = docs.selectExpr("*", "'mine' AS score", "'mine' AS held_out", "'mine' AS predicted", "'mine' AS document")
+    own = own.union(own.limit(3)).union(own.limit(1).selectExpr("NULL", "NULL", "lang", "source", "n_chars", "score", "held_out", "predicted", "document"))
+    for name, stage in corpus_pipeline.STAGES[:2]:
+        after = stage(spark, own, SF)
+        assert after.columns == own.columns and after.schema == own.schema, name
+        assert {(r["score"], r["held_out"], r["predicted"]) for r in after.collect()} <= {("mine", "mine", "mine")}
