@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loomtext.llm import exact, mixing, packing, quality, simhash
 from loomtext.llm.common import saved
@@ -22,8 +23,9 @@ ORACLE_SQL = None
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier scores at least 0.7 stay."""
-    scored = quality.score_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return scored.where("predicted = 1").select(*docs.columns)
+    whole = docs.select("doc_id", "text", F.struct("*").alias("document"))  # keeps columns that are named like those of the score
+    scored = quality.score_documents(whole, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.where("predicted = 1").select("document.*")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
