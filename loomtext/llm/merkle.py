@@ -3,7 +3,8 @@
 A paragraph is a line; its node is the SHA-256 of its text. A section is a run of ``SECTION`` paragraphs; its node is the SHA-256
 of theirs. The root covers the section nodes and is the fingerprint: texts are equal exactly if their roots are. Where roots
 differ, only sections that differ are looked into, which gives the paragraphs that were edited. Below a paragraph
-lie 64-bit marks of runs of words, the measure of how much of two texts is alike.
+lie chunks of words, the lowest nodes, each with a 64-bit mark: a chunk ends where a word ends in certain letters, so a word that is put in, taken out or changed
+changes its own chunk and no other. How many of these nodes two trees share is how much of the texts is alike.
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ from pyspark.sql.window import Window
 from loomtext.llm.common import saved
 from loomtext.llm.sharding import count_below, lookup, order_key, splitters
 
-#: Paragraphs of a section, words of a mark.
-SECTION, RUN = 8, 3
+#: Paragraphs of a section, most words of a chunk, and characters after which a word without an end is cut.
+SECTION, RUN, LONG = 8, 8, 24
+#: Characters that end a chunk where they end a word: about a third of the words of a European text do.
+ENDS = "en0-3.!?\u3002\uff01\uff1f"
 #: Bytes of neighbouring documents that one task looks at together; at most so many ranges.
 RANGE_BYTES, RANGES = 8 << 20, 8192
 
@@ -40,9 +43,10 @@ def root(nodes: Column) -> Column:
 
 
 def marks(text: Column, run: int = RUN) -> Column:
-    """64-bit marks of the runs of words of every line, in order; a run ends with its line."""
-    runs = F.regexp_extract_all(text, F.lit(rf"(?:[^\x20\x0A]+\x20*){{1,{run}}}|\x0A"), F.lit(0))
-    return F.transform(runs, lambda r: F.xxhash64(r))
+    """64-bit marks of the chunks of every line, in order; a chunk ends with its line at the latest. Line ends are chunks."""
+    word = rf"[^\x20\x0A]{{1,{LONG}}}+"
+    chunk = rf"(?:{word}(?<![{ENDS}])\x20++){{0,{run - 1}}}{word}\x20*+|\x20++|\x0A"
+    return F.transform(F.regexp_extract_all(text, F.lit(chunk), F.lit(0)), lambda r: F.xxhash64(r))
 
 
 def likeness(one: Column, other: Column) -> Column:

@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 from pyspark.sql import functions as F
 
@@ -74,7 +75,23 @@ def test_likeness_follows_the_share_that_stays(spark):
     pairs = [(words, words[:300] + [f"v{i}" for i in range(100)]), (words, [f"v{i}" for i in range(400)]), (words, ["new", *words])]
     df = spark.createDataFrame([(" ".join(a), " ".join(b)) for a, b in pairs], "a string, b string")
     near = [r[0] for r in df.select(merkle.likeness(merkle.marks(F.col("a")), merkle.marks(F.col("b")))).collect()]
-    assert 0.7 <= near[0] <= 0.8 and near[1] == 0 and near[2] < 0.5
+    assert 0.7 <= near[0] <= 0.8 and near[1] == 0 and near[2] > 0.95
+
+
+def test_chunks_cover_every_character_and_one_edit_changes_few(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghinorst.,") for _ in range(rng.randint(1, 9))) for _ in range(600)]
+    line = " ".join(words)
+    put_in, taken_out = "new " + line, " ".join(words[:250] + words[251:])
+    unspaced = "".join(rng.choice("的一是不了在人有我他这") for _ in range(2000))
+    tail = unspaced[:1500] + "".join(rng.choice("中来上大为和国") for _ in range(500))
+    odd = "  two  spaces \n\n\tTab\n" + "x" * 100 + " end \n"
+    pairs = [(line, put_in), (line, taken_out), (unspaced, tail), (odd, odd)]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    near = [r[0] for r in df.select(merkle.likeness(merkle.marks(F.col("a")), merkle.marks(F.col("b")))).collect()]
+    assert near[0] > 0.97 and near[1] > 0.97 and 0.7 < near[2] < 0.8 and near[3] == 1
+    changed = spark.createDataFrame([(odd, odd[:i] + "#" + odd[i + 1 :]) for i in range(len(odd))], "a string, b string")
+    assert changed.where(merkle.marks(F.col("a")) == merkle.marks(F.col("b"))).count() == 0  # no character is in no chunk
 
 
 def test_empty_table(spark):
