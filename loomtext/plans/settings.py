@@ -41,11 +41,11 @@ class Preparation:
 # end of a text; the last two leave the trainer's default, and the tokenizer that packed the published corpus had neither.
 VARIANTS = {
     "single_source": Preparation(
-        use_qa=False, shuffle=False, length_high=None, normalization="nfkc_cf", block_size=512, batch_rows=1000, holdout="none",
+        use_qa=False, shuffle=False, length_high=None, normalization="nmt_nfkc_cf", block_size=512, batch_rows=1000, holdout="none",
     ),
-    "two_source": Preparation(length_high=None, normalization="nfkc_cf", batch_rows=1000, holdout="share"),
-    "dual_gpu": Preparation(normalization="nfkc_cf", batch_rows=5000, keep_short=True, holdout="head"),
-    "consumer_gpu": Preparation(normalization="nfkc", batch_rows=5000, holdout="head"),
+    "two_source": Preparation(length_high=None, normalization="nmt_nfkc_cf", batch_rows=1000, holdout="share"),
+    "dual_gpu": Preparation(normalization="nmt_nfkc_cf", batch_rows=5000, keep_short=True, holdout="head"),
+    "consumer_gpu": Preparation(normalization="nmt_nfkc", batch_rows=5000, holdout="head"),
     "published": Preparation(normalization="whitespace", append_eos=False, batch_rows=2000, holdout="random"),
 }
 

@@ -192,6 +192,16 @@ def normalize_text(spark, sf_dir):
     return rows.select("row_id", F.md5(normalize(F.col("text"), "nfkc_cf")).alias("text_md5"))
 
 
+@query(f"""WITH {CORPUS} SELECT row_id, md5(regexp_replace({stripped("lower(text)")}, '[{WS}]+', ' ', 'g')) AS text_md5 FROM corpus""")
+def normalize_published(spark, sf_dir):
+    """The published rules undo what is done to the texts first: zero-width spaces for spaces, control characters, and wide letters for capitals."""
+    rows = corpus(spark, sf_dir)
+    capitals = "".join(map(chr, range(ord("A"), ord("Z") + 1)))
+    wide = "".join(chr(ord(c) + 0xFEE0) for c in capitals)
+    odd = F.translate(F.replace("text", F.lit(" "), F.lit("\x01\u200b\x7f")), capitals, wide)
+    return rows.select("row_id", F.md5(normalize(odd, "nmt_nfkc_cf")).alias("text_md5"))
+
+
 PUBLISHED = VARIANTS["published"]
 
 

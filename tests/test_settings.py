@@ -13,10 +13,10 @@ from loomtext.plans.settings import PUBLISHED_SAMPLES, VARIANTS, by_words
 
 # Variant: Q/A used, normalisation, end mark, block size, batch rows, short blocks kept, holdout.
 WANT = {
-    "single_source": (False, "nfkc_cf", True, 512, 1000, False, "none"),
-    "two_source": (True, "nfkc_cf", True, 1024, 1000, False, "share"),
-    "dual_gpu": (True, "nfkc_cf", True, 1024, 5000, True, "head"),
-    "consumer_gpu": (True, "nfkc", True, 1024, 5000, False, "head"),
+    "single_source": (False, "nmt_nfkc_cf", True, 512, 1000, False, "none"),
+    "two_source": (True, "nmt_nfkc_cf", True, 1024, 1000, False, "share"),
+    "dual_gpu": (True, "nmt_nfkc_cf", True, 1024, 5000, True, "head"),
+    "consumer_gpu": (True, "nmt_nfkc", True, 1024, 5000, False, "head"),
     "published": (True, "whitespace", False, 1024, 2000, False, "random"),
 }
 

@@ -1,6 +1,7 @@
 import unicodedata
 
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 
 from loomtext.functions import text as t
@@ -59,6 +60,36 @@ def test_normalize(spark, mode):
     assert column(spark, t.normalize(F.col("text"), mode), [*SAMPLES, None]) == [*[want(s) for s in SAMPLES], None]
 
 
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nmt_nfkc_cf"])
+def test_published_normalisation_of_every_character(spark, rule):
+    """Against the public normaliser, on every character alone between letters; a few are newer than one of the two Unicode tables."""
+    published = sentencepiece.SentencePieceNormalizer(rule_name=rule, add_dummy_prefix=False, escape_whitespaces=False, remove_extra_whitespaces=False)
+    known = [c for c in range(1, 0x20000) if unicodedata.category(chr(c)) not in ("Cn", "Cs", "Co")]
+    samples = [f"x {chr(c)} y" for c in known]
+    got = column(spark, t.normalize(F.col("text"), rule), samples)
+    want = [" ".join(published.normalize(s).split()) for s in samples]
+    odd = [hex(c) for c, a, b in zip(known, got, want, strict=True) if a != b and a.split() != b.split()]
+    assert len(odd) <= 12, odd
+    assert not {hex(ord(c)) for c in t.NMT_SPACES + t.NMT_REMOVED + t.FULL_TILDE + "ßẞﬁＡ㍿"} & set(odd)
+
+
+def test_published_rules_between_letters(spark):
+    published = sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc_cf", add_dummy_prefix=False, escape_whitespaces=False, remove_extra_whitespaces=False)
+    samples = [f"A{c}b" for c in t.NMT_SPACES + t.NMT_REMOVED + t.FULL_TILDE] + ["Straße ǅ e\u0301 ﬁn Ａ～Ｂ", "Ｈello\u200bＷorld\x01!", "ÀÉ “Quote” – 智能。", "½ ² ™"]
+    got = column(spark, t.normalize(F.col("text"), "nmt_nfkc_cf"), samples)
+    assert got == [" ".join(published.normalize(s).split()) for s in samples]
+    assert column(spark, t.nmt_rules(F.col("text")), ["a\x00b", None, ""]) == ["a\x00b", None, ""]
+
+
+def test_characters_that_stay_in_the_jvm_are_stable():
+    import re
+
+    stable = [chr(c) for c in range(0x10000) if re.match(f"[{t.STABLE}]", chr(c))]
+    assert all(unicodedata.normalize("NFKC", c) == c for c in stable)
+    assert all(unicodedata.normalize("NFKC", c.casefold()) == c.lower() and len(c.lower()) == 1 for c in stable)
+    assert not any(unicodedata.combining(c) for c in stable)
+
+
 def test_unknown_normalisation():
     with pytest.raises(ValueError):
         t.normalize(None, "nfd")
