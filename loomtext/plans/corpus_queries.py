@@ -11,6 +11,7 @@ from loomtext.plans.registry import query
 from loomtext.plans.sql_parts import ARTICLES, CORPUS, QA, shuffled, stripped
 from loomtext.plans.tables import articles, corpus, qa_pairs, table
 from loomtext.session import scratch_path
+from loomtext.sources import file_order
 from loomtext.sources.corpus import read_lines, unify_articles, unify_qa, write_lines
 
 N = f"length({stripped()})"
@@ -34,6 +35,19 @@ def prefix_slice_10pct(spark, sf_dir):
     return sample.prefix_slice(docs, 10, "doc_id").select("doc_id", F.md5("text").alias("text_md5"))
 
 
+@query("""WITH placed AS (SELECT doc_id, text, row_number() OVER () AS r, count(*) OVER () AS n FROM documents)
+SELECT doc_id, md5(text) AS text_md5 FROM placed WHERE r <= floor(n * 0.1::DOUBLE + 0.5)""")
+def prefix_slice_by_file(spark, sf_dir):
+    """The first tenth of the rows as they stand in the file, found without an id."""
+    rows = file_order.first_rows(spark, f"{sf_dir}/documents.parquet", 10)
+    return rows.select("doc_id", F.md5("text").alias("text_md5"))
+
+
+@query("SELECT doc_id, row_number() OVER () - 1 AS pos FROM documents")
+def file_position(spark, sf_dir):
+    return file_order.file_positions(spark, f"{sf_dir}/documents.parquet").select("doc_id", "pos")
+
+
 @query(f"WITH {ARTICLES} SELECT * FROM arts", "unify_articles")
 def unify_articles_text(spark, sf_dir):
     return unify_articles(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("completion")))
