@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loomtext.functions.text import collapse_whitespace, metaspace_words, normalize, tokens_of
-from loomtext.operators import checks, encode, ngrams, pack, sample, unigram, vocab
+from loomtext.operators import checks, encode, guards, ngrams, pack, sample, unigram, vocab
 from loomtext.operators.order import shuffled_positions, with_position
 from loomtext.plans import prepare
 from loomtext.plans.registry import query
@@ -311,6 +311,17 @@ def token_counts_incremental(spark, sf_dir):
     return counted()
 
 
+@query(f"""WITH {PACKED}, {blocks('positions', 64, 100)}
+SELECT count(*) AS blocks, sum(n)::BIGINT AS tokens, max(max_id)::BIGINT AS max_id, 0 AS bad_blocks, count(*) FILTER (n <> 64) AS wrong_size FROM blocks""")
+def guarded_blocks(spark, sf_dir):
+    """Blocks written under guard; what the guard saw in the job that wrote them."""
+    path = scratch_path(spark, "guarded")
+    found = guards.watched(pack.pack_shuffled(encoded(spark, sf_dir), 64, 100), guards.block_watch(V, 64), lambda rows: rows.write.parquet(path))
+    names = ["blocks", "tokens", "max_id", "bad_blocks", "wrong_size"]
+    row = spark.createDataFrame([tuple(int(found[n]) for n in names)], ", ".join(f"{n} bigint" for n in names))
+    return row.withColumn("bad_blocks", F.col("bad_blocks").cast("int"))
+
+
 @query(f"WITH {PACKED}, {blocks('positions', 2048, 2, True)} {BLOCK_ROWS}")
 def pack_blocks_keep_short(spark, sf_dir):
     packed = pack.pack_blocks(shuffled_positions(encoded(spark, sf_dir)), 2048, 2, keep_short=True)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomtext.functions.text import join_question_answer
+from loomtext.operators.guards import Watch, watched
 
 ARTICLE_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("completion", T.StringType())])
 QA_SCHEMA = T.StructType(
@@ -121,12 +122,13 @@ def input_state(spark: SparkSession, *paths: str) -> list[int]:
 
 
 def materialize(
-    spark: SparkSession, root: str, stage: str, params: dict, build: Callable[[], DataFrame], inputs: list[str] | None = None
+    spark: SparkSession, root: str, stage: str, params: dict, build: Callable[[], DataFrame], inputs: list[str] | None = None, watch: Watch | None = None,
 ) -> DataFrame:
     """Compute a stage once per parameter set and state of its input files, and read it back afterwards.
 
     Both are part of the path, so a changed parameter or input never reuses old rows. They are also
-    noted in a second folder once the rows are written; without that note the stage is built again.
+    noted in a second folder once the rows are written; without that note the stage is built again. What ``watch`` refuses is
+    written but not noted, so it is never read back.
     """
     state = input_state(spark, *inputs) if inputs else []
     settings = json.dumps({"params": params, "inputs": state}, sort_keys=True, ensure_ascii=False)
@@ -136,6 +138,10 @@ def materialize(
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        build().write.mode("overwrite").parquet(path)
+        write = lambda rows: rows.write.mode("overwrite").parquet(path)
+        if watch is None:
+            write(build())
+        else:
+            watched(build(), watch, write)
         spark.createDataFrame([(settings,)], "value string").write.mode("overwrite").text(f"{path}.done")
     return spark.read.parquet(path)
