@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loomtext.functions.text import collapse_whitespace, metaspace_words, normalize, tokens_of
-from loomtext.operators import checks, encode, guards, ngrams, pack, sample, unigram, vocab
+from loomtext.operators import backoff, checks, encode, guards, ngrams, pack, sample, unigram, vocab
 from loomtext.operators.order import shuffled_positions, with_position
 from loomtext.plans import prepare
 from loomtext.plans.registry import query
@@ -510,6 +510,41 @@ def heldout_cross_entropy(spark, sf_dir):
     )
 
 
+def backoff_sql(n: int) -> str:
+    """Modified Kneser-Ney of order ``n`` over ``grams(w1..wn, c, asked)``: a table, its discounts and its contexts per order, then the chain of shares."""
+    ws = lambda a, b, t="": ", ".join(f"{t}w{i}" for i in range(a, b + 1))
+    parts = [f"t{n} AS (SELECT {ws(1, n)}, c FROM grams WHERE c > 0)"]
+    for k in range(n - 1, 0, -1):
+        shorter = ", ".join(f"w{i + 1} AS w{i}" for i in range(1, k + 1))
+        parts.append(f"t{k} AS (SELECT {shorter}, count(*) AS c FROM t{k + 1} GROUP BY {', '.join(f'w{i + 1}' for i in range(1, k + 1))})")
+    for k in range(1, n + 1):
+        parts.append(f"""n{k} AS (SELECT {", ".join(f"count(*) FILTER (c = {i})::DOUBLE AS n{i}" for i in range(1, 5))} FROM t{k}),
+d{k} AS (SELECT {", ".join(f"coalesce(nullif(greatest({i} - {i + 1} * n1 / nullif(n1 + 2 * n2, 0) * n{i + 1} / nullif(n{i}, 0), 0), 0), 0.75) AS d{i}" for i in (1, 2, 3))} FROM n{k}),
+s{k} AS (SELECT t{k}.*, CASE c WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END AS off FROM t{k}, d{k}),
+c{k} AS (SELECT {ws(1, k - 1) + "," if k > 1 else ""} sum(c)::DOUBLE AS total, sum(off) AS saved FROM s{k} {"GROUP BY " + ws(1, k - 1) if k > 1 else ""})""")
+    parts.append(f"p0 AS (SELECT {ws(1, n)}, asked, 1 / {V}::DOUBLE AS p FROM grams WHERE asked > 0)")
+    for k in range(1, n + 1):
+        same = " AND ".join(f"s.w{i} = p.w{n - k + i}" for i in range(1, k + 1))
+        context = " AND ".join(f"c.w{i} = p.w{n - k + i}" for i in range(1, k)) or "true"
+        parts.append(f"""p{k} AS (SELECT {ws(1, n, "p.")}, asked, CASE WHEN total > 0 THEN (coalesce(s.c - s.off, 0) + saved * p.p) / total ELSE p.p END AS p
+FROM p{k - 1} p LEFT JOIN s{k} s ON {same} LEFT JOIN c{k} c ON {context})""")
+    return ",\n".join(parts)
+
+
+@query(f"""WITH {PAIRS},
+p AS (SELECT batch, block, {shuffled('blocks', BLOCK_NAME)} AS pos, count(*) OVER () AS n_rows FROM blocks),
+runs AS (SELECT batch, block, id AS w1, lead(id) OVER b AS w2, lead(id, 2) OVER b AS w3 FROM in_blocks WINDOW b AS (PARTITION BY batch, block ORDER BY i)),
+sided AS (SELECT w1, w2, w3, pos < ceil(n_rows * 0.02::DOUBLE) AS test FROM runs JOIN p USING (batch, block) WHERE w3 IS NOT NULL),
+grams AS (SELECT w1, w2, w3, count(*) FILTER (NOT test) AS c, count(*) FILTER (test) AS asked FROM sided GROUP BY ALL),
+{backoff_sql(3)}
+SELECT sum(asked)::BIGINT AS ngrams, round(sum(-asked * ln(p)) / sum(asked), 6) AS cross_entropy FROM p3""")
+def heldout_backoff_entropy(spark, sf_dir):
+    """The loss of the split of ``heldout_cross_entropy`` by a model of three words with back-off."""
+    named = blocks_of(spark, sf_dir, PACKED_1024).select(F.concat_ws(":", "batch", "block").alias("row_id"), "input_ids")
+    found = backoff.backoff_loss(frozen(sample.train_test_split(frozen(named))), V, 3)
+    return found.select("ngrams", F.round("cross_entropy", 6).alias("cross_entropy"))
+
+
 @query(f"""WITH {ENCODED_NO_EOS},
 pairs AS (SELECT row_id, id AS prev, lead(id) OVER (PARTITION BY row_id ORDER BY i) AS next FROM ids),
 s AS (SELECT row_id, 1 - count(DISTINCT (prev, next))::DOUBLE / count(*) AS share FROM pairs
