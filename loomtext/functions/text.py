@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import unicodedata
-from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -86,9 +85,14 @@ def simple_fold(char: str) -> str:
     return char
 
 
-@cache
+# Filled where it is needed: a cached function would not travel to the executors by value.
+_FOLDS: dict[int, str] = {}
+
+
 def _folds() -> dict[int, str]:
-    return {c: f for c in range(0x20000) if (f := simple_fold(chr(c))) != chr(c)}
+    if not _FOLDS:
+        _FOLDS.update({c: f for c in range(0x20000) if (f := simple_fold(chr(c))) != chr(c)})
+    return _FOLDS
 
 
 def _composed(text: str, fold: str) -> str:
