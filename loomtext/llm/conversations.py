@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from itertools import count, pairwise
 
 import pyarrow as pa
@@ -161,9 +160,20 @@ def audit(kinds: str, begin: int, end: int) -> list[str]:
     return [step.letters[a][b] for step, (a, b) in zip(steps, pairwise(crossings(steps, begin, end)), strict=True)]
 
 
-@lru_cache(1 << 14)
+#: Repairs a task remembers; most conversations are of few kinds. A plain table, as it travels to the executors by value.
+REMEMBERED, _known = 1 << 14, {}
+
+
 def repaired(kinds: str) -> tuple[int, tuple[str, ...]]:
     """Cost and letters of a whole conversation, the last ones for its end."""
+    if kinds not in _known:
+        if len(_known) >= REMEMBERED:
+            _known.clear()
+        _known[kinds] = _repaired(kinds)
+    return _known[kinds]
+
+
+def _repaired(kinds: str) -> tuple[int, tuple[str, ...]]:
     steps = [*(STEPS[k] for k in kinds), END]
     states = crossings(steps, START, START)
     taken = list(zip(steps, pairwise(states), strict=True))
