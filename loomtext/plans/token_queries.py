@@ -15,7 +15,7 @@ from loomtext.plans.registry import query
 from loomtext.plans.settings import VARIANTS, Preparation, by_words
 from loomtext.plans.sql_parts import CORPUS, M, WS, blocks, ids, prepared, shuffled, stripped, vocab as vocab_sql, words
 from loomtext.plans.tables import articles, corpus, qa_pairs, table
-from loomtext.session import ensure_checkpoint_dir, frozen, scratch_path
+from loomtext.session import ensure_checkpoint_dir, frozen, scratch_path, written
 from loomtext.sources import indexed
 from loomtext.sources.corpus import materialize, unify_qa
 from loomtext.sources.incremental import refreshed_sums
@@ -541,7 +541,7 @@ SELECT sum(asked)::BIGINT AS ngrams, round(sum(-asked * ln(p)) / sum(asked), 6)
 def heldout_backoff_entropy(spark, sf_dir):
     """The loss of the split of ``heldout_cross_entropy`` by a model of three words with back-off."""
     named = blocks_of(spark, sf_dir, PACKED_1024).select(F.concat_ws(":", "batch", "block").alias("row_id"), "input_ids")
-    found = backoff.backoff_loss(frozen(sample.train_test_split(frozen(named))), V, 3)
+    found = backoff.backoff_loss(sample.train_test_split(written(named, "blocks")), V, 3)
     return found.select("ngrams", F.round("cross_entropy", 6).alias("cross_entropy"))
 
 

@@ -54,3 +54,10 @@ def frozen(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows are computed once and survive the loss of executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as a table below the checkpoint folder, and read back: columns that a later step leaves out are not read, and rows are compressed."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -76,3 +76,18 @@ def test_nothing_asked_or_learned(spark):
     alone = spark.createDataFrame([("test", [1, 2, 3])], "split string, input_ids array<int>")
     found = backoff.backoff_loss(alone, 10, 3).first()
     assert found["ngrams"] == 1 and math.isclose(found["cross_entropy"], math.log(10))
+
+
+def test_ngrams_are_counted_once(spark, monkeypatch):
+    """However many orders read the counts, the texts are cut into n-grams by one job, which writes them."""
+    rows = [("train", r) for r in rows_of(5, 8)] + [("test", r) for r in rows_of(6, 2)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def watch(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame(rows, "split string, input_ids array<int>").repartition(2).mapInArrow(watch, "split string, input_ids array<int>")
+    backoff.backoff_loss(df, 20, 3).first()
+    assert seen.value == len(rows)
