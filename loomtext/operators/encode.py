@@ -22,6 +22,8 @@ IDS = T.ArrayType(T.IntegerType())
 STRINGS = T.ArrayType(T.StringType())
 # Rows of one item that are joined in one place, or that share of all rows, if it is more; so at most 10,000 items are dealt out.
 HOT_ROWS, HOT_SHARE = 1_000_000, 1e-4
+# Tokens of a batch that are looked up in one call; what a call makes besides its result grows with them, not with the batch.
+AT_ONCE = 1 << 18
 
 
 def _offsets(lengths: np.ndarray) -> np.ndarray:
@@ -55,8 +57,11 @@ def word_ids(words: Column, vocab: DataFrame | Broadcast, append_eos: bool = Tru
 
     @F.arrow_udf(IDS)
     def lookup(lists: pa.Array) -> pa.Array:
-        found = pc.index_in(lists.flatten(), value_set=pieces.value[len(SPECIAL_PIECES):])
-        ids = pc.fill_null(pc.add(found, len(SPECIAL_PIECES)), UNK_ID).to_numpy(zero_copy_only=False).astype(np.int32)
+        flat, known = lists.flatten(), pieces.value[len(SPECIAL_PIECES):]
+        ids = np.empty(len(flat), np.int32)
+        for at in range(0, len(flat), AT_ONCE):
+            found = pc.index_in(flat.slice(at, AT_ONCE), value_set=known)
+            ids[at : at + AT_ONCE] = pc.fill_null(pc.add(found, pa.scalar(len(SPECIAL_PIECES), pa.int32())), UNK_ID).to_numpy()
         lengths = _lengths(lists)
         ids, borders = _with_eos(ids, lengths) if append_eos else (ids, _offsets(lengths))
         return pa.ListArray.from_arrays(pa.array(borders), pa.array(ids, pa.int32()), mask=lists.is_null())
@@ -117,14 +122,18 @@ def id_pieces(ids: Column, vocab: DataFrame | Broadcast, keep_special: bool = Fa
 
     @F.arrow_udf(STRINGS)
     def lookup(lists: pa.Array) -> pa.Array:
-        values = pieces.value
-        ids = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
-        known = (ids >= lowest) & (ids < len(values))
-        lengths = _lengths(lists)
-        owner = np.repeat(np.arange(len(lengths)), lengths)
-        kept = np.bincount(owner[known], minlength=len(lengths))
-        taken = values.take(pa.array(ids[known]))
-        return pa.ListArray.from_arrays(pa.array(_offsets(kept)), taken, mask=lists.is_null())
+        flat, lengths, values = lists.flatten(), _lengths(lists), pieces.value
+        ends, kept, taken = np.cumsum(lengths, dtype=np.int64), np.zeros(len(lengths), np.int64), []
+        for at in range(0, len(flat), AT_ONCE):
+            ids = pc.fill_null(flat.slice(at, AT_ONCE), -1).to_numpy(zero_copy_only=False)
+            known = np.flatnonzero((ids >= lowest) & (ids < len(values)))
+            # The rows these ids lie in; only rows that end or begin here are counted.
+            first, last = np.searchsorted(ends, [at, at + len(ids) - 1], side="right")
+            borders = np.clip(ends[first : last + 1] - at, 0, len(ids))
+            kept[first : last + 1] += np.diff(np.searchsorted(known, borders), prepend=0)
+            taken.append(values.take(pa.array(ids[known])))
+        whole = pa.concat_arrays(taken) if taken else pa.array([], pa.string())
+        return pa.ListArray.from_arrays(pa.array(_offsets(kept)), whole, mask=lists.is_null())
 
     return lookup(ids)
 

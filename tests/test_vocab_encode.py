@@ -158,3 +158,20 @@ def test_guards(spark):
     assert checks.require_corpus_bytes(df, 15) == 15
     with pytest.raises(RuntimeError, match="15 bytes"):
         checks.require_corpus_bytes(df)
+
+
+def test_a_batch_is_looked_up_in_parts(spark, monkeypatch):
+    """What a lookup makes besides its result is bounded by ``AT_ONCE`` tokens, whatever the batch; parts may end inside a row."""
+    asked = []
+    real = encode.pc.index_in
+    monkeypatch.setattr(encode.pc, "index_in", lambda values, **how: (asked.append(len(values)), real(values, **how))[1])
+    monkeypatch.setattr(encode, "AT_ONCE", 3, raising=False)
+    monkeypatch.setattr(encode.F, "arrow_udf", lambda kind: lambda f: lambda column: f)
+    shared = type("Shared", (), {"value": encode.pa.array(["<pad>", "<unk>", "<s>", "</s>", "a", "b"])})
+    monkeypatch.setattr(encode, "shared_pieces", lambda found: shared)
+    rows = [["a", "b", "x", "a", "b", "a", "b"], None, [], ["b"], ["x", "x"], ["a", "x", "b"], []]
+    ids = encode.word_ids(F.lit(1), shared)(encode.pa.array(rows))
+    number = {"a": 4, "b": 5, "x": 1}
+    assert ids.to_pylist() == [None if r is None else [*map(number.get, r), 3] for r in rows]
+    assert encode.id_pieces(F.lit(1), shared)(ids).to_pylist() == [None if r is None else [w for w in r if w != "x"] for r in rows]
+    assert max(asked) <= 3
