@@ -141,7 +141,7 @@ def normalize(text: Column, mode: str = "nfkc_cf") -> Column:
 
 def metaspace(text: Column) -> Column:
     """Mark the text start and every space; empty text stays empty."""
-    return F.regexp_replace(F.replace(text, F.lit(" "), F.lit(METASPACE)), "(?s)^(?=.)", METASPACE)
+    return F.when(text == "", text).otherwise(F.concat(F.lit(METASPACE), F.replace(text, F.lit(" "), F.lit(METASPACE))))
 
 
 def metaspace_words(text: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from loomtext.functions.text import tokens_of
+from loomtext.functions.text import METASPACE, normalize, script_tokens
 
 # The reserved pieces; the id of each is its place in this list.
 SPECIAL_PIECES = ["<pad>", "<unk>", "<s>", "</s>"]
@@ -37,8 +37,14 @@ def token_rows(docs: DataFrame, words: Column, *keep: str) -> DataFrame:
 
 
 def token_counts(docs: DataFrame, mode: str = "whitespace") -> DataFrame:
-    """``(tok, n)`` over all texts; counted per task before the shuffle, so a hot word is one row per task."""
-    return token_rows(docs, tokens_of(F.col("text"), mode)).groupBy("tok").agg(F.count("*").alias("n"))
+    """``(tok, n)`` over all texts; counted per task before the shuffle, so a hot word is one row per task.
+
+    Words between spaces are counted first and only the different ones are cut where the script changes: no token spans a space.
+    """
+    plain = docs.select(normalize(F.col("text"), mode).alias("_plain"))
+    words = token_rows(plain, F.when(F.col("_plain") != "", F.split("_plain", " "))).groupBy("tok").agg(F.count("*").alias("n"))
+    cut = script_tokens(F.concat(F.lit(METASPACE), F.col("tok")))
+    return token_rows(words, cut, "n").groupBy("tok").agg(F.sum("n").alias("n"))
 
 
 def special_rows(spark: SparkSession) -> DataFrame:
