@@ -12,6 +12,42 @@ MAX_PIECE = 16
 UNKNOWN_PENALTY = 10.0
 # Cells of the tables that are held at a time.
 CELLS = 1 << 21
+# More than there are code points.
+CODES = 0x110000
+
+
+class Keys:
+    """Places of whole numbers in a list of different ones, by a table of slots that is a quarter full at most."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(4, (4 * len(keys)).bit_length())
+        self.slots = np.full(1 << self.bits, -1, np.int64)  # the key of each slot
+        self.places = np.full(1 << self.bits, -1, np.int64)
+        left, at = np.arange(len(keys)), self._first(keys)
+        while len(left):
+            free = self.places[at] < 0
+            self.places[at[free]] = left[free]
+            beaten = self.places[at] != left
+            won = ~beaten
+            self.slots[at[won]] = keys[left[won]]
+            left, at = left[beaten], (at[beaten] + 1) & (len(self.slots) - 1)
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 where it is not listed."""
+        at = self._first(keys)
+        there = self.slots[at]
+        found = np.where(there == keys, self.places[at], -1)
+        left = np.flatnonzero((there != keys) & (there >= 0))
+        while len(left):
+            at[left] = (at[left] + 1) & (len(self.slots) - 1)
+            there = self.slots[at[left]]
+            hit = there == keys[left]
+            found[left[hit]] = self.places[at[left[hit]]]
+            left = left[~hit & (there >= 0)]
+        return found
 
 
 class Pieces:
@@ -23,6 +59,25 @@ class Pieces:
         unknown = (known.min() if len(known) else 0.0) - UNKNOWN_PENALTY
         # The last two: a character that is no piece, and a longer part that is none.
         self.scores = np.concatenate([known, [unknown, -np.inf]])
+        self._grow([p for p in self.number if len(p) <= MAX_PIECE])
+
+    def _grow(self, pieces: list[str]) -> None:
+        """The tree of the beginnings of the pieces: a node is found by the one before it and a character; nodes are numbered depth by depth."""
+        lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        codes = _codes(pieces, MAX_PIECE)
+        numbers = np.fromiter((self.number[p] for p in pieces), dtype=np.int64, count=len(pieces))
+        node, keys, nodes, ends = np.zeros(len(pieces), np.int64), [], 1, []
+        for depth in range(1, MAX_PIECE + 1):
+            long = lengths >= depth
+            new, place = np.unique(node[long] * CODES + codes[long, depth - 1], return_inverse=True)
+            node[long] = nodes + place
+            piece = np.full(len(new), -1, np.int64)
+            whole = lengths == depth
+            piece[node[whole] - nodes] = numbers[whole]
+            keys.append(new)
+            ends.append(piece)
+            nodes += len(new)
+        self.tree, self.piece = Keys(np.concatenate(keys)), np.concatenate(ends)
 
     def batches(self, words: Sequence[str]) -> Iterator[tuple[np.ndarray, int]]:
         """(places in ``words``, length) of words of one length, as many as the tables may hold."""
@@ -36,15 +91,29 @@ class Pieces:
 
     def edges(self, words: Sequence[str], size: int, whole: bool = True) -> list[np.ndarray]:
         """For every end from 1 the pieces that stop there, the shortest first: one column each. ``whole`` admits the word itself."""
-        get, k = self.number.get, len(self.number)
-        found = []
-        for end in range(1, size + 1):
-            starts = range(end - 1, max(0, end - MAX_PIECE) - 1, -1)
-            column = np.array([[get(w[s:end], k if s == end - 1 else k + 1) for s in starts] for w in words], dtype=np.int64)
-            if end == size <= MAX_PIECE and not whole and size > 1:
-                column[:, -1] = k + 1
-            found.append(column)
-        return found
+        k = len(self.number)
+        many = len(words)
+        table = np.full((many, size, min(size, MAX_PIECE)), k + 1, dtype=np.int64)
+        table[:, :, 0] = k
+        codes = _codes(words, size).astype(np.int64).ravel()
+        begin = np.arange(many * size)  # row and first character
+        room, node = size - begin % size, np.zeros(many * size, np.int64)
+        for length in range(1, table.shape[2] + 1):
+            place = self.tree.find(node * CODES + codes[begin + length - 1])
+            live = place >= 0
+            piece = self.piece[place[live]]
+            known = piece >= 0
+            table.reshape(-1, table.shape[2])[begin[live][known] + length - 1, length - 1] = piece[known]
+            live &= room > length
+            begin, room, node = begin[live], room[live], place[live] + 1
+        if size <= MAX_PIECE and not whole and size > 1:
+            table[:, size - 1, size - 1] = k + 1
+        return [table[:, end - 1, : min(end, MAX_PIECE)] for end in range(1, size + 1)]
+
+
+def _codes(words: Sequence[str], size: int) -> np.ndarray:
+    """One row of ``size`` code points a word, zeros behind its end."""
+    return np.array(words, dtype=f"<U{size}").reshape(-1).view("<u4").reshape(len(words), size)
 
 
 def _log_sum(values: np.ndarray) -> np.ndarray:

@@ -180,3 +180,22 @@ def test_bounds(docs):
         unigram.unigram_vocab(docs, size=10, coverage=1.0)
     with pytest.raises(ValueError, match="beyond"):
         unigram.unigram_vocab(docs, size=10**6)
+
+
+def test_edges_come_from_a_tree_that_ends_where_no_piece_goes_on(monkeypatch):
+    """Every substring that is a piece is found, and a beginning that no piece has is not followed any further."""
+    from loomtext.operators import lattice
+
+    pieces = ["a", "b", "ab", "abc", "bca", "x" * lattice.MAX_PIECE, "é", "ca"]
+    table = lattice.Pieces(pieces, [-1.0] * len(pieces))
+    asked = []
+    real = table.tree.find
+    monkeypatch.setattr(table.tree, "find", lambda keys: (asked.append(len(keys)), real(keys))[1])
+    for word in ("abcabé", "zzzzzzzzzzzzzzzzzzzzzzzz", "x" * 20, "a\0b"):
+        found = table.edges([word, word], len(word))
+        for end, column in enumerate(found, start=1):
+            want = [table.number.get(word[s:end], 8 if s == end - 1 else 9) for s in range(end - 1, max(0, end - lattice.MAX_PIECE) - 1, -1)]
+            assert column.tolist() == [want, want]
+    asked.clear()
+    table.edges(["z" * 24], 24)
+    assert sum(asked) == 24
