@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from loomtext.functions.text import tokens_of, unmark
 from loomtext.operators.vocab import EOS_ID, SPECIAL_PIECES, UNK_ID, TooLarge, pieces_of
+from loomtext.session import written
 
 IDS = T.ArrayType(T.IntegerType())
 STRINGS = T.ArrayType(T.StringType())
@@ -74,10 +75,11 @@ def looked_up(df: DataFrame, key: str, items: Column, table: DataFrame, hot_rows
 
     A join, for tables of any size. ``key`` names the rows of ``df`` uniquely, ``item`` those of the table. An item with over ``hot_rows`` rows (or ``HOT_SHARE`` of all, if that is more) is dealt to
     several places, as its table row is; at most the inverse of that share are, and only their hashes and numbers of places are broadcast.
-    Each array is put together by its key; the other columns travel once. A null array stays null.
+    Each array is put together by its key; the other columns travel once. A null array stays null. The arrays are made and written once, however often they are read.
     """
-    each = df.select(F.col(key).alias("_key"), F.posexplode(items).alias("_place", "item"))
-    total = df.agg(F.sum(F.greatest(F.size(items), F.lit(0)))).scalar()
+    kept = written(df.select(F.col(key).alias("_key"), items.alias("_items")), "items")
+    each = kept.select("_key", F.posexplode("_items").alias("_place", "item"))
+    total = kept.agg(F.sum(F.greatest(F.size("_items"), F.lit(0)))).scalar()
     most = F.greatest(F.lit(hot_rows), F.ceil(total * HOT_SHARE))
     counts = each.groupBy(F.xxhash64("item").alias("_hash")).agg(F.count("*").alias("n"))
     hot = F.broadcast(counts.where(F.col("n") > most).select("_hash", F.ceil(F.col("n") / most).alias("_places")))
@@ -85,11 +87,15 @@ def looked_up(df: DataFrame, key: str, items: Column, table: DataFrame, hot_rows
     ours = each.withColumn("_hash", F.xxhash64("item")).join(hot, "_hash", "left").withColumn("_salt", F.pmod(F.xxhash64("_key", "_place"), places))
     theirs = table.withColumn("_hash", F.xxhash64("item")).join(hot, "_hash", "left")
     theirs = theirs.select("item", "value", F.explode(F.sequence(F.lit(0).cast("bigint"), places - 1)).alias("_salt"))
-    found = ours.join(theirs, ["item", "_salt"], "left").select("_key", F.struct("_place", "value").alias("_one"), F.lit(None).alias("_row"))
-    rows = df.select(F.col(key).alias("_key"), F.lit(None).alias("_one"), F.struct("*", items.isNull().alias("_none")).alias("_row"))
-    whole = found.unionByName(rows).groupBy("_key").agg(F.first("_row", ignorenulls=True).alias("_row"), F.sort_array(F.collect_list("_one")).alias("_all"))
-    values = F.when(~F.col("_row._none"), F.transform("_all", lambda x: x["value"]))
-    return whole.select("_row.*", values.alias("_values")).drop("_none")
+    nothing = F.lit(None)
+    found = ours.join(theirs, ["item", "_salt"], "left").select("_key", F.struct("_place", "value").alias("_one"), nothing.alias("_row"), F.lit(False).alias("_none"))
+    rows = df.select(F.col(key).alias("_key"), nothing.alias("_one"), F.struct("*").alias("_row"), F.lit(False).alias("_none"))
+    nulls = kept.where("_items IS NULL").select("_key", nothing.alias("_one"), nothing.alias("_row"), F.lit(True).alias("_none"))
+    whole = found.unionByName(rows).unionByName(nulls).groupBy("_key").agg(
+        F.first("_row", ignorenulls=True).alias("_row"), F.sort_array(F.collect_list("_one")).alias("_all"), F.bool_or("_none").alias("_none")
+    )
+    values = F.when(~F.col("_none"), F.transform("_all", lambda x: x["value"]))
+    return whole.select("_row.*", values.alias("_values"))
 
 
 def encode_joined(docs: DataFrame, dictionary: DataFrame, append_eos: bool = True, mode: str = "whitespace", key: str = "row_id", hot_rows: int = HOT_ROWS) -> DataFrame:

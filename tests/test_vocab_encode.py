@@ -175,3 +175,19 @@ def test_a_batch_is_looked_up_in_parts(spark, monkeypatch):
     assert ids.to_pylist() == [None if r is None else [*map(number.get, r), 3] for r in rows]
     assert encode.id_pieces(F.lit(1), shared)(ids).to_pylist() == [None if r is None else [w for w in r if w != "x"] for r in rows]
     assert max(asked) <= 3
+
+
+def test_the_arrays_of_a_join_are_made_once(spark):
+    """Counting, dealing out and joining read the written arrays; the text is cut by one job."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def cut(text):
+        seen.add(1)
+        return None if text is None else text.split()
+
+    df = docs(spark, ["a b a", None, "", "b"])
+    table = spark.createDataFrame([("a", 1)], "item string, value int")
+    found = encode.looked_up(df, "row_id", cut("text"), table)
+    assert {int(r["row_id"]): r["_values"] for r in found.collect()} == {0: [1, None, 1], 1: None, 2: [], 3: [None]}
+    assert seen.value == 4
