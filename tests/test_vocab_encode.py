@@ -191,3 +191,13 @@ def test_the_arrays_of_a_join_are_made_once(spark):
     found = encode.looked_up(df, "row_id", cut("text"), table)
     assert {int(r["row_id"]): r["_values"] for r in found.collect()} == {0: [1, None, 1], 1: None, 2: [], 3: [None]}
     assert seen.value == 4
+
+
+def test_only_different_words_are_cut_by_script(spark):
+    df = docs(spark, ["a b-c a", "", None, "a  智能2024!", "x▁y ▁"])
+    for mode in ("whitespace", "none"):
+        found = vocab.token_counts(df, mode)
+        want = df.select(F.explode(encode.tokens_of(F.col("text"), mode)).alias("tok")).groupBy("tok").count()
+        assert {tuple(r) for r in found.collect()} == {tuple(r) for r in want.collect()}
+        cut, below = found._jdf.queryExecution().optimizedPlan().toString().split("regexp_extract_all", 1)
+        assert "Aggregate" in cut and "Aggregate" in below
