@@ -282,7 +282,7 @@ def generation_append(spark, sf_dir):
     for _ in range(2):  # the first batch comes twice, as after a failure
         append_generations(work.where(F.col("prompt_id") < 2), path, "first")
     append_generations(work.where(F.col("prompt_id") >= 2), path, "second")
-    schema = T.StructType([*work.drop("step").schema.fields, T.StructField("batch", T.StringType()), T.StructField("step", T.LongType())])
+    schema = T.StructType([*work.schema.fields, T.StructField("batch", T.StringType())])
     saved = spark.read.schema(schema).parquet(path)
     return saved.select("step", F.col("prompt_id").cast("bigint").alias("prompt_id"), "prompt")
 

@@ -103,10 +103,11 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def append_generations(samples: DataFrame, path: str, batch: str) -> None:
     """Add generated samples under the name of their batch; earlier ones stay readable.
 
-    A batch that is appended again, as after a failed job, replaces itself and leaves no second copy.
+    A batch that is appended again, as after a failed job, replaces itself and leaves no second copy. A batch is one folder, however
+    many steps it has; ``step`` is a column, and the rows of a file are in its order, so a reader of some steps can skip the rest.
     """
-    named = samples.withColumn("batch", F.lit(batch))
-    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "step").parquet(path)
+    named = samples.sortWithinPartitions("step").withColumn("batch", F.lit(batch))
+    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
 
 
 def files_below(spark: SparkSession, *paths: str) -> DataFrame:

@@ -76,6 +76,18 @@ def test_generations_append(spark, tmp_path):
     assert sorted((r["step"], r["generated"]) for r in spark.read.parquet(path).collect()) == [(500, "text 500"), (1000, "text 1000")]
 
 
+def test_generations_of_many_steps_are_one_folder_a_batch(spark, tmp_path):
+    steps = spark.range(300).repartition(2).select(F.col("id").alias("step"), F.lit("p").alias("prompt"))
+    for batch, first in (("a", 0), ("b", 100), ("a", 150)):  # the first batch comes again with fewer steps
+        corpus.append_generations(steps.where(F.col("step") >= first), str(tmp_path), batch)
+    assert sorted(str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*") if p.is_dir()) == ["batch=a", "batch=b"]
+    saved = sorted((r["batch"], r["step"]) for r in spark.read.parquet(str(tmp_path)).collect())
+    assert saved == [("a", s) for s in range(150, 300)] + [("b", s) for s in range(100, 300)]
+    for file in tmp_path.rglob("*.parquet"):
+        inside = [r["step"] for r in spark.read.parquet(str(file)).collect()]
+        assert len(inside) > 10 and inside == sorted(inside)
+
+
 def test_artifacts(spark, tmp_path):
     for name, size in [("checkpoint-500/model.bin", 2_500_000), ("checkpoint-11000/model.bin", 10), ("final_model/config.json", 1)]:
         (tmp_path / name).parent.mkdir()
