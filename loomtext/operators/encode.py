@@ -121,12 +121,12 @@ def encode_words(docs: DataFrame, vocab: DataFrame | Broadcast, append_eos: bool
     return docs.withColumn("input_ids", ids).drop("text")
 
 
-def id_pieces(ids: Column, vocab: DataFrame | Broadcast, keep_special: bool = False) -> Column:
-    """Array of ids to array of pieces. Special ids, and ids outside the vocabulary, are skipped."""
+def id_pieces(ids: Column, vocab: DataFrame | Broadcast, keep_special: bool = False, joined: bool = False) -> Column:
+    """Array of ids to array of pieces, or to all of them in one text. Special ids, and ids outside the vocabulary, are skipped."""
     pieces = shared_pieces(vocab)
     lowest = 0 if keep_special else len(SPECIAL_PIECES)
 
-    @F.arrow_udf(STRINGS)
+    @F.arrow_udf(T.StringType() if joined else STRINGS)
     def lookup(lists: pa.Array) -> pa.Array:
         flat, lengths, values = lists.flatten(), _lengths(lists), pieces.value
         ends, kept, taken = np.cumsum(lengths, dtype=np.int64), np.zeros(len(lengths), np.int64), []
@@ -139,7 +139,8 @@ def id_pieces(ids: Column, vocab: DataFrame | Broadcast, keep_special: bool = Fa
             kept[first : last + 1] += np.diff(np.searchsorted(known, borders), prepend=0)
             taken.append(values.take(pa.array(ids[known])))
         whole = pa.concat_arrays(taken) if taken else pa.array([], pa.string())
-        return pa.ListArray.from_arrays(pa.array(_offsets(kept)), whole, mask=lists.is_null())
+        pieces_of_rows = pa.ListArray.from_arrays(pa.array(_offsets(kept)), whole, mask=lists.is_null())
+        return pc.binary_join(pieces_of_rows, "") if joined else pieces_of_rows
 
     return lookup(ids)
 
@@ -150,7 +151,7 @@ def decode(df: DataFrame, vocab: DataFrame | Broadcast, key: str = "row_id") ->
         vocab = shared_pieces(vocab)
     except TooLarge:
         return decode_joined(df, vocab, key)
-    return df.withColumn("decoded", unmark(F.array_join(id_pieces(F.col("input_ids"), vocab), "")))
+    return df.withColumn("decoded", unmark(id_pieces(F.col("input_ids"), vocab, joined=True)))
 
 
 def decode_joined(df: DataFrame, vocab: DataFrame, key: str = "row_id", hot_rows: int = HOT_ROWS) -> DataFrame:

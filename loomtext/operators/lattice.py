@@ -14,12 +14,17 @@ UNKNOWN_PENALTY = 10.0
 CELLS = 1 << 21
 # More than there are code points.
 CODES = 0x110000
+# Cells of the plain table of a tree.
+DENSE = 1 << 22
+# Likelihoods are added as such while no cut can fall below e to the minus this; longer words take logarithms.
+RANGE = 600.0
 
 
 class Keys:
     """Places of whole numbers in a list of different ones, by a table of slots that is a quarter full at most."""
 
     def __init__(self, keys: np.ndarray):
+        self.keys = keys
         self.bits = max(4, (4 * len(keys)).bit_length())
         self.slots = np.full(1 << self.bits, -1, np.int64)  # the key of each slot
         self.places = np.full(1 << self.bits, -1, np.int64)
@@ -50,6 +55,29 @@ class Keys:
         return found
 
 
+class Tree:
+    """Nodes found by the node before and a letter: by a plain table for the first ones, by slots for the others."""
+
+    def __init__(self, keys: np.ndarray):
+        low = int(np.searchsorted(keys, DENSE))
+        self.near = np.full(min(DENSE, int(keys[-1]) + 1) if len(keys) else 0, -1, np.int32)
+        self.near[keys[:low]] = np.arange(low)
+        self.first, self.far = low, Keys(keys[low:])
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key among the sorted keys, -1 where it is not listed."""
+        if not len(keys) or keys.max() < len(self.near):
+            return self.near[keys]
+        found, far = np.full(len(keys), -1, np.int64), keys >= len(self.near)
+        near = np.flatnonzero(~far)
+        found[near] = self.near[keys[near]]
+        if len(self.far.keys):
+            far = np.flatnonzero(far)
+            places = self.far.find(keys[far])
+            found[far] = np.where(places < 0, -1, places + self.first)
+        return found
+
+
 class Pieces:
     """Pieces with their scores, and the edges they make in words."""
 
@@ -59,17 +87,25 @@ class Pieces:
         unknown = (known.min() if len(known) else 0.0) - UNKNOWN_PENALTY
         # The last two: a character that is no piece, and a longer part that is none.
         self.scores = np.concatenate([known, [unknown, -np.inf]])
-        self._grow([p for p in self.number if len(p) <= MAX_PIECE])
+        self.shares, self.widest = np.exp(self.scores), np.abs(self.scores[:-1]).max()
+        self._grow([p for p in self.number if 0 < len(p) <= MAX_PIECE])
 
     def _grow(self, pieces: list[str]) -> None:
-        """The tree of the beginnings of the pieces: a node is found by the one before it and a character; nodes are numbered depth by depth."""
-        lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-        codes = _codes(pieces, MAX_PIECE)
+        """The tree of the beginnings of the pieces: a node is found by the one before it and a letter; nodes are numbered depth by depth."""
+        codes, starts, lengths = _spelled(pieces)
+        used = np.unique(codes)
+        # Letters are the numbers of the characters that pieces have, 0 is any other.
+        self.letter = np.zeros(CODES, np.int32)
+        self.letter[used] = np.arange(1, len(used) + 1)
+        self.letters = len(used) + 1
         numbers = np.fromiter((self.number[p] for p in pieces), dtype=np.int64, count=len(pieces))
-        node, keys, nodes, ends = np.zeros(len(pieces), np.int64), [], 1, []
+        letters = self.letter[codes]
+        node, keys, nodes, ends = np.zeros(len(pieces), np.int64), [np.zeros(0, np.int64)], 1, [np.zeros(0, np.int64)]
         for depth in range(1, MAX_PIECE + 1):
-            long = lengths >= depth
-            new, place = np.unique(node[long] * CODES + codes[long, depth - 1], return_inverse=True)
+            long = np.flatnonzero(lengths >= depth)
+            if not len(long):
+                break
+            new, place = np.unique(node[long] * self.letters + letters[starts[long] + depth - 1], return_inverse=True)
             node[long] = nodes + place
             piece = np.full(len(new), -1, np.int64)
             whole = lengths == depth
@@ -77,43 +113,65 @@ class Pieces:
             keys.append(new)
             ends.append(piece)
             nodes += len(new)
-        self.tree, self.piece = Keys(np.concatenate(keys)), np.concatenate(ends)
+        self.tree, self.piece = Tree(np.concatenate(keys)), np.concatenate(ends)
 
-    def batches(self, words: Sequence[str]) -> Iterator[tuple[np.ndarray, int]]:
-        """(places in ``words``, length) of words of one length, as many as the tables may hold."""
-        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    def batches(self, words: Sequence[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(places in ``words``, letters by character and word) of words of one length, as many as the tables may hold."""
+        codes, starts, lengths = _spelled(words)
+        letters = self.letter[codes]
         order = np.argsort(lengths, kind="stable")
         for size in np.unique(lengths[lengths > 0]):
             same = order[np.searchsorted(lengths[order], size) : np.searchsorted(lengths[order], size, side="right")]
             many = max(1, CELLS // (int(size) * MAX_PIECE))
             for at in range(0, len(same), many):
-                yield same[at : at + many], int(size)
+                some = same[at : at + many]
+                yield some, letters[starts[some] + np.arange(size)[:, None]]
 
     def edges(self, words: Sequence[str], size: int, whole: bool = True) -> list[np.ndarray]:
         """For every end from 1 the pieces that stop there, the shortest first: one column each. ``whole`` admits the word itself."""
-        k = len(self.number)
-        many = len(words)
-        table = np.full((many, size, min(size, MAX_PIECE)), k + 1, dtype=np.int64)
-        table[:, :, 0] = k
-        codes = _codes(words, size).astype(np.int64).ravel()
-        begin = np.arange(many * size)  # row and first character
-        room, node = size - begin % size, np.zeros(many * size, np.int64)
-        for length in range(1, table.shape[2] + 1):
-            place = self.tree.find(node * CODES + codes[begin + length - 1])
-            live = place >= 0
-            piece = self.piece[place[live]]
-            known = piece >= 0
-            table.reshape(-1, table.shape[2])[begin[live][known] + length - 1, length - 1] = piece[known]
-            live &= room > length
-            begin, room, node = begin[live], room[live], place[live] + 1
-        if size <= MAX_PIECE and not whole and size > 1:
-            table[:, size - 1, size - 1] = k + 1
-        return [table[:, end - 1, : min(end, MAX_PIECE)] for end in range(1, size + 1)]
-
-
-def _codes(words: Sequence[str], size: int) -> np.ndarray:
-    """One row of ``size`` code points a word, zeros behind its end."""
-    return np.array(words, dtype=f"<U{size}").reshape(-1).view("<u4").reshape(len(words), size)
+        return self.columns(self.letter[_spelled(words)[0]].reshape(len(words), size).T, whole)
+
+    def columns(self, letters: np.ndarray, whole: bool = True) -> list[np.ndarray]:
+        k, (size, many) = len(self.number), letters.shape
+        cells, pieces = self.cells(letters, whole)
+        table = filled(size, many, k + 1, k, cells, pieces)
+        return [table[end - 1, max(0, table.shape[1] - end) :][::-1].T for end in range(1, size + 1)]
+
+    def cells(self, letters: np.ndarray, whole: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """The edges of words of one length: where each lies in a table as ``filled`` makes it, and its piece."""
+        size, many = letters.shape
+        longest = min(size, MAX_PIECE)
+        letters, row = np.ascontiguousarray(letters).ravel(), longest * many
+        begin = np.arange(size * many)  # first character and word
+        cell, node, found = begin + begin // many * (row - many), 0, []
+        for length in range(1, longest + 1):
+            place = self.tree.find(node * self.letters + letters[begin + (length - 1) * many])
+            live = np.flatnonzero(place >= 0)
+            begin, cell, place = begin[live], cell[live], place[live].astype(np.int64)
+            piece = self.piece[place]
+            if length == size and not whole and size > 1:
+                piece[:] = -1
+            known = np.flatnonzero(piece >= 0)
+            found.append((cell[known] + (length - 1) * row + (longest - length) * many, piece[known]))
+            live = np.flatnonzero(begin < (size - length) * many)
+            begin, cell, node = begin[live], cell[live], place[live] + 1
+            if not len(begin):
+                break
+        return np.concatenate([c for c, _ in found]), np.concatenate([p for _, p in found])
+
+
+def filled(size: int, many: int, nothing: float, unknown: float, cells: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """A table by end, length (the longest that any end may have first) and word, so that what an end needs lies together."""
+    table = np.full((size, min(size, MAX_PIECE), many), nothing, dtype=values.dtype)
+    table[:, -1] = unknown
+    table.reshape(-1)[cells] = values
+    return table
+
+
+def _spelled(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The code points of all words in one row, where each word starts, and how long it is."""
+    lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4"), np.cumsum(lengths) - lengths, lengths
 
 
 def _log_sum(values: np.ndarray) -> np.ndarray:
@@ -123,11 +181,38 @@ def _log_sum(values: np.ndarray) -> np.ndarray:
         return safe + np.log(np.exp(values - safe[:, None]).sum(axis=1))
 
 
+def _likely(share: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The likelihood of every word, and the expected use of every edge of ``share``, the likelihoods of the edges, which it takes for its result."""
+    size, longest, many = share.shape
+    ahead = np.zeros((size + 1, many))
+    ahead[0] = 1
+    for end in range(1, size + 1):
+        n = min(end, longest)
+        ahead[end] = (ahead[end - n : end] * share[end - 1, longest - n :]).sum(axis=0)
+    behind = np.zeros((size + 1, many))
+    behind[size] = weights / ahead[size]
+    for end in range(size, 0, -1):
+        n = min(end, longest)
+        through = share[end - 1, longest - n :]
+        through *= behind[end]
+        behind[end - n : end] += through
+        through *= ahead[end - n : end]
+    return ahead[size], share
+
+
 def expected_counts(table: Pieces, words: Sequence[str], weights: np.ndarray) -> tuple[float, np.ndarray]:
     """Log likelihood of the words over all their cuts, and the expected use of every piece."""
     counts, likelihood = np.zeros(len(table.scores)), 0.0
-    for at, size in table.batches(words):
-        edges = table.edges([words[i] for i in at], size)
+    for at, letters in table.batches(words):
+        size = len(letters)
+        if size * table.widest < RANGE:
+            cells, pieces = table.cells(letters)
+            share = filled(size, len(at), 0.0, table.shares[-2], cells, table.shares[pieces])
+            total, used = _likely(share, weights[at])
+            counts += np.bincount(pieces, weights=used.reshape(-1)[cells], minlength=len(counts))
+            likelihood += float((np.log(total) * weights[at]).sum())
+            continue
+        edges = table.columns(letters)
         score = [table.scores[e] for e in edges]
         ahead = np.full((len(at), size + 1), -np.inf)
         ahead[:, 0] = 0
@@ -147,32 +232,41 @@ def expected_counts(table: Pieces, words: Sequence[str], weights: np.ndarray) ->
     return likelihood, counts[:-2]
 
 
-def best_cuts(table: Pieces, words: Sequence[str], whole: bool = True) -> tuple[list[list[int]], np.ndarray]:
-    """Most probable cut of every word as piece numbers (that of no piece for an unknown character), and its score.
+def best_paths(table: Pieces, words: Sequence[str], whole: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Most probable cuts of the words, one after the other: all piece numbers (that of no piece for an unknown character), how many each word has, and the scores.
 
     Of equal cuts the one with the longer last piece is taken. ``whole=False`` bars the word itself.
     """
-    cuts: list[list[int]] = [[] for _ in words]
-    scores = np.zeros(len(words))
-    for at, size in table.batches(words):
-        edges = table.edges([words[i] for i in at], size, whole)
-        reach = np.full((len(at), size + 1), -np.inf)
-        reach[:, 0] = 0
-        back = np.zeros((len(at), size + 1), dtype=np.int64)
-        rows = np.arange(len(at))
+    sizes, scores, found = np.zeros(len(words), np.int64), np.zeros(len(words)), []
+    for at, letters in table.batches(words):
+        (size, many), k = letters.shape, len(table.number)
+        longest = min(size, MAX_PIECE)
+        cells, pieces = table.cells(letters, whole)
+        edges = filled(size, many, k + 1, k, cells, pieces)
+        score = filled(size, many, -np.inf, table.scores[k], cells, table.scores[pieces])
+        reach = np.full((longest + size + 1, many), -np.inf)  # nothing is reached before the first character
+        reach[longest] = 0
         for end in range(1, size + 1):
-            lo = max(0, end - MAX_PIECE)
-            value = reach[:, lo:end] + table.scores[edges[end - 1]][:, ::-1]  # the longest first
-            best = value.argmax(axis=1)
-            reach[:, end] = value[rows, best]
-            back[:, end] = end - lo - best
-        scores[at] = reach[:, size]
-        ends = np.full(len(at), size)
-        live = rows
+            reach[longest + end] = (reach[end : end + longest] + score[end - 1]).max(axis=0)
+        scores[at] = reach[longest + size]
+        live, ends, step = np.arange(many), np.full(many, size), 0
+        lengths = np.arange(longest)[:, None]
         while len(live):
-            length = back[live, ends[live]]
-            for r, end, n in zip(live, ends[live], length, strict=True):
-                cuts[at[r]].append(int(edges[end - 1][r, n - 1]))
-            ends[live] -= length
-            live = live[ends[live] > 0]
-    return [c[::-1] for c in cuts], scores
+            value = reach[ends + lengths, live] + score[ends - 1, lengths, live]
+            best = value.argmax(axis=0)  # the longest first
+            found.append((at[live], np.full(len(live), step), edges[ends - 1, best, live]))
+            ends -= longest - best
+            step += 1
+            sizes[at[live[ends == 0]]] = step
+            live, ends = live[ends > 0], ends[ends > 0]
+    flat = np.zeros(sizes.sum(), np.int64)
+    last = np.cumsum(sizes) - 1
+    for word, step, piece in found:
+        flat[last[word] - step] = piece
+    return flat, sizes, scores
+
+
+def best_cuts(table: Pieces, words: Sequence[str], whole: bool = True) -> tuple[list[list[int]], np.ndarray]:
+    """``best_paths`` as a list of piece numbers a word, and the scores."""
+    flat, sizes, scores = best_paths(table, words, whole)
+    return [part.tolist() for part in np.split(flat, np.cumsum(sizes)[:-1])] if len(sizes) else [], scores

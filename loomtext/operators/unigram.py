@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 
 from loomtext.functions.text import tokens_of
 from loomtext.operators import lattice
+from loomtext.operators.encode import _lengths, _offsets, _with_eos
 from loomtext.operators.lattice import MAX_PIECE
 from loomtext.operators.vocab import (
     EOS_ID, MAX_PIECES, SPECIAL_PIECES, UNK_ID, covering_chars, least_kept_count, number_pieces, token_counts,
@@ -34,8 +36,10 @@ STRETCH = 256
 SCALE = 1_000_000
 # Distinct words of a group.
 GROUP_WORDS = 50_000
-# Words whose ids a task remembers.
-REMEMBERED = 300_000
+# Words whose ids a worker remembers, and the characters they have together.
+REMEMBERED, REMEMBERED_CHARS = 300_000, 16 * 300_000
+# Tokens whose different words are looked up in one call.
+AT_ONCE = 1 << 19
 
 
 def training_words(docs: DataFrame, mode: str = "nfkc_cf") -> DataFrame:
@@ -138,7 +142,15 @@ def _shared(scores: DataFrame) -> Broadcast:
     rows = scores.select("piece", "score").orderBy("piece").limit(MAX_PIECES + 1).toPandas()
     if len(rows) > MAX_PIECES:
         raise ValueError(f"more than {MAX_PIECES} pieces")
-    return scores.sparkSession.sparkContext.broadcast((rows["piece"].tolist(), rows["score"].to_numpy()))
+    return scores.sparkSession.sparkContext.broadcast({"pieces": rows["piece"].tolist(), "scores": rows["score"].to_numpy()})
+
+
+def _table(shared: Broadcast) -> lattice.Pieces:
+    """The pieces as lattices need them. A worker makes them once and keeps them as long as it has the broadcast, however many tasks it runs."""
+    held = shared.value
+    if "table" not in held:
+        held["table"] = lattice.Pieces(held["pieces"], held["scores"])
+    return held["table"]
 
 
 def _whole(batches: Iterator[pa.RecordBatch]) -> pd.DataFrame:
@@ -150,16 +162,13 @@ def summed(words: DataFrame, scores: Broadcast, soft: bool = True) -> DataFrame:
     with a null piece is the log likelihood (soft only)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        some, (listed, values) = _whole(batches), scores.value
-        table, texts, weights = lattice.Pieces(listed, values), some["word"].tolist(), some["n"].to_numpy(dtype=float)
+        some, listed, table = _whole(batches), scores.value["pieces"], _table(scores)
+        texts, weights = some["word"].tolist(), some["n"].to_numpy(dtype=float)
         if soft:
             likelihood, counts = lattice.expected_counts(table, texts, weights)
         else:
-            counts = np.zeros(len(listed) + 2)
-            for cut, n in zip(lattice.best_cuts(table, texts)[0], weights, strict=True):
-                for piece in cut:
-                    counts[piece] += n
-            likelihood, counts = 0.0, counts[: len(listed)]
+            flat, sizes, _ = lattice.best_paths(table, texts)
+            likelihood, counts = 0.0, np.bincount(flat, weights=np.repeat(weights, sizes), minlength=len(listed))[: len(listed)]
         used = np.flatnonzero(counts > 0)
         amounts = np.rint(np.append(counts[used], likelihood) * SCALE).astype("int64")
         yield pa.RecordBatch.from_arrays([pa.array([*(listed[i] for i in used), None], pa.string()), pa.array(amounts)], ["piece", "c"])
@@ -194,10 +203,10 @@ def prune(words: DataFrame, scores: DataFrame, keep: int) -> DataFrame:
     shared = _shared(scores)
 
     def cost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        some, (listed, values) = _whole(batches), shared.value
-        table, texts = lattice.Pieces(listed, values), some["word"].tolist()
+        some, table = _whole(batches), _table(shared)
+        texts = some["word"].tolist()
         own = table.scores[[table.number[t] for t in texts]] if texts else np.zeros(0)
-        other = lattice.best_cuts(table, texts, whole=False)[1]
+        other = lattice.best_paths(table, texts, whole=False)[2]
         loss = np.round(some["n"].to_numpy(dtype=float) * (own - other), 6)
         yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(loss, pa.float64())], ["piece", "loss"])
 
@@ -250,40 +259,78 @@ def unigram_vocab(
     return number_pieces(frozen(chosen))
 
 
+class Remembered:
+    """Words and the ids of their best cuts, all ids in one row. What would go beyond the bounds makes it forget what it had."""
+
+    def __init__(self, table: lattice.Pieces, ids: np.ndarray):
+        self.table, self.ids = table, ids
+        self.forget()
+
+    def forget(self) -> None:
+        self.words, self.chars = pa.array([], pa.string()), 0
+        self.flat, self.sizes, self.starts = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """The number of each of the different ``words``; good until the next call."""
+        found = pc.index_in(words, value_set=self.words)
+        fresh, chars = words.filter(found.is_null()), pc.utf8_length(words)
+        if len(self.words) + len(fresh) > REMEMBERED or self.chars + (pc.sum(chars.filter(found.is_null())).as_py() or 0) > REMEMBERED_CHARS:
+            self.forget()
+            found, fresh = pa.nulls(len(words), pa.int32()), words
+        number, new = found.fill_null(-1).to_numpy().astype(np.int64), found.is_null().to_numpy(zero_copy_only=False)
+        number[new] = len(self.words) + np.arange(len(fresh))
+        if len(fresh):
+            self._learn(fresh)
+        return number
+
+    def _learn(self, fresh: pa.Array) -> None:
+        flat, sizes, _ = lattice.best_paths(self.table, fresh.to_pylist())
+        coded, word = self.ids[flat], np.repeat(np.arange(len(fresh)), sizes)
+        once = np.ones(len(coded), bool)
+        once[1:] = (coded[1:] != UNK_ID) | (coded[:-1] != UNK_ID) | (word[1:] != word[:-1])
+        self.words, self.chars = pa.concat_arrays([self.words, fresh]), self.chars + pc.sum(pc.utf8_length(fresh)).as_py()
+        self.flat = np.concatenate([self.flat, coded[once]])
+        self.sizes = np.concatenate([self.sizes, np.bincount(word[once], minlength=len(fresh))])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def coded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of ``words``, and how many each has."""
+        different = words.dictionary_encode()
+        number = self.numbers(different.dictionary)[different.indices.to_numpy()]
+        sizes = self.sizes[number]
+        ends = np.cumsum(sizes)
+        return self.flat[np.repeat(self.starts[number] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)], sizes
+
+
 def unigram_ids(words: Column, vocab: DataFrame, append_eos: bool = True) -> Column:
-    """Array of words to piece ids by best cut; a run of unknown characters becomes one id 1.
+    """Array of words without whitespace to piece ids by best cut; a run of unknown characters becomes one id 1.
 
-    A task cuts a word once and remembers it.
+    The words of a text travel as its lines. The different words of ``AT_ONCE`` are looked up in one call; a worker cuts a word once and remembers it.
     """
     rows = vocab.where(~F.col("is_special")).select("piece", "score", "id").limit(MAX_PIECES + 1).collect()
     if len(rows) > MAX_PIECES:
         raise ValueError(f"vocabulary has more than {MAX_PIECES} pieces")
     rows.sort(key=lambda r: r["id"])
-    listed = ([r["piece"] for r in rows], [r["score"] for r in rows], [r["id"] for r in rows])
+    listed = {"pieces": [r["piece"] for r in rows], "scores": [r["score"] for r in rows], "ids": [r["id"] for r in rows]}
     shared = vocab.sparkSession.sparkContext.broadcast(listed)
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces, scores, numbers = shared.value
-        table, ids = lattice.Pieces(pieces, scores), np.array([*numbers, UNK_ID], dtype=np.int32)
-        end = np.array([EOS_ID] if append_eos else [], dtype=np.int32).tobytes()
-        known: dict[str, bytes] = {}
-        for lists in batches:
-            texts = lists.to_pylist()
-            if len(known) > REMEMBERED:
-                known.clear()
-            fresh = list({w for ws in texts if ws for w in ws if w not in known})
-            for word, cut in zip(fresh, lattice.best_cuts(table, fresh)[0], strict=True):
-                coded = ids[cut] if cut else np.zeros(0, np.int32)
-                repeated = np.zeros(len(coded), bool)
-                repeated[1:] = (coded[1:] == UNK_ID) & (coded[:-1] == UNK_ID)
-                known[word] = coded[~repeated].tobytes()
-            rows = [b"" if ws is None else b"".join(map(known.__getitem__, ws)) + end for ws in texts]
-            offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])]).astype(np.int32)
-            flat = pa.array(np.frombuffer(b"".join(rows), dtype=np.int32))
-            yield pa.ListArray.from_arrays(pa.array(offsets), flat, mask=lists.is_null())
-
-    return encode(words)
+        held = shared.value
+        if "known" not in held:
+            held["known"] = Remembered(_table(shared), np.array([*held["ids"], UNK_ID], dtype=np.int32))
+        known = held["known"]
+        for texts in batches:
+            lists = pc.split_pattern(texts, "\n")  # no words become one empty word, which has no ids
+            flat = lists.flatten()
+            parts = [known.coded(flat.slice(at, AT_ONCE)) for at in range(0, len(flat), AT_ONCE)]
+            ids = np.concatenate([np.zeros(0, np.int32), *(p[0] for p in parts)])
+            ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(np.concatenate([np.zeros(0, np.int64), *(p[1] for p in parts)]))])
+            lengths = np.diff(ends[_offsets(_lengths(lists))])
+            ids, borders = _with_eos(ids, lengths) if append_eos else (ids, _offsets(lengths))
+            yield pa.ListArray.from_arrays(pa.array(borders), pa.array(ids, pa.int32()), mask=lists.is_null())
+
+    return encode(F.array_join(words, "\n"))
 
 
 def encode_unigram(docs: DataFrame, vocab: DataFrame, append_eos: bool = True, mode: str = "nfkc_cf") -> DataFrame:

@@ -263,8 +263,8 @@ SELECT row_id, coalesce(unknown, 0) AS unknown, length(t) AS chars, true AS rest
 def encode_unigram(spark, sf_dir):
     """Per text: unknown ids, and whether the pieces give the text back (where nothing is unknown)."""
     found = published_vocab(spark, sf_dir)
-    docs = corpus(spark, sf_dir).withColumn("plain", collapse_whitespace(F.col("text")))
-    coded = unigram.encode_unigram(docs, found, PUBLISHED.append_eos, PUBLISHED.normalization)
+    docs = corpus(spark, sf_dir).withColumn("plain", normalize(F.col("text"), PUBLISHED.normalization)).withColumn("text", F.col("plain"))
+    coded = unigram.encode_unigram(docs, found, PUBLISHED.append_eos, "none")
     back = encode.decode(coded, found)
     unknown = F.size(F.filter("input_ids", lambda i: i == vocab.UNK_ID)).cast("bigint")
     restored = (unknown > 0) | (F.col("decoded") == F.col("plain"))

@@ -199,3 +199,65 @@ def test_edges_come_from_a_tree_that_ends_where_no_piece_goes_on(monkeypatch):
     asked.clear()
     table.edges(["z" * 24], 24)
     assert sum(asked) == 24
+
+
+def test_likelihoods_are_added_as_such_where_they_can_be(monkeypatch):
+    """Short words take no logarithm; the results are those of logarithms, which long words still take."""
+    held, weights = table(), np.arange(1, len(WORDS) + 1, dtype=float)
+    with monkeypatch.context() as short:
+        short.setattr(lattice, "_log_sum", None)
+        total, used = lattice.expected_counts(held, WORDS, weights)
+    monkeypatch.setattr(lattice, "RANGE", 0.0)
+    want = lattice.expected_counts(held, WORDS, weights)
+    assert math.isclose(total, want[0]) and np.allclose(used, want[1], rtol=1e-12)
+    monkeypatch.undo()
+    word = "ab" * 3000
+    total, used = lattice.expected_counts(held, [word], np.ones(1))
+    assert np.isfinite(total) and math.isclose(sum(n * len(p) for n, p in zip(used, SCORES)), len(word))
+
+
+@pytest.mark.parametrize("cells", [0, 3, 10**6])
+def test_a_tree_finds_the_same_by_table_and_by_slots(monkeypatch, cells):
+    monkeypatch.setattr(lattice, "DENSE", cells)
+    keys = np.array([1, 2, 5, 9, 40, 41, 1000], dtype=np.int64)
+    asked = np.array([0, 1, 2, 3, 5, 9, 39, 40, 41, 999, 1000, 1001, 10**9], dtype=np.int64)
+    want = [list(keys).index(k) if k in keys else -1 for k in asked]
+    assert lattice.Tree(keys).find(asked).tolist() == want
+    assert lattice.Tree(keys[:0]).find(asked).tolist() == [-1] * len(asked)
+    empty = lattice.Pieces([], [])
+    assert lattice.best_cuts(empty, ["ab", ""])[0] == [[0, 0], []] and lattice.best_cuts(empty, [])[0] == []
+
+
+def test_a_worker_makes_the_pieces_of_a_broadcast_once():
+    shared = type("Shared", (), {"value": {"pieces": list(SCORES), "scores": np.array([*SCORES.values()])}})
+    assert unigram._table(shared) is unigram._table(shared)
+
+
+def test_a_word_is_cut_once_and_looked_up_once_for_many_tokens(monkeypatch):
+    cut, asked = [], []
+    paths, numbers = lattice.best_paths, unigram.Remembered.numbers
+    monkeypatch.setattr(lattice, "best_paths", lambda held, words: (cut.extend(words), paths(held, words))[1])
+    monkeypatch.setattr(unigram.Remembered, "numbers", lambda self, words: (asked.append(len(words)), numbers(self, words))[1])
+    known = unigram.Remembered(table(), np.array([10, 11, 12, 13, 14, 15, vocab.UNK_ID], dtype=np.int32))
+    tokens = unigram.pa.array(["xx", "ab", "xax", "", "ab"] * 50 + ["ba"])
+    ids, sizes = known.coded(tokens)
+    assert sizes.tolist() == [1, 1, 3, 0, 1] * 50 + [1]
+    assert ids.tolist() == [1, 12, 1, 10, 1, 12] * 50 + [13]
+    known.coded(tokens)
+    assert cut == ["xx", "ab", "xax", "", "ba"]
+    assert asked == [5, 5]
+    monkeypatch.setattr(unigram, "REMEMBERED", 5)
+    again, _ = known.coded(unigram.pa.array(["bb", "ab", "ab"]))
+    assert known.words.to_pylist() == ["bb", "ab"] and again.tolist() == [11, 11, 12, 12]
+
+
+def test_texts_are_coded_as_their_words_are(spark, trained):
+    """Arrays, empty and null ones among them, give what their words give one by one, also where a batch is cut inside a text."""
+    words = ["▁the", "▁qqq", "▁cat", "智", "▁", "zz"]
+    rng = np.random.default_rng(1)
+    rows = [None if i % 11 == 0 else [words[j] for j in rng.integers(0, len(words), rng.integers(0, 9))] for i in range(200)]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, w array<string>").repartition(2)
+    one = spark.createDataFrame([(w,) for w in words], "w string")
+    each = {r["w"]: r["ids"] for r in one.select("w", unigram.unigram_ids(F.array("w"), trained, append_eos=False).alias("ids")).collect()}
+    got = df.select("i", unigram.unigram_ids(F.col("w"), trained).alias("ids")).collect()
+    assert {r["i"]: r["ids"] for r in got} == {i: None if r is None else [*(x for w in r for x in each[w]), 3] for i, r in enumerate(rows)}
