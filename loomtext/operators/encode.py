@@ -2,15 +2,17 @@
 
 Looking a word up in the vocabulary needs no shuffle: the bounded piece list is broadcast and each
 Arrow batch of token arrays is mapped in one vectorised call. The join form of the same step
-(``looked_up``) moves every token of the corpus, so it is for tables that are too large to send to every task.
+(``looked_up``) moves the different words of every chunk and the texts as numbers, so it is for tables that are too large to send to every task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,8 @@ STRINGS = T.ArrayType(T.StringType())
 HOT_ROWS, HOT_SHARE = 1_000_000, 1e-4
 # Tokens of a batch that are looked up in one call; what a call makes besides its result grows with them, not with the batch.
 AT_ONCE = 1 << 18
+# Elements of arrays whose different items are joined together.
+CHUNK = 1 << 22
 
 
 def _offsets(lengths: np.ndarray) -> np.ndarray:
@@ -70,40 +74,107 @@ def word_ids(words: Column, vocab: DataFrame | Broadcast, append_eos: bool = Tru
     return lookup(words)
 
 
-def looked_up(df: DataFrame, key: str, items: Column, table: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def _numbered(items: Column, kind: T.DataType) -> Column:
+    """Per array ``(chunk, places, base, fresh)``: the places of its elements among the different items of its chunk, a run of rows of one task with about ``CHUNK`` elements.
+
+    Items that are new in the chunk stand in ``fresh`` of one row, from place ``base`` on. A null element has a null place, a null array null places.
+    """
+    result = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("places", IDS), T.StructField("base", T.IntegerType()), T.StructField("fresh", T.ArrayType(kind))])
+    size, at_once = CHUNK, AT_ONCE
+
+    @F.arrow_udf(result)
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        chunk, room, held = TaskContext.get().partitionId() << 33, size, None
+        for lists in batches:
+            flat, borders = lists.flatten(), np.concatenate([[0], np.cumsum(_lengths(lists), dtype=np.int64)])
+            held = flat.slice(0, 0) if held is None else held
+            chunks, bases, fresh, places, row = [], [], [], [], 0
+            while row < len(lists):
+                if room <= 0:
+                    chunk, room, held = chunk + 1, size, held.slice(0, 0)
+                # As many rows as there is room for, but one at least.
+                last = max(row + 1, int(np.searchsorted(borders, borders[row] + room, side="right")) - 1)
+                base = len(held)
+                for at in range(borders[row], borders[last], at_once):
+                    part = flat.slice(at, min(at_once, borders[last] - at)).dictionary_encode()
+                    found = pc.index_in(part.dictionary, value_set=held)
+                    new = part.dictionary.filter(found.is_null())
+                    number = found.fill_null(0).to_numpy().copy()
+                    number[found.is_null().to_numpy(zero_copy_only=False)] = len(held) + np.arange(len(new))
+                    held = pa.concat_arrays([held, new])
+                    places.append(pa.array(number, pa.int32()).take(part.indices))
+                chunks += [chunk] * (last - row)
+                bases += [base] + [None] * (last - row - 1)
+                fresh += [held.slice(base)] + [held.slice(0, 0)] * (last - row - 1)
+                room -= int(borders[last] - borders[row])
+                # The next row would go beyond the chunk.
+                room, row = room if last == len(lists) else 0, last
+            whole = pa.concat_arrays([pa.array([], pa.int32()), *places])
+            columns = [
+                pa.array(chunks, pa.int64()), pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), whole, mask=lists.is_null()), pa.array(bases, pa.int32()),
+                pa.ListArray.from_arrays(pa.array(_offsets(np.fromiter(map(len, fresh), np.int64, len(fresh)))), pa.concat_arrays(fresh or [held.slice(0, 0)])),
+            ]
+            yield pa.StructArray.from_arrays(columns, ["chunk", "places", "base", "fresh"])
+
+    return of(items)
+
+
+def looked_up(df: DataFrame, key: str, items: Column, table: DataFrame, hot_rows: int = HOT_ROWS, left_out: str = "", restored: str = "") -> DataFrame:
     """``df`` with ``_values``: the elements of the array ``items``, each replaced by its ``value`` in ``table(item, value)``, null where it has none.
 
-    A join, for tables of any size. ``key`` names the rows of ``df`` uniquely, ``item`` those of the table. An item with over ``hot_rows`` rows (or ``HOT_SHARE`` of all, if that is more) is dealt to
-    several places, as its table row is; at most the inverse of that share are, and only their hashes and numbers of places are broadcast.
-    Each array is put together by its key; the other columns travel once. A null array stays null. The arrays are made and written once, however often they are read.
+    The column ``left_out`` is not kept; the column ``restored`` is ``items`` itself and is made again from its places.
+    A join, for tables of any size. Rows are taken in chunks of about ``CHUNK`` elements; only the different items of a chunk are joined, and what they give comes back to the chunk. The arrays
+    are made and written once, as places among these items. An item in over ``hot_rows`` chunks (or ``HOT_SHARE`` of all that is joined, if that is more) is dealt to
+    several places, as its table row is; at most the inverse of that share are, and only their hashes and numbers of places are broadcast. ``item`` names the rows of the table uniquely.
+    A null array stays null. ``key`` names the rows of ``df``: those that share one become one row, with the elements of all by place.
     """
-    kept = written(df.select(F.col(key).alias("_key"), items.alias("_items")), "items")
-    each = kept.select("_key", F.posexplode("_items").alias("_place", "item"))
-    total = kept.agg(F.sum(F.greatest(F.size("_items"), F.lit(0)))).scalar()
+    # The columns travel under plain names, as a grouping takes no others.
+    inner = {c: "_restored" if c == restored else f"_column{i}" for i, c in enumerate(df.columns) if c != left_out}
+    wanted, names = [F.col(n).alias(c) for c, n in inner.items()], [n for c, n in inner.items() if c != restored]
+    own = {c: F.col("`" + c.replace("`", "``") + "`") for c in inner}
+    given = [own[c].alias(n) for c, n in inner.items() if c != restored]
+    kind = df.select(items.alias("_items")).schema["_items"].dataType.elementType
+    kept = written(df.withColumn("_code", _numbered(items, kind)).select(*given, F.col(key).alias("_key"), *[F.col(f"_code.{c}").alias(f"_{c}") for c in ("chunk", "places", "base", "fresh")]), "items")
+    each = kept.where("_base IS NOT NULL").select("_chunk", "_base", F.posexplode("_fresh").alias("_at", "item")).select("_chunk", (F.col("_base") + F.col("_at")).alias("_place"), "item")
+    total = kept.agg(F.coalesce(F.sum(F.size("_fresh")), F.lit(0))).scalar()
     most = F.greatest(F.lit(hot_rows), F.ceil(total * HOT_SHARE))
-    counts = each.groupBy(F.xxhash64("item").alias("_hash")).agg(F.count("*").alias("n"))
+    chunks = kept.agg(F.count_distinct("_chunk")).scalar()  # no item has more rows
+    counts = each.where(chunks > most).groupBy(F.xxhash64("item").alias("_hash")).agg(F.count("*").alias("n"))
     hot = F.broadcast(counts.where(F.col("n") > most).select("_hash", F.ceil(F.col("n") / most).alias("_places")))
     places = F.coalesce("_places", F.lit(1))
-    ours = each.withColumn("_hash", F.xxhash64("item")).join(hot, "_hash", "left").withColumn("_salt", F.pmod(F.xxhash64("_key", "_place"), places))
+    ours = each.withColumn("_hash", F.xxhash64("item")).join(hot, "_hash", "left").withColumn("_salt", F.pmod(F.xxhash64("_chunk", "_place"), places))
     theirs = table.withColumn("_hash", F.xxhash64("item")).join(hot, "_hash", "left")
     theirs = theirs.select("item", "value", F.explode(F.sequence(F.lit(0).cast("bigint"), places - 1)).alias("_salt"))
-    nothing = F.lit(None)
-    found = ours.join(theirs, ["item", "_salt"], "left").select("_key", F.struct("_place", "value").alias("_one"), nothing.alias("_row"), F.lit(False).alias("_none"))
-    rows = df.select(F.col(key).alias("_key"), nothing.alias("_one"), F.struct("*").alias("_row"), F.lit(False).alias("_none"))
-    nulls = kept.where("_items IS NULL").select("_key", nothing.alias("_one"), nothing.alias("_row"), F.lit(True).alias("_none"))
-    whole = found.unionByName(rows).unionByName(nulls).groupBy("_key").agg(
-        F.first("_row", ignorenulls=True).alias("_row"), F.sort_array(F.collect_list("_one")).alias("_all"), F.bool_or("_none").alias("_none")
+    found = ours.join(theirs, ["item", "_salt"], "left").select("_chunk", "_place", F.col("value").alias("_value"), *[F.col("item").alias("_item")] * bool(restored))
+    rows = kept.select(*names, F.col("_chunk").alias("_chunk"), "_places")
+
+    def put(ours: pa.Table, theirs: pa.Table) -> pa.Table:
+        theirs, whole = theirs.sort_by("_place"), ours.select(names)
+        for name, source in made:
+            values = pa.concat_arrays([pa.array([], theirs.schema.field(source).type), *theirs.column(source).chunks])
+            parts = [pa.ListArray.from_arrays(pa.array(_offsets(_lengths(x))), values.take(x.flatten()), mask=x.is_null()) for x in ours.column("_places").chunks]
+            whole = whole.append_column(name, pa.chunked_array(parts, pa.list_(values.type)))
+        return whole
+
+    made = [("_restored", "_item")] * bool(restored) + [("_values", "_value")]
+    kinds = {"_item": kind, "_value": table.schema["value"].dataType}
+    schema = T.StructType([*rows.select(*names).schema.fields, *(T.StructField(name, T.ArrayType(kinds[source])) for name, source in made)])
+    each_once = rows.groupBy("_chunk").cogroup(found.groupBy("_chunk")).applyInArrow(put, schema).select(*wanted, "_values")
+    if kept.groupBy("_key").count().where("count > 1").isEmpty():
+        return each_once
+    placed = F.transform("_values", lambda x, i: F.struct(i.alias("_place"), x.alias("value")))
+    merged = each_once.groupBy(F.col(key).alias("_key")).agg(
+        F.first(F.struct(*own.values())).alias("_row"), F.sort_array(F.flatten(F.collect_list(placed))).alias("_all"), F.bool_or(F.col("_values").isNull()).alias("_none")
     )
-    values = F.when(~F.col("_none"), F.transform("_all", lambda x: x["value"]))
-    return whole.select("_row.*", values.alias("_values"))
+    return merged.select("_row.*", F.when(~F.col("_none"), F.transform("_all", lambda x: x["value"])).alias("_values"))
 
 
 def encode_joined(docs: DataFrame, dictionary: DataFrame, append_eos: bool = True, mode: str = "whitespace", key: str = "row_id", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Replace ``text`` by ``input_ids`` through a table ``(item, value)`` of words and their ids; a word without a row is unknown."""
-    found = looked_up(docs, key, tokens_of(F.col("text"), mode), dictionary, hot_rows)
+    found = looked_up(docs, key, tokens_of(F.col("text"), mode), dictionary, hot_rows, left_out="text")
     ids = F.flatten(F.transform("_values", lambda v: F.coalesce(v, F.array(F.lit(UNK_ID)))))
     ended = F.concat(ids, F.array(F.lit(EOS_ID))) if append_eos else ids
-    return found.withColumn("input_ids", ended.cast(IDS)).drop("text", "_values")
+    return found.withColumn("input_ids", ended.cast(IDS)).drop("_values")
 
 
 def word_dictionary(vocab: DataFrame) -> DataFrame:
@@ -157,7 +228,7 @@ def decode(df: DataFrame, vocab: DataFrame | Broadcast, key: str = "row_id") ->
 def decode_joined(df: DataFrame, vocab: DataFrame, key: str = "row_id", hot_rows: int = HOT_ROWS) -> DataFrame:
     """``decode`` by a join of the ids with the pieces."""
     pieces = vocab.where(~F.col("is_special")).select(F.col("id").alias("item"), F.col("piece").alias("value"))
-    found = looked_up(df, key, F.col("input_ids"), pieces, hot_rows)
+    found = looked_up(df, key, F.col("input_ids"), pieces, hot_rows, restored="input_ids")
     return found.withColumn("decoded", unmark(F.array_join("_values", ""))).drop("_values")
 
 

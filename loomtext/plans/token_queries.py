@@ -152,7 +152,7 @@ FROM words LEFT JOIN p USING (row_id)""")
 def decode_words_joined(spark, sf_dir):
     """Ids to text by a join with the pieces."""
     docs = corpus(spark, sf_dir)
-    found = vocab.frequency_vocab(vocab.token_counts(docs), V)
+    found = written(vocab.frequency_vocab(vocab.token_counts(docs), V), "vocab")  # encoding and decoding read it
     back = encode.decode_joined(encode.encode_words(docs, found), found, hot_rows=1000)
     return back.select("row_id", F.md5("decoded").alias("decoded_md5"))
 

@@ -201,3 +201,33 @@ def test_only_different_words_are_cut_by_script(spark):
         assert {tuple(r) for r in found.collect()} == {tuple(r) for r in want.collect()}
         cut, below = found._jdf.queryExecution().optimizedPlan().toString().split("regexp_extract_all", 1)
         assert "Aggregate" in cut and "Aggregate" in below
+
+
+def test_only_the_different_items_of_a_chunk_are_joined(spark, monkeypatch):
+    """What is joined grows with the different items of a chunk, not with the elements; chunks end between rows, and every chunk, also a small one, gives the same."""
+    rows = [(0, ["a", "b", "a", None, "x"]), (1, None), (2, []), (3, ["b"] * 40), (4, ["x", "a"]), (5, ["c"]), (6, [None])] + [(i, ["a", "b", "c"] * 30) for i in range(7, 60)]
+    df = spark.createDataFrame(rows, "i int, w array<string>").withColumn("odd.name", F.lit(1)).coalesce(1)
+    table = spark.createDataFrame([("a", [1]), ("b", [2, 2]), ("c", None)], "item string, value array<int>")
+    value = {"a": [1], "b": [2, 2]}
+    want = {i: None if r is None else [value.get(x) for x in r] for i, r in rows}
+    real, paths = encode.written, []
+    monkeypatch.setattr(encode, "written", lambda t, name: (paths.append(real(t, name)), paths[-1])[1])
+    for size, at_once in ((1 << 22, 1 << 18), (50, 7), (1, 1)):
+        monkeypatch.setattr(encode, "CHUNK", size)
+        monkeypatch.setattr(encode, "AT_ONCE", at_once)
+        found = encode.looked_up(df, "i", F.col("w"), table)
+        assert found.columns == ["i", "w", "odd.name", "_values"]
+        assert {r["i"]: r["_values"] for r in found.collect()} == want
+        seen = paths.pop().groupBy("_chunk").agg(F.sum(F.size("_places")).alias("n"), F.sum(F.size("_fresh")).alias("joined"), F.count("*").alias("rows")).collect()
+        assert all(r["joined"] <= 4 for r in seen) and all(r["rows"] == 1 or r["n"] <= size for r in seen if r["n"])
+        assert (len(seen) == 1) == (size == 1 << 22)
+        again = encode.looked_up(df, "i", F.col("w"), table, restored="w")
+        assert {r["i"]: (r["w"], r["_values"]) for r in again.collect()} == {i: (r, want[i]) for i, r in rows}
+
+
+def test_rows_that_share_a_key_become_one(spark):
+    """As a grouping by the key makes them: the elements of all by place, none if an array is null."""
+    df = spark.createDataFrame([("a", ["x", "y"]), ("a", ["y"]), ("b", None), ("b", ["x"]), (None, ["y"]), ("c", [])], "k string, w array<string>")
+    table = spark.createDataFrame([("x", 1), ("y", 2)], "item string, value int")
+    got = {r["k"]: r["_values"] for r in encode.looked_up(df, "k", F.col("w"), table).collect()}
+    assert got == {"a": [1, 2, 2], "b": None, None: [2], "c": []}
