@@ -28,7 +28,7 @@ HOT_ROWS, HOT_SHARE = 1_000_000, 1e-4
 # Tokens of a batch that are looked up in one call; what a call makes besides its result grows with them, not with the batch.
 AT_ONCE = 1 << 18
 # Elements of arrays whose different items are joined together.
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 
 
 def _offsets(lengths: np.ndarray) -> np.ndarray:
@@ -88,7 +88,7 @@ def _numbered(items: Column, kind: T.DataType) -> Column:
         for lists in batches:
             flat, borders = lists.flatten(), np.concatenate([[0], np.cumsum(_lengths(lists), dtype=np.int64)])
             held = flat.slice(0, 0) if held is None else held
-            chunks, bases, fresh, places, row = [], [], [], [], 0
+            chunks, bases, fresh, places, row = [], [], [], np.zeros(len(flat), np.int32), 0
             while row < len(lists):
                 if room <= 0:
                     chunk, room, held = chunk + 1, size, held.slice(0, 0)
@@ -102,19 +102,22 @@ def _numbered(items: Column, kind: T.DataType) -> Column:
                     number = found.fill_null(0).to_numpy().copy()
                     number[found.is_null().to_numpy(zero_copy_only=False)] = len(held) + np.arange(len(new))
                     held = pa.concat_arrays([held, new])
-                    places.append(pa.array(number, pa.int32()).take(part.indices))
+                    if len(number):
+                        places[at : at + len(part)] = number[pc.fill_null(part.indices, 0).to_numpy()]
                 chunks += [chunk] * (last - row)
                 bases += [base] + [None] * (last - row - 1)
                 fresh += [held.slice(base)] + [held.slice(0, 0)] * (last - row - 1)
                 room -= int(borders[last] - borders[row])
                 # The next row would go beyond the chunk.
                 room, row = room if last == len(lists) else 0, last
-            whole = pa.concat_arrays([pa.array([], pa.int32()), *places])
+            whole = pa.array(places, mask=flat.is_null().to_numpy(zero_copy_only=False) if flat.null_count else None)
             columns = [
                 pa.array(chunks, pa.int64()), pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), whole, mask=lists.is_null()), pa.array(bases, pa.int32()),
                 pa.ListArray.from_arrays(pa.array(_offsets(np.fromiter(map(len, fresh), np.int64, len(fresh)))), pa.concat_arrays(fresh or [held.slice(0, 0)])),
             ]
             yield pa.StructArray.from_arrays(columns, ["chunk", "places", "base", "fresh"])
+            del flat, places, whole, columns, fresh
+            pa.default_memory_pool().release_unused()  # before the next batch is read
 
     return of(items)
 
